@@ -1,31 +1,38 @@
 from keyloom.operators.cells import cells_to_wide, latest_cells, wide_to_cells
-from keyloom.operators.lookup import duplicate_keys, left_lookup, lookup_enrich
+from keyloom.operators.keyjoin import join_by_key
+from keyloom.operators.lookup import duplicate_keys, lookup_enrich
 from keyloom.operators.mutate import (
     array_puts,
+    delete_row,
     delete_rows,
+    put_cell,
     rejected_puts,
     upsert_arrays,
     upsert_cells,
     upsert_column,
 )
 from keyloom.operators.partition import repartition_by_key, split_by_key
-from keyloom.operators.reads import get_cells, get_row, multi_get, range_scan, range_scan_family
+from keyloom.operators.reads import get_cells, get_latest_cells, get_row, multi_get, range_scan, range_scan_family, requested
 
 __all__ = [
     "array_puts",
     "cells_to_wide",
+    "delete_row",
     "delete_rows",
     "duplicate_keys",
     "get_cells",
+    "get_latest_cells",
     "get_row",
+    "join_by_key",
     "latest_cells",
-    "left_lookup",
     "lookup_enrich",
     "multi_get",
+    "put_cell",
     "range_scan",
     "range_scan_family",
     "rejected_puts",
     "repartition_by_key",
+    "requested",
     "split_by_key",
     "upsert_arrays",
     "upsert_cells",

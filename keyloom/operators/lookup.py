@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.operators.partition import repartition_by_key, split_by_key
-from keyloom.plans.sizing import BROADCAST_LIMIT, fits_in_broadcast
-from keyloom.plans.skew import find_hot_keys
+from keyloom.operators.keyjoin import join_by_key
 
 Field = str | tuple[str, str]
 
@@ -40,58 +38,6 @@ def duplicate_keys(dim: DataFrame, rowkey: str = "rowkey") -> DataFrame:
     return dim.groupBy(rowkey).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
-def left_lookup(
-    main: DataFrame,
-    key: str,
-    right: DataFrame,
-    rowkey: str,
-    *,
-    hot_keys: Sequence[str] = (),
-    hot_share: float | None = None,
-    split_null_keys: bool = False,
-    partitions: int | None = None,
-    broadcast_limit: int | None = None,
-) -> DataFrame:
-    """Main rows once each, followed by the columns of the one ``right`` row with their key.
-
-    ``right`` has one row per ``rowkey`` and shares no column name with
-    ``main``. How the options shape the plan:
-
-    * ``broadcast_limit``: measure ``right`` and broadcast it when it fits.
-      Main is then read once and not shuffled; skew no longer matters.
-    * ``split_null_keys``: rows without a key skip the join and its shuffle.
-    * ``hot_keys`` / ``hot_share``: rows of the hot keys (given, or found at that
-      share) are joined in place with a measured broadcast of just their rows.
-    * none of these: one plain join; Spark's size statistics and adaptive skew
-      handling decide.
-    """
-    # A row key is never empty, so an empty key in main finds nothing. Comparing
-    # the bare column keeps any bucketing or partitioning of main usable.
-    right = right.where(F.col(rowkey) != "")
-    on = F.col(key) == F.col(rowkey)
-    if broadcast_limit is not None and fits_in_broadcast(right, broadcast_limit):
-        if partitions:
-            main = repartition_by_key(main, key, partitions, hot_keys)
-        return main.join(F.broadcast(right), on, "left")
-    if hot_share is not None:
-        hot_keys = sorted({*hot_keys, *find_hot_keys(main, key, hot_share)})
-    if not (hot_keys or split_null_keys or partitions):
-        return main.join(right, on, "left")
-
-    cold, free = split_by_key(main, key, hot_keys)
-    if partitions:
-        cold, free = cold.repartition(partitions, key), free.repartition(partitions)
-    if hot_keys:
-        hot_rows = right.where(F.col(rowkey).isin(list(hot_keys)))
-        limit = BROADCAST_LIMIT if broadcast_limit is None else broadcast_limit
-        if fits_in_broadcast(hot_rows, limit):
-            hot_rows = F.broadcast(hot_rows)
-        free = free.join(hot_rows, on, "left")
-    else:
-        free = free.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return cold.join(right, on, "left").unionByName(free)
-
-
 def lookup_enrich(
     main: DataFrame,
     dim: DataFrame,
@@ -120,7 +66,7 @@ def lookup_enrich(
         :func:`duplicate_keys`).
     :param partitions: co-locate the keyed main rows in this many partitions.
 
-    The other options are those of :func:`left_lookup`.
+    The other options and their plans are those of :func:`~keyloom.operators.keyjoin.join_by_key`.
     """
     pairs = _pairs(fields)
     main_columns = [c for c in main.columns if c != key]
@@ -135,16 +81,16 @@ def lookup_enrich(
     if not pairs:
         return main.select(*[F.col(f"`{c}`") for c in main_columns])
     names = list(dict.fromkeys(f for f, _ in pairs))
+    values = [F.col(f).cast("string").alias(f"__dim_{i}") for i, f in enumerate(names)]
+    right = dim.select(F.col(rowkey).cast("string").alias(_ROWKEY), *values)
     if order_by_version is not None:
-        needed = dict.fromkeys([rowkey, order_by_version, *names])
-        dim = latest_rows(dim.select(*needed), rowkey, order_by_version)
-    right = dim.select(
-        F.col(rowkey).cast("string").alias(_ROWKEY),
-        *[F.col(f).cast("string").alias(f"__dim_{i}") for i, f in enumerate(names)],
-    )
+        # Keys are text before they are grouped: the join then reuses that shuffle.
+        version = F.col(order_by_version).alias("__version")
+        versions = dim.select(F.col(rowkey).cast("string").alias(_ROWKEY), *values, version)
+        right = latest_rows(versions, _ROWKEY, "__version").drop("__version")
     if main.schema[key].dataType.simpleString() != "string":
         main = main.withColumn(key, F.col(key).cast("string"))
-    joined = left_lookup(
+    joined = join_by_key(
         main,
         key,
         right,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.operators.cells import CELL_KEY, latest_cells
+from keyloom.operators.keyjoin import join_by_key
 from keyloom.plans.sizing import fits_in_broadcast
 
 
@@ -50,6 +51,18 @@ def upsert_cells(
     return merged(base)
 
 
+def put_cell(base: DataFrame, rowkey: str, family: str, qualifier: str, value: str, ts) -> DataFrame:
+    """Upsert of a single cell, with version ``ts``."""
+    put = base.sparkSession.range(1).select(
+        F.lit(rowkey).alias("rowkey"),
+        F.lit(family).alias("family"),
+        F.lit(qualifier).alias("qualifier"),
+        F.lit(ts).cast(base.schema["ts"].dataType).alias("ts"),
+        F.lit(value).alias("value"),
+    )
+    return upsert_cells(base, put)
+
+
 def upsert_column(
     base: DataFrame,
     puts: DataFrame,
@@ -146,13 +159,20 @@ def delete_rows(
     rowkey: str = "rowkey",
     key: str = "rowkey",
     broadcast_limit: int | None = None,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """``base`` without the listed keys; of a cell table, every family, column and version goes.
 
     Keys are made distinct before the join, so a key listed very often is one
-    row there. They are broadcast when measured to fit ``broadcast_limit``.
+    row there. Options as in :func:`~keyloom.operators.keyjoin.join_by_key`;
+    ``hot_share`` is for cell tables, where one row may hold very many cells.
     """
     gone = keys.select(F.col(key).alias("__key")).where(F.col(key).isNotNull()).distinct()
-    if broadcast_limit is not None and fits_in_broadcast(gone, broadcast_limit):
-        gone = F.broadcast(gone)
-    return base.join(gone, F.col(rowkey) == F.col("__key"), "left_anti")
+    return join_by_key(
+        base, rowkey, gone, "__key", "left_anti", broadcast_limit=broadcast_limit, hot_share=hot_share
+    )
+
+
+def delete_row(base: DataFrame, key: str, *, rowkey: str = "rowkey") -> DataFrame:
+    """``base`` without one key: a filter, no join."""
+    return base.where(~F.col(rowkey).eqNullSafe(key))

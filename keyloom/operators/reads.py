@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.operators.lookup import left_lookup
+from keyloom.operators.cells import DEFAULT_FAMILY, latest_cells
+from keyloom.operators.keyjoin import join_by_key
+from keyloom.plans.sizing import fits_in_broadcast
 
 # Fixed value: appended to the end key of a range, which is then exclusive.
 RANGE_END_SUFFIX = "0"
@@ -18,6 +20,12 @@ def get_row(table: DataFrame, key: str, rowkey: str = "rowkey") -> DataFrame:
     return table.where(F.col(rowkey) == key)
 
 
+def requested(spark: SparkSession, keys: Sequence[str | None]) -> DataFrame:
+    """Requests ``(pos, rowkey)`` for a list of keys typed in by hand, in list order."""
+    listed = F.array(*[F.lit(k).cast("string") for k in keys]).cast("array<string>")
+    return spark.range(1).select(F.posexplode(listed).alias("pos", "rowkey"))
+
+
 def multi_get(
     requests: DataFrame,
     table: DataFrame,
@@ -32,11 +40,11 @@ def multi_get(
 
     Carry a position column in ``requests`` and sort by it where the order
     matters; a sort of all answers is not forced here. Options as in
-    :func:`keyloom.operators.lookup.left_lookup`.
+    :func:`~keyloom.operators.keyjoin.join_by_key`.
     """
     columns = [c for c in table.columns if c != rowkey]
     right = table.select(F.col(rowkey).alias("__rowkey"), *[F.col(f"`{c}`") for c in columns])
-    return left_lookup(
+    return join_by_key(
         requests,
         key,
         right,
@@ -47,6 +55,11 @@ def multi_get(
     ).select(*requests.columns, *columns)
 
 
+def _distinct_keys(keys: DataFrame, key: str) -> DataFrame:
+    """A key asked for very often then meets the join once, and the join reuses this shuffle."""
+    return keys.select(F.col(key).alias("__key")).where(F.col(key).isNotNull()).distinct()
+
+
 def get_cells(
     table: DataFrame,
     keys: DataFrame,
@@ -54,21 +67,41 @@ def get_cells(
     *,
     rowkey: str = "rowkey",
     key: str = "rowkey",
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
-    """Chosen columns of the rows with the given keys, one row per present value.
-
-    Keys are made distinct first: a key asked for very often then meets the
-    join once, and the join reuses that shuffle.
-    """
-    wanted = keys.select(F.col(key).alias("__key")).where(F.col(key).isNotNull()).distinct()
+    """Chosen columns of the rows with the given keys, one row per present value."""
+    rows = table.select(F.col(rowkey).alias("rowkey"), *[F.col(f).cast("string").alias(f) for f in fields])
+    wanted = _distinct_keys(keys, key)
     return (
-        table.select(F.col(rowkey).alias("rowkey"), *[F.col(f).cast("string").alias(f) for f in fields])
-        .join(wanted, F.col("rowkey") == F.col("__key"), "left_semi")
+        join_by_key(rows, "rowkey", wanted, "__key", "left_semi", broadcast_limit=broadcast_limit)
         .unpivot("rowkey", list(fields), "qualifier", "value")
         .where("value is not null")
     )
 
 
+def get_latest_cells(
+    cells: DataFrame,
+    keys: DataFrame,
+    fields: Sequence[str],
+    *,
+    family: str = DEFAULT_FAMILY,
+    key: str = "rowkey",
+    order_by: Sequence[str] = ("ts",),
+    broadcast_limit: int | None = None,
+) -> DataFrame:
+    """:func:`get_cells` of a cell table: the latest version of the chosen columns of one family.
+
+    Versions are reduced before the keys are joined when those must be shuffled,
+    so a row with very many versions does not weigh on the join.
+    """
+    chosen = cells.where((F.col("family") == family) & F.col("qualifier").isin(list(fields)))
+    wanted = _distinct_keys(keys, key)
+    if broadcast_limit is not None and fits_in_broadcast(wanted, broadcast_limit):
+        on = F.col("rowkey") == F.col("__key")
+        return latest_cells(chosen.join(F.broadcast(wanted), on, "left_semi"), order_by)
+    return join_by_key(latest_cells(chosen, order_by), "rowkey", wanted, "__key", "left_semi")
+
+
 def range_scan(table: DataFrame, begin: str, end: str, rowkey: str = "rowkey") -> DataFrame:
     """Rows with ``begin <= key < end + '0'`` in byte order: ``end`` itself is included.
 

@@ -21,8 +21,8 @@ def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str
     ``1 / share`` keys can qualify, which bounds the returned list. The answer
     steers the plan alone: a key missed or named needlessly changes no result.
     """
-    if not 0 < share <= 1:
-        raise ValueError(f"share must be in (0, 1], got {share}")
+    if not 1e-4 <= share <= 1:
+        raise ValueError(f"share must be in [0.0001, 1], got {share}")
     most = int(1 / share)
     tracked = 8 * most  # keeps the sketch error well below one share
     keys = df.select(

@@ -1,0 +1,216 @@
+"""Cell tables: versions, reads, upserts and deletes."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import keyloom as kl
+from keyloom.functions import decode_text, encode_text, format_datetime
+from pyspark.sql import functions as F
+from tests.helpers import rows
+
+CELLS = "rowkey STRING, family STRING, qualifier STRING, ts INT, value STRING"
+KEYS = "rowkey STRING"
+
+
+def cells(spark, *data):
+    return spark.createDataFrame(list(data), CELLS)
+
+
+@pytest.fixture
+def base(spark):
+    return cells(
+        spark,
+        ("a", "f1", "x", 1, "a1"),
+        ("a", "f1", "x", 2, "a2"),
+        ("a", "f1", "y", 1, ""),
+        ("a", "f2", "x", 5, "other"),
+        ("b", "f1", "x", 3, "b3"),
+    )
+
+
+def test_latest(base):
+    assert rows(kl.latest_cells(base)) == [
+        ("a", "f1", "x", 2, "a2"),
+        ("a", "f1", "y", 1, ""),
+        ("a", "f2", "x", 5, "other"),
+        ("b", "f1", "x", 3, "b3"),
+    ]
+
+
+def test_latest_settles_ties_and_ranks_a_missing_version_last(spark):
+    tied = cells(spark, ("a", "f1", "x", 2, "p"), ("a", "f1", "x", 2, "q"), ("a", "f1", "x", None, "z"))
+    assert rows(kl.latest_cells(tied)) == [("a", "f1", "x", 2, "q")]
+    assert rows(kl.latest_cells(cells(spark, ("a", "f1", "x", None, "z")))) == [("a", "f1", "x", None, "z")]
+
+
+def test_wide_and_back(spark, base):
+    wide = kl.cells_to_wide(base, ["x", "y", "absent"])
+    assert wide.columns == ["rowkey", "x", "y", "absent"]
+    assert rows(wide) == [("a", "a2", "", None), ("b", "b3", None, None)]
+    back = kl.wide_to_cells(wide.withColumn("v", F.lit(9)), {"x": "f1", "y": "f2"}, ts="v")
+    assert rows(back) == [("a", "f1", "x", 9, "a2"), ("a", "f2", "y", 9, ""), ("b", "f1", "x", 9, "b3")]
+
+
+def test_wide_over_all_families(base):
+    assert rows(kl.cells_to_wide(base, ["x"], family=None)) == [("a", "other"), ("b", "b3")]
+
+
+def test_get_row(base):
+    assert len(rows(kl.get_row(base, "a"))) == 4
+    assert rows(kl.latest_cells(kl.get_row(base, "b"))) == [("b", "f1", "x", 3, "b3")]
+    assert rows(kl.get_row(base, "nope")) == []
+
+
+@pytest.mark.parametrize("limit", [None, 0, 1 << 20])
+def test_get_cells(spark, base, limit):
+    keys = spark.createDataFrame([("a",), ("a",), (None,), ("nope",)], KEYS)
+    wide = kl.cells_to_wide(base, ["x", "y"])
+    assert rows(kl.get_cells(wide, keys, ["y", "x"], broadcast_limit=limit)) == [("a", "x", "a2"), ("a", "y", "")]
+    latest = kl.get_latest_cells(base, keys, ["x"], broadcast_limit=limit)
+    assert rows(latest) == [("a", "f1", "x", 2, "a2")]
+
+
+def test_range_bounds(spark):
+    # '0' is byte 0x30: the end key takes in keys that extend it with a lower byte.
+    names = ["1", "10", "11", "12", "12!", "12/zzz", "120", "121", "2", "", "é"]
+    table = spark.createDataFrame([(n, "f1", "q", 1, n) for n in names], CELLS)
+    got = sorted(r.rowkey for r in kl.range_scan(table, "10", "12").collect())
+    assert got == sorted(n for n in names if b"10" <= n.encode() < b"120")
+    assert got == ["10", "11", "12", "12!", "12/zzz"]
+
+
+def test_range_family(base):
+    assert rows(kl.range_scan_family(base, "f2", "a", "b")) == [("a", "f2", "x", 5, "other")]
+
+
+UPSERT_OPTIONS = [{}, {"base_is_latest": True, "broadcast_limit": 1 << 20}, {"base_is_latest": True, "broadcast_limit": 0}]
+
+
+@pytest.mark.parametrize("options", UPSERT_OPTIONS, ids=str)
+def test_upsert_cells(spark, base, options):
+    puts = cells(
+        spark,
+        ("a", "f1", "x", 2, "A"),  # same version as the base: the put wins
+        ("a", "f2", "x", 4, "stale"),  # older than the base: hidden
+        ("b", "f1", "y", 1, "new column"),
+        ("c", "f1", "x", 1, "new row"),
+        ("c", "f1", "x", 2, ""),
+    )
+    assert rows(kl.upsert_cells(kl.latest_cells(base), puts, **options)) == [
+        ("a", "f1", "x", 2, "A"),
+        ("a", "f1", "y", 1, ""),
+        ("a", "f2", "x", 5, "other"),
+        ("b", "f1", "x", 3, "b3"),
+        ("b", "f1", "y", 1, "new column"),
+        ("c", "f1", "x", 2, ""),
+    ]
+
+
+def test_upsert_reduces_base_versions(spark, base):
+    out = kl.upsert_cells(base, cells(spark, ("b", "f1", "x", 9, "B")))
+    assert rows(out) == [
+        ("a", "f1", "x", 2, "a2"),
+        ("a", "f1", "y", 1, ""),
+        ("a", "f2", "x", 5, "other"),
+        ("b", "f1", "x", 9, "B"),
+    ]
+
+
+def test_upsert_order_by_sequence(spark, base):
+    puts = spark.createDataFrame(
+        [("b", "f1", "x", 3, "first", 1), ("b", "f1", "x", 3, "second", 2)], CELLS + ", seq INT"
+    )
+    out = kl.upsert_cells(base, puts.withColumn("value", F.concat(F.lit("z"), F.lit(9) - F.col("seq"))), order_by=("ts", "seq"))
+    assert ("b", "f1", "x", 3, "z7") in rows(out)
+
+
+def test_put_cell(base):
+    out = kl.put_cell(base, "b", "f1", "x", "now", 7)
+    assert ("b", "f1", "x", 7, "now") in rows(out)
+    assert len(rows(out)) == 4
+
+
+@pytest.mark.parametrize("options", UPSERT_OPTIONS, ids=str)
+def test_random_upserts_agree_with_a_dict(spark, options):
+    rng = random.Random(5)
+
+    def draw(n, low):
+        return [(rng.choice("abcd"), rng.choice(["f1", "f2"]), rng.choice("xyz"), low + i, f"v{low + i}") for i in range(n)]
+
+    old, new = draw(30, 0), draw(30, 20)
+    state = {}
+    for source in (old, new):  # later sources win at equal versions
+        for k, f, q, ts, v in source:
+            if (k, f, q) not in state or state[k, f, q][0] <= ts:
+                state[k, f, q] = (ts, v)
+    out = kl.upsert_cells(kl.latest_cells(cells(spark, *old)), cells(spark, *new), **options)
+    assert rows(out) == sorted((*k, *v) for k, v in state.items())
+
+
+@pytest.mark.parametrize("limit", [None, 0, 1 << 20])
+def test_upsert_column(spark, limit):
+    base = spark.createDataFrame([("a", "1", 1), ("b", None, 2), ("c", "3", 3)], "rowkey STRING, x STRING, n INT")
+    puts = spark.createDataFrame(
+        [("b", "B", 1), ("c", "older", 1), ("c", "newer", 2), ("d", "D", 1), ("a", None, 1)], "rowkey STRING, x STRING, s INT"
+    )
+    out = kl.upsert_column(base, puts, "x", order_by=["s"], broadcast_limit=limit)
+    assert out.columns == base.columns
+    assert rows(out) == [("a", "1", 1), ("b", "B", 2), ("c", "newer", 3), ("d", "D", None)]
+
+
+def test_upsert_arrays(spark, base):
+    puts = spark.createDataFrame(
+        [
+            ("a", ["x", "y"], ["A", "Y"], 9),
+            ("b", ["x", "y"], ["only one"], 9),
+            ("b", None, ["v"], 9),
+            ("c", ["x", "x"], ["zz", "last"], 9),
+            ("d", [], [], 9),
+            ("e", ["x", "y"], [None, ""], 9),
+        ],
+        "rowkey STRING, columns ARRAY<STRING>, values ARRAY<STRING>, ts INT",
+    )
+    assert [r[0] for r in rows(kl.rejected_puts(puts))] == ["b", "b"]
+    out = kl.upsert_arrays(base, puts, "f1")
+    assert out.columns == base.columns
+    assert rows(out) == [
+        ("a", "f1", "x", 9, "A"),
+        ("a", "f1", "y", 9, "Y"),
+        ("a", "f2", "x", 5, "other"),
+        ("b", "f1", "x", 3, "b3"),
+        ("c", "f1", "x", 9, "last"),
+        ("e", "f1", "y", 9, ""),
+    ]
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_limit": 0}, {"broadcast_limit": 1 << 20}, {"hot_share": 0.3}], ids=str)
+def test_delete_rows(spark, base, options):
+    keys = spark.createDataFrame([("a",), ("a",), ("nope",), (None,)], KEYS)
+    assert rows(kl.delete_rows(base, keys, **options)) == [("b", "f1", "x", 3, "b3")]
+    none = spark.createDataFrame([(None,)], KEYS)
+    assert rows(kl.delete_rows(base, none, **options)) == rows(base)
+
+
+def test_delete_row(base):
+    assert rows(kl.delete_row(base, "a")) == [("b", "f1", "x", 3, "b3")]
+
+
+def test_text_and_bytes(spark):
+    df = spark.createDataFrame([("",), ("a",), ("é漢😀",), (None,)], "s STRING")
+    assert rows(df.select("s", decode_text(encode_text(F.col("s"))))) == rows(df.select("s", "s"))
+    assert df.where("s = 'é漢😀'").select(encode_text(F.col("s"))).first()[0] == "é漢😀".encode()
+    bad = spark.createDataFrame([(bytearray(b"ok\xff!"),)], "b BINARY")
+    assert bad.select(decode_text(F.col("b"))).first()[0] == "ok�!"
+
+
+def test_date_text(spark):
+    df = spark.createDataFrame([("2024-01-31",), ("2024-01-31 23:59:58.7",), ("n/a",), (None,)], "s STRING")
+    assert rows(df.select(format_datetime(F.col("s")))) == [
+        ("2024-01-31 00:00:00",),
+        ("2024-01-31 23:59:58",),
+        (None,),
+        (None,),
+    ]

@@ -95,6 +95,10 @@ ORACLE: dict[str, str] = {
          union all
          select rowkey, 'c_mktsegment', c_mktsegment from K
          where rowkey in (select k from keys) and c_mktsegment is not null""",
+    "get_latest_cells": with_sql("E")
+    + """select * from E
+         where qualifier in ('click', 'purchase') and rowkey in (select cast(s_suppkey as varchar) from supplier)
+         qualify row_number() over (partition by rowkey, family, qualifier order by ts desc, value desc) = 1""",
     "multi_get": _MK
     + f"""select M.o_orderkey as pos, M.customer_index_rowkey_id as rowkey, K.c_name, K.c_mktsegment
           from M {_MATCH}""",

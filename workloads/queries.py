@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import keyloom as kl
 from keyloom.functions import decode_text, encode_text, format_datetime, nullif_empty
-from keyloom.plans.sizing import BROADCAST_LIMIT
+from keyloom.plans import BROADCAST_LIMIT, HOT_SHARE
 from workloads import fixtures as fx
 from workloads.scratch import new_table
 
@@ -20,6 +20,11 @@ DIM_FIELDS = [("c_name", "nm"), ("c_mktsegment", "seg")]
 SINK_COLUMNS = "order_code BIGINT, o_totalprice DOUBLE, nm STRING, seg STRING"
 PARTITIONS = 20
 
+# Plan by measurement: broadcast a small dimension, else keep keyless and hot rows out of the shuffle.
+MEASURED = {"broadcast_limit": BROADCAST_LIMIT, "split_null_keys": True, "hot_share": HOT_SHARE}
+# For dimensions that are themselves aggregates: no measuring run, adaptive execution broadcasts.
+SPLIT = {"split_null_keys": True, "hot_share": HOT_SHARE}
+
 SQL_TEXT = """
     SELECT orders.o_orderkey AS order_code,
            orders.o_totalprice,
@@ -43,18 +48,11 @@ def main_projection(spark, sf_dir):
 
 def lookup_left(spark, sf_dir):
     """Flagship. The plan follows the measured size of the dimension."""
-    return kl.lookup_enrich(
-        _main(spark, sf_dir),
-        fx.dim_k(spark, sf_dir),
-        fx.KEY,
-        DIM_FIELDS,
-        broadcast_limit=BROADCAST_LIMIT,
-        split_null_keys=True,
-    )
+    return kl.lookup_enrich(_main(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, **MEASURED)
 
 
 def lookup_not_null(spark, sf_dir):
-    return kl.lookup_enrich(_main(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, require=["seg"])
+    return kl.lookup_enrich(_main(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, require=["seg"], **MEASURED)
 
 
 def lookup_two_aliases(spark, sf_dir):
@@ -63,7 +61,7 @@ def lookup_two_aliases(spark, sf_dir):
         fx.dim_k(spark, sf_dir),
         fx.KEY,
         [("c_name", "a"), ("c_name", "b")],
-        split_null_keys=True,
+        **MEASURED,
     )
 
 
@@ -74,14 +72,14 @@ def lookup_no_fields(spark, sf_dir):
 def lookup_column_order(spark, sf_dir):
     columns = [("o_orderkey", "order_code"), ("o_totalprice", "price")]
     return kl.lookup_enrich(
-        _main(spark, sf_dir, columns), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, split_null_keys=True
+        _main(spark, sf_dir, columns), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, **MEASURED
     )
 
 
 def lookup_string_typed(spark, sf_dir):
     customers = fx.table(spark, sf_dir, "customer")
     return kl.lookup_enrich(
-        _main(spark, sf_dir), customers, fx.KEY, [("c_nationkey", "n")], rowkey="c_custkey", split_null_keys=True
+        _main(spark, sf_dir), customers, fx.KEY, [("c_nationkey", "n")], rowkey="c_custkey", **MEASURED
     )
 
 
@@ -95,7 +93,7 @@ def lookup_date_format(spark, sf_dir):
     lines = fx.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", fx.text("l_orderkey").alias("order_index_rowkey_id")
     )
-    raw = kl.lookup_enrich(lines, fx.dim_d(spark, sf_dir), "order_index_rowkey_id", [("submit_time", "raw_time")])
+    raw = kl.lookup_enrich(lines, fx.dim_d(spark, sf_dir), "order_index_rowkey_id", [("submit_time", "raw_time")], **MEASURED)
     return raw.withColumn("review_time", format_datetime(F.col("raw_time")))
 
 
@@ -123,6 +121,7 @@ def lookup_versioned(spark, sf_dir):
         [("o_orderstatus", "last_status"), ("o_orderpriority", "last_priority")],
         rowkey="o_custkey",
         order_by_version="o_orderdate",
+        **SPLIT,
     )
 
 
@@ -130,7 +129,7 @@ def lookup_cells_dimension(spark, sf_dir):
     """The dimension is a versioned cell table; its shuffle by row key serves the join as well."""
     dim = kl.cells_to_wide(fx.cells_e(spark, sf_dir), ["click", "purchase"])
     return kl.lookup_enrich(
-        _main(spark, sf_dir), dim, fx.KEY, [("click", "last_click"), ("purchase", "last_purchase")], split_null_keys=True
+        _main(spark, sf_dir), dim, fx.KEY, [("click", "last_click"), ("purchase", "last_purchase")], **SPLIT
     )
 
 
@@ -154,14 +153,19 @@ def get_row(spark, sf_dir):
 
 def get_cells(spark, sf_dir):
     keys = fx.table(spark, sf_dir, "supplier").select(fx.text("s_suppkey").alias("rowkey"))
-    return kl.get_cells(fx.dim_k(spark, sf_dir), keys, ["c_name", "c_mktsegment"])
+    return kl.get_cells(
+        fx.dim_k(spark, sf_dir), keys, ["c_name", "c_mktsegment"], broadcast_limit=BROADCAST_LIMIT
+    )
+
+
+def get_latest_cells(spark, sf_dir):
+    keys = fx.table(spark, sf_dir, "supplier").select(fx.text("s_suppkey").alias("rowkey"))
+    return kl.get_latest_cells(fx.cells_e(spark, sf_dir), keys, ["click", "purchase"])
 
 
 def multi_get(spark, sf_dir):
     requests = fx.main_m(spark, sf_dir).select(F.col("o_orderkey").alias("pos"), F.col(fx.KEY).alias("rowkey"))
-    return kl.multi_get(
-        requests, fx.dim_k(spark, sf_dir), split_null_keys=True, broadcast_limit=BROADCAST_LIMIT
-    )
+    return kl.multi_get(requests, fx.dim_k(spark, sf_dir), **MEASURED)
 
 
 def range_scan(spark, sf_dir):
@@ -220,12 +224,12 @@ def upsert_cells_small(spark, sf_dir):
 
 def delete_rows(spark, sf_dir):
     keys = fx.table(spark, sf_dir, "supplier").select(fx.text("s_suppkey").alias("rowkey"))
-    return kl.delete_rows(fx.dim_k(spark, sf_dir), keys)
+    return kl.delete_rows(fx.dim_k(spark, sf_dir), keys, broadcast_limit=BROADCAST_LIMIT)
 
 
 def delete_rows_cells(spark, sf_dir):
     keys = fx.table(spark, sf_dir, "supplier").select(fx.text("s_suppkey").alias("rowkey"))
-    return kl.delete_rows(fx.cells_e(spark, sf_dir), keys, broadcast_limit=BROADCAST_LIMIT)
+    return kl.delete_rows(fx.cells_e(spark, sf_dir), keys, broadcast_limit=BROADCAST_LIMIT, hot_share=HOT_SHARE)
 
 
 def _empty_sink(spark, kind):
@@ -309,6 +313,7 @@ QUERIES: dict[str, Query] = {
         repartition_by_key,
         get_row,
         get_cells,
+        get_latest_cells,
         multi_get,
         range_scan,
         range_scan_family,
