@@ -1,0 +1,192 @@
+"""The plans: what is read, what is shuffled, what is broadcast."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import keyloom as kl
+from tests.helpers import plan_of, settings
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """A main table with string keys and a keyed dimension, as Parquet in key order."""
+    folder = tmp_path_factory.mktemp("keyed")
+    orders = spark.read.parquet(f"{DATA}/orders.parquet")
+    key = F.when(F.col("o_orderstatus") == "F", "7").when(F.col("o_orderstatus") == "P", None)
+    orders.select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", key.otherwise(F.col("o_custkey").cast("string")).alias("k")
+    ).write.parquet(f"{folder}/main")
+    customers = spark.read.parquet(f"{DATA}/customer.parquet")
+    kl.write_keyed(
+        customers.select(F.col("c_custkey").cast("string").alias("rowkey"), "c_name", "c_mktsegment"),
+        f"{folder}/dim",
+        partitions=4,
+    )
+    return spark.read.parquet(f"{folder}/main"), spark.read.parquet(f"{folder}/dim")
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        yield
+
+
+def scans(plan):
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_only_named_columns_are_read(stored):
+    main, _ = stored
+    (scan,) = scans(plan_of(kl.project_main(main, [("o_orderkey", "order_code")], "k")))
+    assert scan.endswith("ReadSchema: struct<o_orderkey:bigint,k:string>")
+
+
+def test_dimension_side_reads_key_and_fields_only(stored):
+    main, dim = stored
+    plan = plan_of(kl.lookup_enrich(main, dim, "k", ["c_name"]))
+    assert "ReadSchema: struct<rowkey:string,c_name:string>" in plan
+
+
+def test_measured_small_dimension_is_broadcast_and_main_not_shuffled(stored, no_auto_broadcast):
+    main, dim = stored
+    plan = plan_of(kl.lookup_enrich(main, dim, "k", ["c_name"], broadcast_limit=64 << 20, hot_share=0.1))
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert "Exchange hashpartitioning" not in plan and "Union" not in plan
+    assert len(scans(plan)) == 2
+
+
+def test_dimension_over_the_limit_is_not_broadcast(stored, no_auto_broadcast):
+    main, dim = stored
+    plan = plan_of(kl.lookup_enrich(main, dim, "k", ["c_name"], broadcast_limit=1000))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_keyless_and_hot_rows_are_not_shuffled(stored, no_auto_broadcast):
+    main, dim = stored
+    keyless = plan_of(kl.lookup_enrich(main, dim, "k", ["c_name"], split_null_keys=True))
+    assert keyless.count("Exchange") == 2 and "Union" in keyless
+    assert "Or(IsNull(k),EqualTo(k,))" in keyless
+
+    hot = plan_of(kl.lookup_enrich(main, dim, "k", ["c_name"], hot_share=0.1, split_null_keys=True))
+    assert hot.count("Exchange hashpartitioning") == 2
+    assert hot.count("BroadcastExchange") == 1
+    assert "EqualTo(rowkey,7)" in hot  # the hot rows are looked up by key, pushed to the dimension scan
+    assert "Not(EqualTo(k,7))" in hot
+
+
+def test_hot_rows_too_big_to_broadcast_are_joined_otherwise(stored, no_auto_broadcast):
+    main, dim = stored
+    df = kl.lookup_enrich(main, dim, "k", ["c_name"], hot_keys=["7"], broadcast_limit=0)
+    assert "Broadcast" not in plan_of(df)
+    assert df.count() == main.count()
+
+
+def test_required_field_makes_an_inner_join_and_reaches_the_scan(stored, no_auto_broadcast):
+    main, dim = stored
+    plan = plan_of(kl.lookup_enrich(main, dim, "k", ["c_mktsegment"], require=["c_mktsegment"], split_null_keys=True))
+    assert "Inner" in plan and "LeftOuter" not in plan
+    assert "IsNotNull(c_mktsegment)" in plan
+    assert "Union" not in plan  # keyless rows cannot pass, so their branch is gone
+
+
+def test_partitions_are_used_by_the_join(stored, no_auto_broadcast):
+    main, dim = stored
+    plan = plan_of(kl.lookup_enrich(main, dim, "k", ["c_name"], partitions=5))
+    assert plan.count("hashpartitioning(k") == 1 and "hashpartitioning(k" in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_aggregated_dimensions_are_shuffled_once(spark, stored, no_auto_broadcast):
+    main, _ = stored
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    versions = events.select(F.col("user_id").alias("rowkey"), "ts", "event_type")
+    plan = plan_of(kl.lookup_enrich(main, versions, "k", ["event_type"], order_by_version="ts"))
+    assert plan.count("Exchange hashpartitioning") == 2
+
+    cells = versions.select(
+        F.col("rowkey").cast("string"), F.lit("f1").alias("family"), F.lit("q").alias("qualifier"), "ts",
+        F.col("event_type").alias("value"),
+    )
+    plan = plan_of(kl.lookup_enrich(main, kl.cells_to_wide(cells, ["q"]), "k", ["q"]))
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_bucketed_sides_are_not_shuffled(spark, stored, no_auto_broadcast, tmp_path):
+    main, dim = stored
+    kl.save_bucketed(dim, "plan_dim", 4, path=f"{tmp_path}/dim")
+    kl.save_bucketed(main, "plan_main", 4, rowkey="k", path=f"{tmp_path}/main")
+    df = kl.lookup_enrich(spark.table("plan_main"), spark.table("plan_dim"), "k", ["c_name"])
+    assert "Exchange" not in plan_of(df)
+    assert df.count() == main.count()
+
+
+def test_key_reads_reach_the_scan(stored):
+    _, dim = stored
+    assert "EqualTo(rowkey,17)" in plan_of(kl.get_row(dim, "17"))
+    assert "GreaterThanOrEqual(rowkey,10), LessThan(rowkey,120)" in plan_of(kl.range_scan(dim, "10", "12"))
+
+
+def test_keyed_files_hold_separate_key_ranges(stored):
+    _, dim = stored
+    spans = (
+        dim.groupBy(F.input_file_name().alias("file")).agg(F.min("rowkey").alias("low"), F.max("rowkey").alias("high"))
+    ).orderBy("low").collect()
+    assert len(spans) == 4
+    assert all(a.high < b.low for a, b in zip(spans, spans[1:]))
+
+
+def test_small_upserts_leave_the_base_in_place(spark, stored, no_auto_broadcast):
+    _, dim = stored
+    base = kl.wide_to_cells(dim.withColumn("ts", F.lit(1)), {"c_name": "f1", "c_mktsegment": "f2"}, ts="ts")
+    puts = base.where("rowkey < '2'").withColumn("ts", F.lit(2))
+    plan = plan_of(kl.upsert_cells(base, puts, base_is_latest=True, broadcast_limit=1 << 20))
+    untouched = plan[plan.index("LeftAnti") : plan.index("SortAggregate")]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Exchange hashpartitioning(rowkey" in untouched  # the distinct put keys, inside their broadcast
+    assert untouched.index("BroadcastExchange") < untouched.index("Exchange hashpartitioning(rowkey")
+
+    plan = plan_of(kl.upsert_column(dim, puts.select("rowkey", F.col("value").alias("c_name")), "c_name", broadcast_limit=1 << 20))
+    assert "SortMergeJoin" not in plan and "FullOuter" not in plan
+    assert "LeftOuter" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+
+
+def test_versions_are_reduced_before_the_shuffle(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet").select(
+        F.col("user_id").cast("string").alias("rowkey"), F.lit("f1").alias("family"),
+        F.col("event_type").alias("qualifier"), "ts", F.col("props").alias("value"),
+    )
+    for df in (kl.latest_cells(events), kl.cells_to_wide(events, ["click"])):
+        plan = plan_of(df)
+        assert plan.count("Exchange") == 1
+        assert "partial_max" in plan[plan.index("Exchange") :]
+
+
+def test_sql_text_is_optimized_as_a_whole(spark, stored, no_auto_broadcast):
+    main, dim = stored
+    main.createOrReplaceTempView("plan_orders")
+    kl.register_dimension(dim, "plan_customers")
+    plan = plan_of(
+        spark.sql(
+            "SELECT o.o_orderkey, d.c_name FROM plan_orders o LEFT JOIN plan_customers d ON o.k = d.rowkey "
+            "WHERE o.o_totalprice > 100000 AND d.c_mktsegment = 'BUILDING'"
+        )
+    )
+    assert "Inner" in plan
+    assert "GreaterThan(o_totalprice,100000.0)" in plan and "EqualTo(c_mktsegment,BUILDING)" in plan
+    assert "o_orderpriority" not in plan
+
+
+def test_no_python_runs_in_any_query(spark):
+    import __spark_entry__ as contract
+
+    for name, query in contract.queries().items():
+        if not name.startswith(("sink", "job")):
+            plan = plan_of(query(spark, "/root/testdata/sf0.001"))
+            assert "Python" not in plan and "Pandas" not in plan, name
+            assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+            assert "SinglePartition" not in plan, name
