@@ -32,7 +32,7 @@ def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str
     found = (
         keys.groupBy("grp")
         .agg(F.expr(f"approx_top_k_accumulate(item, {tracked})").alias("sketch"), F.count("*").alias("n"))
-        .groupBy(F.lit(0))  # a grouped merge gives no row, not an error, where there are no keys
+        .groupBy(F.lit("all"))  # a grouped merge gives no row, not an error, where there are no keys
         .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n"))
         .select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top"), "n")
         .first()
