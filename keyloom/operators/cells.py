@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyloom.functions.codec import decode_text
+
 # Fixed value: the one column family that lookups read.
 DEFAULT_FAMILY = "f1"
 
@@ -36,6 +38,11 @@ def latest_cells(cells: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataFra
     )
 
 
+def decode_cells(cells: DataFrame) -> DataFrame:
+    """A cell table whose texts are held as UTF-8 bytes, with its binary columns as strings."""
+    return cells.select(*[decode_text(F.col(c)).alias(c) if t == "binary" else F.col(c) for c, t in cells.dtypes])
+
+
 def cells_to_wide(
     cells: DataFrame,
     qualifiers: Sequence[str],

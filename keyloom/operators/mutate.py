@@ -41,13 +41,11 @@ def upsert_cells(
         both = side.withColumn("__put", F.lit(0)).unionByName(put_side, allowMissingColumns=True)
         return latest_cells(both, order).select(*base.columns)
 
-    if base_is_latest and broadcast_limit is not None:
-        touched = puts.select(*CELL_KEY).distinct()
-        if fits_in_broadcast(touched, broadcast_limit):
-            touched = F.broadcast(touched)
-            return base.join(touched, CELL_KEY, "left_anti").unionByName(
-                merged(base.join(touched, CELL_KEY, "left_semi"))
-            )
+    put_keys = puts.select(*CELL_KEY)
+    if base_is_latest and broadcast_limit is not None and fits_in_broadcast(put_keys, broadcast_limit):
+        touched = F.broadcast(put_keys.distinct())
+        untouched = base.join(touched, CELL_KEY, "left_anti")
+        return untouched.unionByName(merged(base.join(touched, CELL_KEY, "left_semi")))
     return merged(base)
 
 
@@ -88,7 +86,8 @@ def upsert_column(
     )
     value = F.coalesce("__new", column).alias(column)
     columns = [value if c == column else F.col(f"`{c}`") for c in base.columns]
-    if broadcast_limit is None or not fits_in_broadcast(new, broadcast_limit):
+    # Measured before the puts are reduced to one per key: no shuffle, and an upper bound.
+    if broadcast_limit is None or not fits_in_broadcast(puts.select(rowkey, column), broadcast_limit):
         return base.join(new, rowkey, "full").select(*columns)
 
     new = F.broadcast(new)

@@ -43,6 +43,9 @@ def multi_get(
     :func:`~keyloom.operators.keyjoin.join_by_key`.
     """
     columns = [c for c in table.columns if c != rowkey]
+    clash = set(columns) & set(requests.columns)
+    if clash:
+        raise ValueError(f"columns of both requests and table: {sorted(clash)}")
     right = table.select(F.col(rowkey).alias("__rowkey"), *[F.col(f"`{c}`") for c in columns])
     return join_by_key(
         requests,

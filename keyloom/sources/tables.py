@@ -27,7 +27,12 @@ def project_main(main: DataFrame, columns: Sequence[Field], key: str | None = No
 
 
 def register_dimension(
-    dim: DataFrame, view: str, *, rowkey: str = "rowkey", order_by_version: str | None = None
+    dim: DataFrame,
+    view: str,
+    *,
+    rowkey: str = "rowkey",
+    fields: Sequence[str] | None = None,
+    order_by_version: str | None = None,
 ) -> None:
     """Make ``dim`` a view that SQL text can left join on ``rowkey`` with lookup semantics.
 
@@ -35,8 +40,13 @@ def register_dimension(
     finds nothing, and with ``order_by_version`` each key has one row, so the
     join multiplies no main row. Filters, projections and functions in the text
     are Spark SQL; the optimizer pushes them through the view to the scans.
+
+    Name the ``fields`` the text may use when versions are reduced: whole rows
+    are compared there, so other columns would be read even if unused.
     """
     dim = dim.where(F.col(rowkey) != "")
+    if fields is not None:
+        dim = dim.select(*dict.fromkeys([rowkey, *fields, *([order_by_version] if order_by_version else [])]))
     if order_by_version is not None:
         dim = latest_rows(dim, rowkey, order_by_version)
     dim.createOrReplaceTempView(view)

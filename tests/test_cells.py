@@ -214,3 +214,11 @@ def test_date_text(spark):
         (None,),
         (None,),
     ]
+
+
+def test_decode_cells(spark):
+    raw = spark.createDataFrame(
+        [(bytearray("é".encode()), bytearray(b"f1"), bytearray(b"q"), 1, bytearray(b"")), (bytearray(b"b"), bytearray(b"f1"), bytearray(b"q"), 1, None)],
+        "rowkey BINARY, family BINARY, qualifier BINARY, ts INT, value BINARY",
+    )
+    assert rows(kl.decode_cells(raw)) == [("b", "f1", "q", 1, None), ("é", "f1", "q", 1, "")]

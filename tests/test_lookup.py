@@ -197,3 +197,15 @@ def test_multi_get_keeps_order_duplicates_and_misses(spark, dim):
         (4, None, None, None),
     ]
     assert kl.multi_get(kl.requested(spark, []), dim).count() == 0
+
+
+def test_multi_get_refuses_shared_columns(spark, dim):
+    with pytest.raises(ValueError, match="both"):
+        kl.multi_get(spark.createDataFrame([("a", 1)], "rowkey STRING, n INT"), dim)
+
+
+@pytest.mark.parametrize("options", OPTIONS, ids=str)
+def test_a_table_can_be_its_own_dimension(spark, options):
+    staff = spark.createDataFrame([("1", "Ann", None), ("2", "Bo", "1"), ("3", "Cy", "2")], "rowkey STRING, name STRING, boss STRING")
+    out = kl.lookup_enrich(staff, staff, "boss", [("name", "boss_name")], **options)
+    assert rows(out) == [("1", "Ann", None), ("2", "Bo", "Ann"), ("3", "Cy", "Bo")]

@@ -98,6 +98,8 @@ def test_registered_dimension_takes_the_latest_version(spark, main):
     kl.register_dimension(dim, "job_versions", order_by_version="v")
     out = spark.sql("SELECT m.code, d.name, d.v FROM job_main m LEFT JOIN job_versions d ON m.k = d.rowkey")
     assert rows(out) == [(1, "new", 2), (2, None, None), (3, None, None), (4, None, None)]
+    kl.register_dimension(dim.withColumn("wide", dim.v), "job_versions", fields=["name"], order_by_version="v")
+    assert spark.table("job_versions").columns == ["rowkey", "name", "v"]
 
 
 def test_submit_entry(spark, sink, main, dim):

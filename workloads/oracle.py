@@ -112,6 +112,7 @@ ORACLE: dict[str, str] = {
     + f"""select rowkey, {", ".join(_last(e, e) for e in ("click", "error", "purchase", "signup", "view"))}
           from E group by rowkey""",
     "cell_decode": "select doc_id, decode(encode(text)) as text from documents",
+    "cells_decode": with_sql("E") + "select * from E",
     "upsert_column": _UPSERT_COLUMN,
     "upsert_column_small": _UPSERT_COLUMN,
     "upsert_arrays": _UPSERT_ARRAYS,

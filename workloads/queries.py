@@ -189,6 +189,12 @@ def cell_decode(spark, sf_dir):
     return documents.select("doc_id", decode_text(F.col("bytes")).alias("text"))
 
 
+def cells_decode(spark, sf_dir):
+    cells = fx.cells_e(spark, sf_dir)
+    held = cells.select(*[encode_text(F.col(c)).alias(c) if t == "string" else c for c, t in cells.dtypes])
+    return kl.decode_cells(held)
+
+
 def upsert_column(spark, sf_dir):
     return kl.upsert_column(fx.dim_k(spark, sf_dir), fx.puts_p(spark, sf_dir), "c_mktsegment")
 
@@ -320,6 +326,7 @@ QUERIES: dict[str, Query] = {
         cells_latest,
         cells_to_wide,
         cell_decode,
+        cells_decode,
         upsert_column,
         upsert_column_small,
         upsert_arrays,
