@@ -2,7 +2,7 @@
 
 from keyloom.operators import *  # noqa: F403
 from keyloom.operators import __all__ as _operators
-from keyloom.plans import find_hot_keys, fits_in_broadcast, measured_bytes
+from keyloom.plans import apply_settings, find_hot_keys, fits_in_broadcast, key_shares, measured_bytes
 from keyloom.plans.job import run_enrichment, run_sql_enrichment
 from keyloom.sinks import append, create_table_as, recreate_table, save_bucketed, write_keyed
 from keyloom.sources import project_main, register_dimension
@@ -10,9 +10,11 @@ from keyloom.sources import project_main, register_dimension
 __all__ = [
     *_operators,
     "append",
+    "apply_settings",
     "create_table_as",
     "find_hot_keys",
     "fits_in_broadcast",
+    "key_shares",
     "measured_bytes",
     "project_main",
     "recreate_table",

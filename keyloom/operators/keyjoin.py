@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keyloom.operators.partition import repartition_by_key, split_by_key
 from keyloom.plans.sizing import BROADCAST_LIMIT, fits_in_broadcast
-from keyloom.plans.skew import find_hot_keys
+from keyloom.plans.skew import key_shares
 
 
 def join_by_key(
@@ -32,16 +32,17 @@ def join_by_key(
 
     * ``broadcast_limit``: measure ``right`` and broadcast it when it fits.
       ``left`` is then read once and not shuffled; skew no longer matters.
-    * ``split_null_keys``: rows without a key skip the join and its shuffle.
+    * ``split_null_keys``: rows without a key skip the join and its shuffle;
+      together with ``hot_share``, where they are at least that share.
     * ``hot_keys`` / ``hot_share``: rows of the hot keys (given, or found at that
       share) are joined in place with a measured broadcast of just their rows.
     * ``partitions``: the shuffled rows are placed in that many partitions.
     * none of these: one plain join; Spark's size statistics and adaptive skew
       handling decide.
 
-    Measuring and finding run a job each when the join is built. The split
-    plans read ``left`` twice, so checkpoint it when it is costly or not
-    repeatable.
+    Measuring and finding run a job each when the join is built, on ``right``
+    and on the key column of ``left``. The split plans read ``left`` twice, so
+    checkpoint it when it is costly or not repeatable.
     """
     # A row key is never empty, so an empty key finds nothing. Comparing the
     # bare columns keeps any bucketing or partitioning of either side usable.
@@ -52,7 +53,9 @@ def join_by_key(
             left = repartition_by_key(left, key, partitions, hot_keys)
         return left.join(F.broadcast(right), on, how)
     if hot_share is not None:
-        hot_keys = sorted({*hot_keys, *find_hot_keys(left, key, hot_share)})
+        shares = key_shares(left, key, hot_share)
+        hot_keys = sorted({*hot_keys, *shares.hot_keys})
+        split_null_keys = split_null_keys and shares.keyless >= hot_share
     if not (hot_keys or split_null_keys or partitions):
         return left.join(right, on, how)
 

@@ -1,4 +1,15 @@
+from keyloom.plans.settings import SETTINGS, apply_settings
 from keyloom.plans.sizing import BROADCAST_LIMIT, fits_in_broadcast, measured_bytes
-from keyloom.plans.skew import HOT_SHARE, find_hot_keys
+from keyloom.plans.skew import HOT_SHARE, KeyShares, find_hot_keys, key_shares
 
-__all__ = ["BROADCAST_LIMIT", "HOT_SHARE", "find_hot_keys", "fits_in_broadcast", "measured_bytes"]
+__all__ = [
+    "BROADCAST_LIMIT",
+    "HOT_SHARE",
+    "SETTINGS",
+    "KeyShares",
+    "apply_settings",
+    "find_hot_keys",
+    "fits_in_broadcast",
+    "key_shares",
+    "measured_bytes",
+]

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from keyloom.operators.lookup import Field, lookup_enrich
+from keyloom.plans.settings import apply_settings
 from keyloom.plans.sizing import BROADCAST_LIMIT
 from keyloom.plans.skew import HOT_SHARE
 from keyloom.sinks.tables import append
@@ -70,6 +71,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--by-name", action="store_true", help="match sink columns by name, not position")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("keyloom enrichment").getOrCreate()
+    apply_settings(spark)
     run_sql_enrichment(spark, args.sql, sink=args.sink, by_name=args.by_name)
 
 

@@ -1,7 +1,9 @@
-"""Finding the keys that hold a large share of a table."""
+"""How the rows of a table are spread over its lookup keys."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,29 +16,52 @@ HOT_SHARE = 0.002
 _MERGE_GROUPS = 256
 
 
-def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str]:
-    """Keys that hold at least ``share`` of the keyed rows, by a frequent-items sketch.
+@dataclass(frozen=True)
+class KeyShares:
+    """``hot_keys`` hold the asked-for share of the keyed rows each; ``keyless`` is the share of rows without a key."""
+
+    hot_keys: list[str] = field(default_factory=list)
+    keyless: float = 0.0
+
 
-    Reads the key column only and shuffles sketches, not keys. At most
-    ``1 / share`` keys can qualify, which bounds the returned list. The answer
-    steers the plan alone: a key missed or named needlessly changes no result.
+def key_shares(df: DataFrame, key: str, share: float = HOT_SHARE) -> KeyShares:
+    """Hot keys by a frequent-items sketch, and the exact share of keyless rows.
+
+    One job that reads the key column only and shuffles sketches, not keys. At
+    most ``1 / share`` keys can qualify, which bounds the returned list. The
+    answer steers the plan alone: a key missed or named needlessly changes no
+    result.
     """
     if not 1e-4 <= share <= 1:
         raise ValueError(f"share must be in [0.0001, 1], got {share}")
     most = int(1 / share)
     tracked = 8 * most  # keeps the sketch error well below one share
-    keys = df.select(
-        nullif_empty(F.col(key).cast("string")).alias("item"),
-        F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("grp"),
-    ).where("item is not null")
     found = (
-        keys.groupBy("grp")
-        .agg(F.expr(f"approx_top_k_accumulate(item, {tracked})").alias("sketch"), F.count("*").alias("n"))
-        .groupBy(F.lit("all"))  # a grouped merge gives no row, not an error, where there are no keys
-        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n"))
-        .select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top"), "n")
+        df.select(
+            nullif_empty(F.col(key).cast("string")).alias("item"),
+            F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("grp"),
+        )
+        .groupBy("grp")
+        .agg(
+            F.expr(f"approx_top_k_accumulate(item, {tracked}) FILTER (WHERE item IS NOT NULL)").alias("sketch"),
+            F.count("*").alias("n_rows"),
+            F.count("item").alias("n_keyed"),
+        )
+        .groupBy(F.lit("all"))  # a grouped merge gives no row, not an error, where there are no rows
+        .agg(
+            F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
+            F.sum("n_rows").alias("n_rows"),
+            F.sum("n_keyed").alias("n_keyed"),
+        )
+        .select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top"), "n_rows", "n_keyed")
         .first()
     )
     if found is None:
-        return []
-    return sorted(t["item"] for t in found["top"] if t["count"] >= share * found["n"])
+        return KeyShares()
+    hot = sorted(t["item"] for t in found["top"] if t["count"] >= share * found["n_keyed"])
+    return KeyShares(hot, (found["n_rows"] - found["n_keyed"]) / found["n_rows"])
+
+
+def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str]:
+    """Keys that hold at least ``share`` of the keyed rows; see :func:`key_shares`."""
+    return key_shares(df, key, share).hot_keys

@@ -86,6 +86,23 @@ def test_hot_rows_too_big_to_broadcast_are_joined_otherwise(stored, no_auto_broa
     assert df.count() == main.count()
 
 
+def test_nothing_hot_means_one_read_of_main(stored, no_auto_broadcast):
+    main, dim = stored
+    even = main.where("k != '7'")  # neither keyless rows nor a hot key are left
+    plan = plan_of(kl.lookup_enrich(even, dim, "k", ["c_name"], hot_share=0.1, split_null_keys=True))
+    assert "Union" not in plan and len(scans(plan)) == 2
+
+
+def test_small_partitions_are_hashed_at_run_time(spark, stored, no_auto_broadcast):
+    main, dim = stored
+    threshold = kl.plans.SETTINGS["spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"]
+    with settings(spark, adaptive__maxShuffledHashJoinLocalMapThreshold=threshold):
+        df = kl.lookup_enrich(main, dim, "k", ["c_name"], split_null_keys=True)
+        assert len(df.collect()) == main.count()
+        final = plan_of(df).split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+
+
 def test_required_field_makes_an_inner_join_and_reaches_the_scan(stored, no_auto_broadcast):
     main, dim = stored
     plan = plan_of(kl.lookup_enrich(main, dim, "k", ["c_mktsegment"], require=["c_mktsegment"], split_null_keys=True))

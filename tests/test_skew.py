@@ -32,6 +32,12 @@ def test_find_hot_keys(spark, skewed):
         kl.find_hot_keys(skewed, "k", 0)
 
 
+def test_keyless_share(skewed):
+    assert kl.key_shares(skewed, "k").keyless == skewed.where("k is null or k = ''").count() / N
+    assert kl.key_shares(skewed.where("k is null"), "k").keyless == 1
+    assert kl.key_shares(skewed.where("k = 'hot'"), "k").keyless == 0
+
+
 def test_every_key_at_or_over_the_share_is_found(spark):
     # 50 keys with 1% each, the other half spread thin.
     df = spark.range(0, N, 1, 8).select(
