@@ -1,4 +1,4 @@
-from keyloom.operators.cells import cells_to_wide, decode_cells, latest_cells, wide_to_cells
+from keyloom.operators.cells import cells_to_wide, decode_cells, empty_cells, latest_cells, wide_to_cells
 from keyloom.operators.keyjoin import join_by_key
 from keyloom.operators.lookup import duplicate_keys, lookup_enrich
 from keyloom.operators.mutate import (
@@ -21,6 +21,7 @@ __all__ = [
     "delete_row",
     "delete_rows",
     "duplicate_keys",
+    "empty_cells",
     "get_cells",
     "get_latest_cells",
     "get_row",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyloom.functions.codec import decode_text
@@ -19,7 +19,12 @@ from keyloom.functions.codec import decode_text
 DEFAULT_FAMILY = "f1"
 
 CELL_KEY = ["rowkey", "family", "qualifier"]
-CELL_COLUMNS = [*CELL_KEY, "ts", "value"]
+CELL_SCHEMA = "rowkey STRING, family STRING, qualifier STRING, ts TIMESTAMP_NTZ, value STRING"
+
+
+def empty_cells(spark: SparkSession) -> DataFrame:
+    """A cell table without cells, to create a table from."""
+    return spark.createDataFrame([], CELL_SCHEMA)
 
 
 def latest_cells(cells: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataFrame:

@@ -11,11 +11,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.operators.cells import CELL_KEY, latest_cells
+from keyloom.operators.cells import CELL_KEY
 from keyloom.operators.keyjoin import join_by_key
 from keyloom.plans.sizing import fits_in_broadcast
 
 
+def _versions(side: DataFrame, put: int, order_by: Sequence[str], columns: Sequence[str], types: dict) -> DataFrame:
+    """Cell key and one struct that sorts by version, then put before base, then value."""
+    missing = {c: F.lit(None).cast(types[c]).alias(c) for c in order_by if c not in side.columns}
+    rest = [c for c in columns if c not in CELL_KEY and c not in order_by]
+    order = [missing.get(c, F.col(c)) for c in order_by]
+    return side.select(*CELL_KEY, F.struct(*order, F.lit(put).alias("__put"), *rest).alias("__cell"))
+
+
+def _newest(versions: DataFrame) -> DataFrame:
+    return versions.groupBy(*CELL_KEY).agg(F.max("__cell").alias("__cell"))
+
+
 def upsert_cells(
     base: DataFrame,
     puts: DataFrame,
@@ -30,23 +42,27 @@ def upsert_cells(
     columns that only ``puts`` has (a sequence number, say) count as lowest in
     the base.
 
-    When ``base`` already holds one version per cell (``base_is_latest``) and
-    the measured keys of ``puts`` fit ``broadcast_limit``, only the cells they
-    touch are shuffled; the rest of the base passes through in place.
+    * A base with many versions per cell is reduced together with the puts.
+    * When it already holds one version per cell (``base_is_latest``) there is
+      nothing to reduce: only the puts are, and the two are joined by cell.
+    * When, besides, the measured keys of the puts fit ``broadcast_limit``, only
+      the cells they touch are shuffled and the rest of the base stays in place.
     """
-    put_side = puts.withColumn("__put", F.lit(1))
-    order = [*order_by, "__put"]
-
-    def merged(side: DataFrame) -> DataFrame:
-        both = side.withColumn("__put", F.lit(0)).unionByName(put_side, allowMissingColumns=True)
-        return latest_cells(both, order).select(*base.columns)
+    types = {**dict(puts.dtypes), **dict(base.dtypes)}
+    old = _versions(base, 0, order_by, base.columns, types)
+    new = _versions(puts, 1, order_by, base.columns, types)
 
     put_keys = puts.select(*CELL_KEY)
-    if base_is_latest and broadcast_limit is not None and fits_in_broadcast(put_keys, broadcast_limit):
+    if not base_is_latest:
+        merged = _newest(old.unionByName(new))
+    elif broadcast_limit is not None and fits_in_broadcast(put_keys, broadcast_limit):
         touched = F.broadcast(put_keys.distinct())
-        untouched = base.join(touched, CELL_KEY, "left_anti")
-        return untouched.unionByName(merged(base.join(touched, CELL_KEY, "left_semi")))
-    return merged(base)
+        changed = _newest(old.join(touched, CELL_KEY, "left_semi").unionByName(new))
+        merged = old.join(touched, CELL_KEY, "left_anti").unionByName(changed)
+    else:
+        both = old.join(_newest(new).withColumnRenamed("__cell", "__new"), CELL_KEY, "full")
+        merged = both.select(*CELL_KEY, F.greatest("__cell", "__new").alias("__cell"))
+    return merged.select(*[c if c in CELL_KEY else F.col(f"__cell.`{c}`").alias(c) for c in base.columns])
 
 
 def put_cell(base: DataFrame, rowkey: str, family: str, qualifier: str, value: str, ts) -> DataFrame:

@@ -86,7 +86,12 @@ def test_range_family(base):
     assert rows(kl.range_scan_family(base, "f2", "a", "b")) == [("a", "f2", "x", 5, "other")]
 
 
-UPSERT_OPTIONS = [{}, {"base_is_latest": True, "broadcast_limit": 1 << 20}, {"base_is_latest": True, "broadcast_limit": 0}]
+UPSERT_OPTIONS = [
+    {},
+    {"base_is_latest": True},
+    {"base_is_latest": True, "broadcast_limit": 0},
+    {"base_is_latest": True, "broadcast_limit": 1 << 20},
+]
 
 
 @pytest.mark.parametrize("options", UPSERT_OPTIONS, ids=str)
@@ -119,14 +124,26 @@ def test_upsert_reduces_base_versions(spark, base):
     ]
 
 
-def test_upsert_order_by_sequence(spark, base):
+@pytest.mark.parametrize("options", UPSERT_OPTIONS, ids=str)
+def test_upsert_order_by_sequence(spark, base, options):
     puts = spark.createDataFrame(
         [("b", "f1", "x", 3, "first", 1), ("b", "f1", "x", 3, "second", 2)], CELLS + ", seq INT"
     )
-    out = kl.upsert_cells(base, puts.withColumn("value", F.concat(F.lit("z"), F.lit(9) - F.col("seq"))), order_by=("ts", "seq"))
+    base = kl.latest_cells(base)
+    out = kl.upsert_cells(base, puts.withColumn("value", F.concat(F.lit("z"), F.lit(9) - F.col("seq"))), order_by=("ts", "seq"), **options)
     assert ("b", "f1", "x", 3, "z7") in rows(out)
 
 
+def test_upsert_into_an_empty_table(spark):
+    empty = kl.empty_cells(spark)
+    put = spark.createDataFrame([("a", "f1", "x", "v")], "rowkey STRING, family STRING, qualifier STRING, value STRING")
+    put = put.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    for options in UPSERT_OPTIONS:
+        out = kl.upsert_cells(empty, put, **options)
+        assert out.columns == empty.columns
+        assert [(r.rowkey, r.value) for r in out.collect()] == [("a", "v")]
+
+
 def test_put_cell(base):
     out = kl.put_cell(base, "b", "f1", "x", "now", 7)
     assert ("b", "f1", "x", 7, "now") in rows(out)

@@ -172,6 +172,15 @@ def test_small_upserts_leave_the_base_in_place(spark, stored, no_auto_broadcast)
     assert "LeftOuter" in plan and "LeftAnti" in plan and "LeftSemi" in plan
 
 
+def test_latest_base_is_joined_not_reduced(spark, stored, no_auto_broadcast):
+    _, dim = stored
+    base = kl.wide_to_cells(dim.withColumn("ts", F.lit(1)), {"c_name": "f1", "c_mktsegment": "f2"}, ts="ts")
+    plan = plan_of(kl.upsert_cells(base, base.withColumn("ts", F.lit(2)), base_is_latest=True))
+    assert "FullOuter" in plan
+    assert plan.count("partial_max") == 1  # the puts only
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_versions_are_reduced_before_the_shuffle(spark):
     events = spark.read.parquet(f"{DATA}/events.parquet").select(
         F.col("user_id").cast("string").alias("rowkey"), F.lit("f1").alias("family"),

@@ -119,6 +119,7 @@ ORACLE: dict[str, str] = {
     "upsert_arrays_rejected": with_sql("A")
     + """select rowkey, len("values")::integer as n_values from A where len(columns) <> len("values")""",
     "upsert_cells": _UPSERT_CELLS,
+    "upsert_cells_latest": _UPSERT_CELLS,
     "upsert_cells_small": _UPSERT_CELLS,
     "delete_rows": with_sql("K")
     + "select * from K where rowkey not in (select cast(s_suppkey as varchar) from supplier)",

@@ -218,6 +218,11 @@ def upsert_cells(spark, sf_dir):
     return kl.upsert_cells(fx.cells_c(spark, sf_dir), fx.puts_p_cells(spark, sf_dir)).drop("ts")
 
 
+def upsert_cells_latest(spark, sf_dir):
+    """Same upsert on a base that holds one version per cell: a join by cell."""
+    return kl.upsert_cells(fx.cells_c(spark, sf_dir), fx.puts_p_cells(spark, sf_dir), base_is_latest=True).drop("ts")
+
+
 def upsert_cells_small(spark, sf_dir):
     """Same upsert, planned without a shuffle of untouched cells when the puts are measured small."""
     return kl.upsert_cells(
@@ -332,6 +337,7 @@ QUERIES: dict[str, Query] = {
         upsert_arrays,
         upsert_arrays_rejected,
         upsert_cells,
+        upsert_cells_latest,
         upsert_cells_small,
         delete_rows,
         delete_rows_cells,
