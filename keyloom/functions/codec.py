@@ -23,6 +23,11 @@ def decode_text(value: Column) -> Column:
     return F.make_valid_utf8(value.cast("string"))
 
 
+def as_text(value: Column, data_type: str) -> Column:
+    """A column of the named type as string: bytes are decoded, anything else is cast."""
+    return decode_text(value) if data_type == "binary" else value.cast("string")
+
+
 def format_datetime(value: Column, fmt: str = DATETIME_FORMAT) -> Column:
     """Date text in ``fmt``; unreadable text gives null instead of an ANSI error."""
     return F.date_format(value.try_cast("timestamp_ntz"), fmt)

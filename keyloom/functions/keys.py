@@ -6,16 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def text_key(key: Column) -> Column:
+    """The key as text, which for a string column is the column itself."""
+    return key.cast("string")
+
+
 def has_key(key: Column) -> Column:
     """True for a usable lookup key, false for null and for the empty string."""
-    return key.isNotNull() & (key != "")
+    return key.isNotNull() & (text_key(key) != "")
 
 
 def no_key(key: Column) -> Column:
     """Complement of :func:`has_key`; never null, so the two split a table exactly."""
-    return key.isNull() | (key == "")
+    return key.isNull() | (text_key(key) == "")
 
 
 def nullif_empty(key: Column) -> Column:
     """The key itself, or null where there is none."""
-    return F.when(key != "", key)
+    return F.when(text_key(key) != "", key)

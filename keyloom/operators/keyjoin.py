@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyloom.functions.keys import has_key, text_key
 from keyloom.operators.partition import repartition_by_key, split_by_key
 from keyloom.plans.sizing import BROADCAST_LIMIT, fits_in_broadcast
 from keyloom.plans.skew import key_shares
@@ -27,8 +28,8 @@ def join_by_key(
 ) -> DataFrame:
     """Join ``left`` with the one ``right`` row per key; ``how`` is left, left_semi or left_anti.
 
-    The two share no column name. Null and empty keys match nothing. How the
-    options shape the plan:
+    The two share no column name. Null and empty keys match nothing; keys of
+    different types are compared as text. How the options shape the plan:
 
     * ``broadcast_limit``: measure ``right`` and broadcast it when it fits.
       ``left`` is then read once and not shuffled; skew no longer matters.
@@ -46,8 +47,10 @@ def join_by_key(
     """
     # A row key is never empty, so an empty key finds nothing. Comparing the
     # bare columns keeps any bucketing or partitioning of either side usable.
-    right = right.where(F.col(rowkey) != "")
+    right = right.where(has_key(F.col(rowkey)))
     on = F.col(key) == F.col(rowkey)
+    if left.schema[key].dataType != right.schema[rowkey].dataType:
+        on = text_key(F.col(key)) == text_key(F.col(rowkey))
     if broadcast_limit is not None and fits_in_broadcast(right, broadcast_limit):
         if partitions:
             left = repartition_by_key(left, key, partitions, hot_keys)
@@ -64,7 +67,7 @@ def join_by_key(
         cold, free = cold.repartition(partitions, key), free.repartition(partitions)
     joined = cold.join(right, on, how)
     if hot_keys:
-        hot_rows = right.where(F.col(rowkey).isin(list(hot_keys)))
+        hot_rows = right.where(text_key(F.col(rowkey)).isin(list(hot_keys)))
         limit = BROADCAST_LIMIT if broadcast_limit is None else broadcast_limit
         if fits_in_broadcast(hot_rows, limit):
             hot_rows = F.broadcast(hot_rows)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyloom.functions.codec import as_text
 from keyloom.operators.keyjoin import join_by_key
 
 Field = str | tuple[str, str]
@@ -81,15 +82,17 @@ def lookup_enrich(
     if not pairs:
         return main.select(*[F.col(f"`{c}`") for c in main_columns])
     names = list(dict.fromkeys(f for f, _ in pairs))
-    values = [F.col(f).cast("string").alias(f"__dim_{i}") for i, f in enumerate(names)]
-    right = dim.select(F.col(rowkey).cast("string").alias(_ROWKEY), *values)
+    types = dict(dim.dtypes)
+    row = as_text(F.col(rowkey), types[rowkey]).alias(_ROWKEY)
+    values = [as_text(F.col(f), types[f]).alias(f"__dim_{i}") for i, f in enumerate(names)]
+    right = dim.select(row, *values)
     if order_by_version is not None:
         # Keys are text before they are grouped: the join then reuses that shuffle.
-        version = F.col(order_by_version).alias("__version")
-        versions = dim.select(F.col(rowkey).cast("string").alias(_ROWKEY), *values, version)
+        versions = dim.select(row, *values, F.col(order_by_version).alias("__version"))
         right = latest_rows(versions, _ROWKEY, "__version").drop("__version")
-    if main.schema[key].dataType.simpleString() != "string":
-        main = main.withColumn(key, F.col(key).cast("string"))
+    key_type = dict(main.dtypes)[key]
+    if key_type != "string":
+        main = main.withColumn(key, as_text(F.col(key), key_type))
     joined = join_by_key(
         main,
         key,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.functions.keys import has_key, no_key
+from keyloom.functions.keys import has_key, no_key, text_key
 
 
 def split_by_key(df: DataFrame, key: str, hot_keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -19,7 +19,7 @@ def split_by_key(df: DataFrame, key: str, hot_keys: Sequence[str] = ()) -> tuple
     column = F.col(key)
     if not hot_keys:
         return df.where(has_key(column)), df.where(no_key(column))
-    hot = column.isin(list(hot_keys))
+    hot = text_key(column).isin(list(hot_keys))
     return df.where(has_key(column) & ~hot), df.where(no_key(column) | hot)
 
 

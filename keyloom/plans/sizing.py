@@ -11,16 +11,13 @@ from pyspark.sql import types as T
 # Largest side we broadcast on our own account, in bytes as held in memory.
 BROADCAST_LIMIT = 64 << 20
 
-_FLAT = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
-
-
 def _value_bytes(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, _FLAT):
-        return F.lit(8)  # wide decimals take 16 more; covered by the row overhead
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(column), F.lit(0)) + 8
-    return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) * 2 + 8
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) * 2 + 8
+    return F.lit(24)  # the widest fixed-size value, a long decimal
 
 
 def measured_bytes(df: DataFrame) -> int:

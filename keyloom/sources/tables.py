@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyloom.functions.keys import has_key
 from keyloom.operators.lookup import Field, latest_rows
 
 
@@ -44,7 +45,7 @@ def register_dimension(
     Name the ``fields`` the text may use when versions are reduced: whole rows
     are compared there, so other columns would be read even if unused.
     """
-    dim = dim.where(F.col(rowkey) != "")
+    dim = dim.where(has_key(F.col(rowkey)))
     if fields is not None:
         dim = dim.select(*dict.fromkeys([rowkey, *fields, *([order_by_version] if order_by_version else [])]))
     if order_by_version is not None:

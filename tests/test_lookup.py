@@ -100,7 +100,19 @@ def test_empty_row_key_in_dimension_is_never_found(spark, main):
 def test_number_keys_match_as_text(spark):
     main = spark.createDataFrame([(1, 10), (2, None)], "id INT, k BIGINT")
     dim = spark.createDataFrame([(10, "ten")], "rowkey INT, name STRING")
-    assert rows(kl.lookup_enrich(main, dim, "k", ["name"])) == [(1, "ten"), (2, None)]
+    for options in OPTIONS:
+        options = {**options, "hot_keys": ["10"]} if "hot_keys" in options else options
+        assert rows(kl.lookup_enrich(main, dim, "k", ["name"], **options)) == [(1, "ten"), (2, None)]
+    assert rows(kl.repartition_by_key(main, "k", 2, ["10"])) == rows(main)
+    text = spark.createDataFrame([("10", "ten"), ("x", "no number")], "rowkey STRING, name STRING")
+    got = kl.multi_get(main, text, key="k", split_null_keys=True, hot_share=0.5)
+    assert rows(got) == [(1, 10, "ten"), (2, None, None)]
+
+
+def test_bytes_in_the_dimension_are_decoded(spark):
+    main = spark.createDataFrame([(1, "é")], "id INT, k STRING")
+    dim = spark.createDataFrame([(bytearray("é".encode()), bytearray(b"ok\xff"))], "rowkey BINARY, name BINARY")
+    assert rows(kl.lookup_enrich(main, dim, "k", ["name"])) == [(1, "ok\ufffd")]
 
 
 @pytest.mark.parametrize("options", OPTIONS, ids=str)
