@@ -46,6 +46,19 @@ def _last(event_type: str, alias: str) -> str:
     return f"arg_max(value, ts) filter (where qualifier = '{event_type}') as {alias}"
 
 
+def _placement(main: str) -> str:
+    """Keyed rows sit in one partition, unless the key has a tenth of them."""
+    return (
+        with_sql(main)
+        + f""", counts as (
+            select nullif(customer_index_rowkey_id, '') as key, count(*)::bigint as n_rows from {main} group by 1)
+         select key, n_rows,
+                (case when key is null or n_rows >= 0.1 * (select sum(n_rows) from counts where key is not null)
+                      then 0 else 1 end)::bigint as n_parts
+         from counts"""
+    )
+
+
 ORACLE: dict[str, str] = {
     "main_projection": "select o_orderkey as order_code, o_totalprice, o_orderpriority from orders",
     "lookup_left": _LEFT,
@@ -83,11 +96,12 @@ ORACLE: dict[str, str] = {
             select rowkey, {_last("click", "click")}, {_last("purchase", "purchase")} from E group by rowkey)
          select M.o_orderkey as order_code, M.o_totalprice, W.click as last_click, W.purchase as last_purchase
          from M left join W on nullif(M.customer_index_rowkey_id, '') = W.rowkey""",
-    "repartition_by_key": with_sql("M")
-    + """select nullif(customer_index_rowkey_id, '') as key, count(*)::bigint as n_rows,
-                (case when nullif(customer_index_rowkey_id, '') is null then 0 else 1 end)::bigint as n_parts
-         from M group by 1, 3""",
+    "repartition_by_key": _placement("M"),
+    "repartition_hot_key": _placement("H"),
     "get_row": with_sql("K") + "select * from K where rowkey = '17'",
+    "get_row_latest": with_sql("E")
+    + """select * from E where rowkey = '7'
+         qualify row_number() over (partition by rowkey, family, qualifier order by ts desc, value desc) = 1""",
     "get_cells": with_sql("K")
     + """, keys as (select cast(s_suppkey as varchar) as k from supplier)
          select rowkey, 'c_name' as qualifier, c_name as value from K

@@ -19,6 +19,7 @@ MAIN_COLUMNS = [("o_orderkey", "order_code"), "o_totalprice"]
 DIM_FIELDS = [("c_name", "nm"), ("c_mktsegment", "seg")]
 SINK_COLUMNS = "order_code BIGINT, o_totalprice DOUBLE, nm STRING, seg STRING"
 PARTITIONS = 20
+PLACEMENT_SHARE = 0.1
 
 # Plan by measurement: broadcast a small dimension, else keep keyless and hot rows out of the shuffle.
 MEASURED = {"broadcast_limit": BROADCAST_LIMIT, "split_null_keys": True, "hot_share": HOT_SHARE}
@@ -133,24 +134,38 @@ def lookup_cells_dimension(spark, sf_dir):
     )
 
 
-def repartition_by_key(spark, sf_dir):
-    placed = kl.repartition_by_key(fx.main_m(spark, sf_dir).select(fx.KEY), fx.KEY, PARTITIONS)
+def _placement(main):
+    """Rows and partitions per key; keyless rows and hot keys are spread on purpose and count 0 partitions."""
+    keys = main.select(fx.KEY)
+    hot = kl.find_hot_keys(keys, fx.KEY, PLACEMENT_SHARE)
+    placed = kl.repartition_by_key(keys, fx.KEY, PARTITIONS, hot)
+    key = F.col("key")
+    together = key.isNotNull() & ~key.isin(hot)
     return (
         placed.select(nullif_empty(F.col(fx.KEY)).alias("key"), F.spark_partition_id().alias("part"))
         .groupBy("key", "part")
         .agg(F.count("*").alias("n"))
         .groupBy("key")
-        .agg(
-            F.sum("n").alias("n_rows"),
-            F.count(F.when(F.col("key").isNotNull(), F.col("part"))).alias("n_parts"),
-        )
+        .agg(F.sum("n").alias("n_rows"), F.count(F.when(together, F.col("part"))).alias("n_parts"))
     )
 
 
+def repartition_by_key(spark, sf_dir):
+    return _placement(fx.main_m(spark, sf_dir))
+
+
+def repartition_hot_key(spark, sf_dir):
+    return _placement(fx.main_h(spark, sf_dir))
+
+
 def get_row(spark, sf_dir):
     return kl.get_row(fx.dim_k(spark, sf_dir), "17")
 
 
+def get_row_latest(spark, sf_dir):
+    return kl.latest_cells(kl.get_row(fx.cells_e(spark, sf_dir), "7"))
+
+
 def get_cells(spark, sf_dir):
     keys = fx.table(spark, sf_dir, "supplier").select(fx.text("s_suppkey").alias("rowkey"))
     return kl.get_cells(
@@ -322,7 +337,9 @@ QUERIES: dict[str, Query] = {
         lookup_versioned,
         lookup_cells_dimension,
         repartition_by_key,
+        repartition_hot_key,
         get_row,
+        get_row_latest,
         get_cells,
         get_latest_cells,
         multi_get,
