@@ -38,9 +38,9 @@ def upsert_cells(
 ) -> DataFrame:
     """The latest cells of ``base`` after ``puts``, with the columns of ``base``.
 
-    Cells not put stay. At equal versions a put wins over the base. Version
-    columns that only ``puts`` has (a sequence number, say) count as lowest in
-    the base.
+    Cells not put stay, and a null value puts nothing. At equal versions a put
+    wins over the base. Version columns that only ``puts`` has (a sequence
+    number, say) count as lowest in the base.
 
     * A base with many versions per cell is reduced together with the puts.
     * When it already holds one version per cell (``base_is_latest``) there is
@@ -48,6 +48,7 @@ def upsert_cells(
     * When, besides, the measured keys of the puts fit ``broadcast_limit``, only
       the cells they touch are shuffled and the rest of the base stays in place.
     """
+    puts = puts.where(F.col("value").isNotNull())
     types = {**dict(puts.dtypes), **dict(base.dtypes)}
     old = _versions(base, 0, order_by, base.columns, types)
     new = _versions(puts, 1, order_by, base.columns, types)
@@ -66,7 +67,7 @@ def upsert_cells(
 
 
 def put_cell(base: DataFrame, rowkey: str, family: str, qualifier: str, value: str, ts) -> DataFrame:
-    """Upsert of a single cell, with version ``ts``."""
+    """Upsert of a single cell, with version ``ts``; all other cells pass through in place, as they are."""
     put = base.sparkSession.range(1).select(
         F.lit(rowkey).alias("rowkey"),
         F.lit(family).alias("family"),
@@ -74,7 +75,12 @@ def put_cell(base: DataFrame, rowkey: str, family: str, qualifier: str, value: s
         F.lit(ts).cast(base.schema["ts"].dataType).alias("ts"),
         F.lit(value).alias("value"),
     )
-    return upsert_cells(base, put)
+    cell = (
+        F.col("rowkey").eqNullSafe(rowkey)
+        & F.col("family").eqNullSafe(family)
+        & F.col("qualifier").eqNullSafe(qualifier)
+    )
+    return base.where(~cell).unionByName(upsert_cells(base.where(cell), put))
 
 
 def upsert_column(
@@ -90,11 +96,12 @@ def upsert_column(
 
     Keys new to the base become rows whose other columns are null. Several puts
     for a key are settled by ``order_by``, then by the greatest value. A null
-    put leaves the old value.
+    value puts nothing.
 
     When the measured puts fit ``broadcast_limit`` the base is not shuffled:
     the puts go to the base rows, and the new keys are the puts that met none.
     """
+    puts = puts.where(F.col(column).isNotNull())
     new = (
         puts.groupBy(rowkey)
         .agg(F.max(F.struct(*order_by, F.col(column).alias("__value"))).alias("__put"))
@@ -109,7 +116,7 @@ def upsert_column(
     new = F.broadcast(new)
     updated = base.join(new, rowkey, "left").select(*columns)
     # No more keys than puts, which were measured: safe to broadcast in turn.
-    found = F.broadcast(base.select(rowkey).join(new.select(rowkey), rowkey, "left_semi"))
+    found = F.broadcast(base.select(rowkey).join(new.select(rowkey), rowkey, "left_semi").distinct())
     inserted = new.join(found, rowkey, "left_anti").select(
         *[
             F.col(c) if c == rowkey else F.col("__new").alias(c) if c == column else F.lit(None).cast(t).alias(c)
@@ -127,7 +134,6 @@ def array_puts(puts: DataFrame, family: str, *, columns: str = "columns", values
     """Cells of put rows ``(rowkey, columns array, values array, ts)``, with their array position ``seq``.
 
     Rows whose arrays differ in length are refused whole (:func:`rejected_puts`).
-    A null value puts nothing.
     """
     return (
         puts.where(_fits(puts, columns, values))
@@ -138,7 +144,6 @@ def array_puts(puts: DataFrame, family: str, *, columns: str = "columns", values
             F.posexplode(F.arrays_zip(F.col(columns).alias("q"), F.col(values).alias("v"))).alias("seq", "pair"),
         )
         .select("rowkey", "family", F.col("pair.q").alias("qualifier"), "ts", F.col("pair.v").alias("value"), "seq")
-        .where("value is not null")
     )
 
 

@@ -9,7 +9,7 @@ import pytest
 import keyloom as kl
 from keyloom.functions import decode_text, encode_text, format_datetime
 from pyspark.sql import functions as F
-from tests.helpers import rows
+from tests.helpers import plan_of, rows
 
 CELLS = "rowkey STRING, family STRING, qualifier STRING, ts INT, value STRING"
 KEYS = "rowkey STRING"
@@ -103,6 +103,7 @@ def test_upsert_cells(spark, base, options):
         ("b", "f1", "y", 1, "new column"),
         ("c", "f1", "x", 1, "new row"),
         ("c", "f1", "x", 2, ""),
+        ("c", "f1", "x", 3, None),  # no value: puts nothing
     )
     assert rows(kl.upsert_cells(kl.latest_cells(base), puts, **options)) == [
         ("a", "f1", "x", 2, "A"),
@@ -145,9 +146,12 @@ def test_upsert_into_an_empty_table(spark):
 
 
 def test_put_cell(base):
-    out = kl.put_cell(base, "b", "f1", "x", "now", 7)
-    assert ("b", "f1", "x", 7, "now") in rows(out)
-    assert len(rows(out)) == 4
+    before = rows(base)
+    out = rows(kl.put_cell(base, "b", "f1", "x", "now", 7))
+    assert out == sorted([r for r in before if r[0] != "b"] + [("b", "f1", "x", 7, "now")])
+    assert rows(kl.put_cell(base, "b", "f1", "x", "late", 2)) == before
+    assert rows(kl.put_cell(base, "b", "f1", "y", "", 1)) == sorted([*before, ("b", "f1", "y", 1, "")])
+    assert "Exchange" not in plan_of(kl.put_cell(base, "b", "f1", "x", "now", 7)).partition("SortAggregate")[0]
 
 
 @pytest.mark.parametrize("options", UPSERT_OPTIONS, ids=str)
@@ -171,7 +175,7 @@ def test_random_upserts_agree_with_a_dict(spark, options):
 def test_upsert_column(spark, limit):
     base = spark.createDataFrame([("a", "1", 1), ("b", None, 2), ("c", "3", 3)], "rowkey STRING, x STRING, n INT")
     puts = spark.createDataFrame(
-        [("b", "B", 1), ("c", "older", 1), ("c", "newer", 2), ("d", "D", 1), ("a", None, 1)], "rowkey STRING, x STRING, s INT"
+        [("b", "B", 1), ("c", "older", 1), ("c", "newer", 2), ("c", None, 3), ("d", "D", 1), ("a", None, 1), ("e", None, 1)], "rowkey STRING, x STRING, s INT"
     )
     out = kl.upsert_column(base, puts, "x", order_by=["s"], broadcast_limit=limit)
     assert out.columns == base.columns
