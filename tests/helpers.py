@@ -16,13 +16,6 @@ def plan_of(df) -> str:
     return out.getvalue()
 
 
-def branches(plan: str) -> list[str]:
-    """The texts of the two sides of a top-level union."""
-    head, _, last = plan.rpartition("\n+- Project")
-    if not last:
-        head, _, last = plan.rpartition("\n   +- ")
-    return [head, last]
-
 
 @contextlib.contextmanager
 def settings(spark, **conf):

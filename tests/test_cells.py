@@ -131,7 +131,8 @@ def test_upsert_order_by_sequence(spark, base, options):
         [("b", "f1", "x", 3, "first", 1), ("b", "f1", "x", 3, "second", 2)], CELLS + ", seq INT"
     )
     base = kl.latest_cells(base)
-    out = kl.upsert_cells(base, puts.withColumn("value", F.concat(F.lit("z"), F.lit(9) - F.col("seq"))), order_by=("ts", "seq"), **options)
+    puts = puts.withColumn("value", F.concat(F.lit("z"), F.lit(9) - F.col("seq")))
+    out = kl.upsert_cells(base, puts, order_by=("ts", "seq"), **options)
     assert ("b", "f1", "x", 3, "z7") in rows(out)
 
 
@@ -175,7 +176,16 @@ def test_random_upserts_agree_with_a_dict(spark, options):
 def test_upsert_column(spark, limit):
     base = spark.createDataFrame([("a", "1", 1), ("b", None, 2), ("c", "3", 3)], "rowkey STRING, x STRING, n INT")
     puts = spark.createDataFrame(
-        [("b", "B", 1), ("c", "older", 1), ("c", "newer", 2), ("c", None, 3), ("d", "D", 1), ("a", None, 1), ("e", None, 1)], "rowkey STRING, x STRING, s INT"
+        [
+            ("b", "B", 1),
+            ("c", "older", 1),
+            ("c", "newer", 2),
+            ("c", None, 3),
+            ("d", "D", 1),
+            ("a", None, 1),
+            ("e", None, 1),
+        ],
+        "rowkey STRING, x STRING, s INT",
     )
     out = kl.upsert_column(base, puts, "x", order_by=["s"], broadcast_limit=limit)
     assert out.columns == base.columns
@@ -239,7 +249,10 @@ def test_date_text(spark):
 
 def test_decode_cells(spark):
     raw = spark.createDataFrame(
-        [(bytearray("é".encode()), bytearray(b"f1"), bytearray(b"q"), 1, bytearray(b"")), (bytearray(b"b"), bytearray(b"f1"), bytearray(b"q"), 1, None)],
+        [
+            (bytearray("é".encode()), bytearray(b"f1"), bytearray(b"q"), 1, bytearray(b"")),
+            (bytearray(b"b"), bytearray(b"f1"), bytearray(b"q"), 1, None),
+        ],
         "rowkey BINARY, family BINARY, qualifier BINARY, ts INT, value BINARY",
     )
     assert rows(kl.decode_cells(raw)) == [("b", "f1", "q", 1, None), ("é", "f1", "q", 1, "")]

@@ -218,6 +218,7 @@ def test_multi_get_refuses_shared_columns(spark, dim):
 
 @pytest.mark.parametrize("options", OPTIONS, ids=str)
 def test_a_table_can_be_its_own_dimension(spark, options):
-    staff = spark.createDataFrame([("1", "Ann", None), ("2", "Bo", "1"), ("3", "Cy", "2")], "rowkey STRING, name STRING, boss STRING")
+    people = [("1", "Ann", None), ("2", "Bo", "1"), ("3", "Cy", "2")]
+    staff = spark.createDataFrame(people, "rowkey STRING, name STRING, boss STRING")
     out = kl.lookup_enrich(staff, staff, "boss", [("name", "boss_name")], **options)
     assert rows(out) == [("1", "Ann", None), ("2", "Bo", "Ann"), ("3", "Cy", "Bo")]

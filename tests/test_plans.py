@@ -167,7 +167,8 @@ def test_small_upserts_leave_the_base_in_place(spark, stored, no_auto_broadcast)
     assert "Exchange hashpartitioning(rowkey" in untouched  # the distinct put keys, inside their broadcast
     assert untouched.index("BroadcastExchange") < untouched.index("Exchange hashpartitioning(rowkey")
 
-    plan = plan_of(kl.upsert_column(dim, puts.select("rowkey", F.col("value").alias("c_name")), "c_name", broadcast_limit=1 << 20))
+    names = puts.select("rowkey", F.col("value").alias("c_name"))
+    plan = plan_of(kl.upsert_column(dim, names, "c_name", broadcast_limit=1 << 20))
     assert "SortMergeJoin" not in plan and "FullOuter" not in plan
     assert "LeftOuter" in plan and "LeftAnti" in plan and "LeftSemi" in plan
 

@@ -94,7 +94,9 @@ def lookup_date_format(spark, sf_dir):
     lines = fx.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", fx.text("l_orderkey").alias("order_index_rowkey_id")
     )
-    raw = kl.lookup_enrich(lines, fx.dim_d(spark, sf_dir), "order_index_rowkey_id", [("submit_time", "raw_time")], **MEASURED)
+    raw = kl.lookup_enrich(
+        lines, fx.dim_d(spark, sf_dir), "order_index_rowkey_id", [("submit_time", "raw_time")], **MEASURED
+    )
     return raw.withColumn("review_time", format_datetime(F.col("raw_time")))
 
 
