@@ -16,7 +16,6 @@ def plan_of(df) -> str:
     return out.getvalue()
 
 
-
 @contextlib.contextmanager
 def settings(spark, **conf):
     """Set ``spark.sql.*`` options for a block; underscores stand for dots."""
