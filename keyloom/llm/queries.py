@@ -53,7 +53,7 @@ def op5_exact_top_k(spark, sf_dir):
 
 def op6_bpe_tree(spark, sf_dir):
     """Ids of all documents, and the bytes they decode to."""
-    coded = tree_bpe.decode(tree_bpe.encode(_documents(spark, sf_dir)))
+    coded = tree_bpe.round_trip(_documents(spark, sf_dir)).select("doc_id", "coded.*")
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
@@ -109,13 +109,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op5_exact_top_k": """
         WITH rows AS (
-            SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), x -> CAST(floor(256 * x) AS BIGINT)) AS v
+            SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
             FROM rows q JOIN rows c ON q.vec_id <> c.vec_id
             WHERE q.vec_id % 50 = 0
         )

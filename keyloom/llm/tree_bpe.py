@@ -10,12 +10,11 @@ alone, which does not cross it.) Decoding is concatenation.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,74 +23,42 @@ from keyloom.llm.common import col
 from keyloom.llm.pretokens import Memo, Splitter
 
 _LEAF = 8  # bytes that are merged directly
-_REMEMBERED = 16  # bytes up to which encodings are remembered
 _LONG_MATCH = 64  # characters of a match beyond which it is not remembered
-_KEPT = 150_000  # results of each kind that a task remembers
-_NO_RANK = 1 << 62
-_SEARCHED = 64  # bytes up to which searching for the next merge is faster than a heap
+_KEPT_MATCHES = 300_000  # encoded matches, and small parts and pairs of tokens, that a task remembers
+_KEPT = 100_000
 
 
 class TreeBpe:
-    """Encodes byte strings by ranks; the lowest-ranked pair merges first, of equals the leftmost."""
+    """Encodes byte strings by ranks; the lowest-ranked pair merges first, of equals the leftmost.
+
+    The library merges parts of a few bytes and the windows around boundaries; all else is joined.
+    """
 
     def __init__(self, ranks: dict[bytes, int], leaf: int = _LEAF):
-        self.ranks, self.leaf = ranks, leaf
-        self.short = Memo(self._encoded, _KEPT)
-        self.pairs = Memo(lambda pair: self.merged(pair[0] + pair[1]), _KEPT)
-
-    def merged(self, data: bytes) -> list[bytes]:
-        """The encoding of a string, merge by merge; in longer strings a heap finds the next."""
-        parts, rank = [data[i : i + 1] for i in range(len(data))], self.ranks.get
-        if len(data) > _SEARCHED:
-            return self._merged_by_heap(parts)
-        pairs = [rank(a + b, _NO_RANK) for a, b in pairwise(parts)]
-        while pairs and (best := min(pairs)) < _NO_RANK:
-            at = pairs.index(best)  # of equals the leftmost
-            parts[at] += parts.pop(at + 1)
-            del pairs[at]
-            if at:
-                pairs[at - 1] = rank(parts[at - 1] + parts[at], _NO_RANK)
-            if at < len(pairs):
-                pairs[at] = rank(parts[at] + parts[at + 1], _NO_RANK)
-        return parts
-
-    def _merged_by_heap(self, parts: list[bytes | None]) -> list[bytes]:
-        n, rank = len(parts), self.ranks.get
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, parts[i] + parts[i + 1]) for i in range(n - 1) if (r := rank(parts[i] + parts[i + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, i, both = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] is None or j >= n or parts[i] + parts[j] != both:
-                continue  # one of the two has merged otherwise meanwhile
-            parts[i], parts[j], after[i] = both, None, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (r := rank(parts[a] + parts[b])) is not None:
-                    heapq.heappush(heap, (r, a, parts[a] + parts[b]))
-        return [p for p in parts if p is not None]
-
-    def encode(self, data: bytes) -> list[bytes]:
-        """Tokens of ``data``: small parts directly, larger ones as two joined halves."""
-        return self.short[data] if len(data) <= _REMEMBERED else self._encoded(data)
+        self.leaf, self.word = leaf, {rank: token for token, rank in ranks.items()}
+        self.merged = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        self.leaves = Memo(self.merged, _KEPT)
+        self.pairs = Memo(lambda pair: self.merged(self.word[pair[0]] + self.word[pair[1]]), _KEPT)
 
-    def _encoded(self, data: bytes) -> list[bytes]:
+    def encode(self, data: bytes) -> list[int]:
+        """Tokens of ``data``: small parts directly, larger ones as two joined halves."""
         if len(data) <= self.leaf:
-            return self.merged(data)
+            return self.leaves[data] if data else []
         middle = len(data) // 2
         return self.join(self.encode(data[:middle]), self.encode(data[middle:]))
 
-    def stays(self, left: bytes, right: bytes) -> bool:
+    def stays(self, left: int, right: int) -> bool:
         """True if no merge crosses the boundary of these two neighbours."""
         return self.pairs[left, right] == [left, right]
 
-    def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
+    def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbours that are encoded themselves."""
-        if not left or not right or self.stays(left[-1], right[0]):
+        if not left or not right:
+            return left or right
+        window = self.pairs[left[-1], right[0]]
+        if window == [left[-1], right[0]]:
             return left + right
-        before, after, window = 1, 1, self.pairs[left[-1], right[0]]
+        before = after = 1
         while True:
             left_stays = before == len(left) or self.stays(left[-before - 1], window[0])
             right_stays = after == len(right) or self.stays(window[-1], right[after])
@@ -99,10 +66,7 @@ class TreeBpe:
                 return left[: len(left) - before] + window + right[after:]
             before = min(before * (1 if left_stays else 2), len(left))
             after = min(after * (1 if right_stays else 2), len(right))
-            window = self.merged(b"".join(left[-before:] + right[:after]))
-
-    def ids(self, data: bytes) -> list[int]:
-        return [self.ranks[t] for t in self.encode(data)]
+            window = self.merged(b"".join(map(self.word.__getitem__, left[-before:] + right[:after])))
 
 
 class TextEncoder:
@@ -110,18 +74,19 @@ class TextEncoder:
 
     def __init__(self, ranks: dict[bytes, int], splitter: Splitter):
         self.bpe, self.splitter = TreeBpe(ranks), splitter
-        self.packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
-        self.short = Memo(self._match, _KEPT)
+        self.ranks, self.packed = ranks, {rank: rank.to_bytes(4, "little") for rank in ranks.values()}
+        self.short = Memo(self._match, _KEPT_MATCHES)
 
     def _match(self, match: str) -> bytes:
         data = match.encode()
-        if data in self.packed:  # a match that is a token is that token
-            return self.packed[data]
+        rank = self.ranks.get(data)  # a match that is a token is that token
+        if rank is not None:
+            return self.packed[rank]
         return b"".join(map(self.packed.__getitem__, self.bpe.encode(data)))
 
     def encode(self, text: str) -> np.ndarray:
         matches = self.splitter.findall(text)
-        if any(len(m) > _LONG_MATCH for m in matches):
+        if max(map(len, matches), default=0) > _LONG_MATCH:
             return np.frombuffer(b"".join(self._match(m) if len(m) > _LONG_MATCH else self.short[m] for m in matches), dtype="<i4")
         return np.frombuffer(b"".join(map(self.short.__getitem__, matches)), dtype="<i4")
 
@@ -144,14 +109,36 @@ def encode(df: DataFrame, text: str = "text", into: str = "ids", path: str = RAN
     return df.withColumn(into, encoded(col(text)))
 
 
+def _decoder(ranks: dict[bytes, int]):
+    word = {rank: token for token, rank in ranks.items()}.__getitem__
+    return lambda ids: b"".join(map(word, ids.tolist()))
+
+
 def decode(df: DataFrame, ids: str = "ids", into: str = "decoded", path: str = RANKS_PATH) -> DataFrame:
     """``df`` with the bytes that ``ids`` stand for, as binary; null for null ids. Unknown ids are an error."""
-    sent = df.sparkSession.sparkContext.broadcast({rank: word for word, rank in read_ranks(path).items()})
+    sent = df.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        word = sent.value.__getitem__
+        bytes_of = _decoder(sent.value)
         for batch in batches:
-            yield pd.Series([None if a is None else b"".join(map(word, a.tolist())) for a in batch], dtype=object)
+            yield pd.Series([None if a is None else bytes_of(a) for a in batch], dtype=object)
 
     return df.withColumn(into, decoded(col(ids)))
+
+
+def round_trip(df: DataFrame, text: str = "text", into: str = "coded", path: str = RANKS_PATH, pattern: str = PATTERN) -> DataFrame:
+    """``df`` with a struct of the ``ids`` of ``text`` and the bytes ``decoded`` from them, made in one pass.
+
+    The same as :func:`encode` and :func:`decode` one after the other, with one Python worker a task instead of two.
+    """
+    sent = df.sparkSession.sparkContext.broadcast((read_ranks(path), Splitter(pattern)))
+
+    @F.pandas_udf("ids array<int>, decoded binary")
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, bytes_of = TextEncoder(*sent.value), _decoder(sent.value[0])
+        for texts in batches:
+            ids = [encoder.encode(t or "") for t in texts]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(list(map(bytes_of, ids)), dtype=object)})
+
+    return df.withColumn(into, coded(col(text)))

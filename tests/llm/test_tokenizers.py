@@ -1,0 +1,159 @@
+"""op1, op6, op10: equal to the libraries, exact round trips."""
+
+from __future__ import annotations
+
+import json
+import random
+import zlib
+
+import numpy as np
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from keyloom.llm import packing, token_counts, tree_bpe
+from keyloom.llm.bpe_file import JSON_PATH, PATTERN, RANKS_PATH, LibraryTokenizer, byte_alphabet, read_ranks
+from keyloom.llm.pretokens import Splitter
+
+ALPHABET = ["a", "b", " ", "  ", "\n", "\t", "'s", "'t", "1", "22", "é", "ß", "日本", "՘", "՘", "́", "😀", "th", "ing", "<|endoftext|>", "!", "...", "\r\n", "ᲊ", "\x1c", "\U0001ee00", " "]
+
+
+def texts(n=600):
+    rng = random.Random(7)
+    made = ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+    return [*made, "", "a" * 5000, "ab" * 3000, "日" * 3000, " " * 3000, "\n" * 777, "".join(rng.choice("abcdefgh") for _ in range(9000))]
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    rows = [(i, t, i % 3) for i, t in enumerate(texts())] + [(None, "null id", 1), (9, None, 2), (3, "again", 1), (3, "again", 1)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, ids int").repartition(3)
+
+
+def library_ids(all_texts):
+    return LibraryTokenizer.read(JSON_PATH).ids(all_texts)
+
+
+def test_unicode_classes_are_the_tokenizers_own():
+    from tokenizers import pre_tokenizers
+
+    own, splitter = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True), Splitter(PATTERN)
+    rng = random.Random(1)
+    for c in [*rng.sample(range(0xD800), 3000), *rng.sample(range(0xE000, 0x20000), 3000), 0x558, 0x1C8A, 0x11DE0, 0x1C, 0x85, 0xA0]:
+        for lead in "a1!":
+            text = f"{lead}{chr(c)} x"
+            assert len(splitter.findall(text)) == len(own.pre_tokenize_str(text)), hex(c)
+
+
+def test_ranks_give_the_merges_of_the_file():
+    """Each token's own merges end in the pair that the file lists for it, so ranks and merges cannot differ."""
+    model, alphabet = json.loads(LibraryTokenizer.read(JSON_PATH).content)["model"], byte_alphabet()
+    as_bytes = lambda t: bytes(map(alphabet.__getitem__, t))
+    rank = {as_bytes(t): i for t, i in model["vocab"].items() if all(c in alphabet for c in t)}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    assert [rank[as_bytes(a + b)] for a, b in pairs] == sorted(rank[as_bytes(a + b)] for a, b in pairs)
+    for a, b in pairs:
+        left, right = as_bytes(a), as_bytes(b)
+        parts = [bytes([c]) for c in left + right]
+        while len(parts) > 2:
+            r, i = min((rank.get(x + y, 1 << 40), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+            assert r < 1 << 40
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        assert parts == [left, right]
+
+
+def test_count_tokens(frame):
+    got = token_counts.count_tokens(frame).select("text", "n_tokens", "ids").collect()
+    want = library_ids([r["text"] or "" for r in got])
+    assert [r["n_tokens"] for r in got] == list(map(len, want))
+    assert len(got) == frame.count()
+
+
+def test_whole_tokens_are_proved():
+    tokenizer, splitter = LibraryTokenizer.read(JSON_PATH), Splitter(PATTERN)
+    whole = token_counts.prove_whole_tokens(tokenizer, splitter)
+    assert len(whole) > 49_000 and " the" in whole and "<|endoftext|>" not in whole
+
+
+def test_tree_bpe_equals_library_and_round_trips(frame):
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=read_ranks(RANKS_PATH), special_tokens={})
+    for r in tree_bpe.round_trip(frame).select("text", "coded.*").collect():
+        assert r["ids"] == library.encode_ordinary(r["text"] or "")
+        assert bytes(r["decoded"]) == (r["text"] or "").encode()
+    two = tree_bpe.decode(tree_bpe.encode(frame)).select("text", "ids", "decoded").collect()
+    assert all(bytes(r["decoded"]) == (r["text"] or "").encode() for r in two)
+
+
+@pytest.mark.parametrize("leaf", [1, 3, 8])
+def test_join_is_a_monoid(leaf):
+    """Whatever the split, joined parts are the encoding of the whole, by plain merging."""
+    ranks = read_ranks(RANKS_PATH)
+    bpe, rng = tree_bpe.TreeBpe(ranks, leaf), random.Random(leaf)
+
+    def plain(data):
+        parts = [data[i : i + 1] for i in range(len(data))]
+        while len(parts) > 1:
+            r, i = min((ranks.get(a + b, 1 << 40), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if r == 1 << 40:
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [ranks[p] for p in parts]
+
+    for _ in range(150):
+        data = bytes(rng.choice(b"aabcdehinorst \xc3\xa9\xe6") for _ in range(rng.randint(0, 60)))
+        at = rng.randint(0, len(data))
+        assert bpe.encode(data) == plain(data) == bpe.join(bpe.encode(data[:at]), bpe.encode(data[at:]))
+
+
+def test_packing_is_whole_and_gapless(frame):
+    pieces = packing.pack(frame).withColumn("crc", F.crc32("ids")).toPandas()
+    want = sorted(tuple([*i, 1]) for i in library_ids([r["text"] or "" for r in frame.collect()]))
+    assert pieces["doc_id"].isna().sum() == 1
+    documents, fills = [], []
+    for _, held in pieces.sort_values("offset").groupby("sequence_id"):
+        assert held["offset"].tolist() == [0, *held["length"].cumsum()[:-1]]
+        fills.append(int(held["length"].sum()))
+    assert all(f == 2048 or f & (f - 1) == 0 for f in fills)  # nothing is padded
+    # pieces of repeated ids cannot be told apart by id: put documents together by their id and length
+    for (_, total), held in pieces.assign(doc_id=pieces["doc_id"].fillna(-1)).groupby(["doc_id", "doc_tokens"]):
+        copies = int(held["length"].sum()) // total
+        assert held["length"].sum() == copies * total
+        held = held.drop_duplicates("start").sort_values("start")
+        ids = np.frombuffer(b"".join(map(bytes, held["ids"])), "<u4").tolist()
+        documents += [tuple(ids)] * copies
+        assert all(zlib.crc32(bytes(i)) == c for i, c in zip(held["ids"], held["crc"], strict=True))
+    assert sorted(documents) == want
+
+
+def test_sum_of_squares_choice():
+    packer = packing.SumOfSquaresPacker(window=10)
+    packer.level[[3, 4, 6]] = [1, 2, 1]
+
+    def after(size, at):
+        level = packer.level.copy()
+        level[at] -= at > 0
+        level[at + size] += at + size < 10
+        return int((level**2).sum())
+
+    for size in range(1, 10):
+        allowed = [h for h in range(0, 10 - size + 1) if h == 0 or packer.level[h]]
+        assert after(size, packer.choose(size)) == min(after(size, h) for h in allowed)
+
+
+def test_open_windows_are_bounded():
+    packer, rng = packing.SumOfSquaresPacker(window=16, open_limit=3), random.Random(3)
+    closed, total = [], 0
+    for i in range(300):
+        n = rng.randint(1, 40)
+        total += n
+        closed += packer.add(i, np.arange(n, dtype="<u4"))
+        assert packer.n_open <= 3
+    closed += packer.close()
+    assert sum(len(p[2]) for w in closed for p in w) == total
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert packing.pack(empty).count() == 0
+    assert token_counts.count_tokens(empty).count() == 0
+    assert tree_bpe.round_trip(empty).count() == 0
