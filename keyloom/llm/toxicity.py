@@ -24,8 +24,8 @@ from keyloom.llm.pretokens import Memo
 
 BITS = 18  # hash buckets: 2**18, 2 MB of weights
 SAMPLE = 12_000  # labelled documents that are learnt from, about; drawn by hash of their id
-SHARDS = 8
-ROUNDS = 4
+SHARDS = 4
+ROUNDS = 8
 STEMS = (3, 5, 7)  # letters
 _PUNCTUATION = ".,;:!?\"'()[]{}<>|*&%$#@+=/\\-_…«»"
 # Odd factors that mix word hashes; one pair for neighbours, one for words with a gap between them.
@@ -111,13 +111,15 @@ def is_held_out(key):
 def _one_pass(ftrl: Ftrl, state, turn: int):
     """A shard's pass over its documents, from the state of the last round: new state of the coordinates met."""
 
-    def learn(frame: pd.DataFrame) -> pd.DataFrame:
-        z, n = state.value[0].copy(), state.value[1].copy()
-        order = np.lexsort((frame["features"].map(len), frame["features"].map(lambda f: int(f.sum()))))
-        order = np.random.default_rng(turn).permutation(order)  # the same however the rows arrived
-        met = ftrl.learn(z, n, [frame["features"].iat[i] for i in order], [int(frame["label"].iat[i]) for i in order])
-        at = np.flatnonzero(met)
-        return pd.DataFrame({"at": at, "z": z[at], "n": n[at]})
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [r for frame in frames for r in zip(frame["features"], frame["label"], strict=True)]
+        if rows:
+            rows.sort(key=lambda r: (len(r[0]), int(r[0].sum()), r[1]))
+            order = np.random.default_rng(turn).permutation(len(rows))  # the same however the rows arrived
+            z, n = state.value[0].copy(), state.value[1].copy()
+            met = ftrl.learn(z, n, [rows[i][0] for i in order], [int(rows[i][1]) for i in order])
+            at = np.flatnonzero(met)
+            yield pd.DataFrame({"at": at, "z": z[at], "n": n[at]})
 
     return learn
 
@@ -149,15 +151,14 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             shard = [xxhash.xxh32_intdigest(str(k)) % shards for k in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), batch.column(1).cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["shard", "label", "features"])
 
-    learnt = cut(rows.mapInArrow(features, "shard int, label int, features array<int>").where(F.size("features") > 0).repartition(shards, "shard"))
+    learnt = cut(rows.mapInArrow(features, "shard int, label int, features array<int>").where(F.size("features") > 0).repartition(shards, "shard").select("label", "features"))
     context, size = docs.sparkSession.sparkContext, (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
     for turn in range(rounds):
         state = context.broadcast((z, n))
 
         mean = (
-            learnt.groupBy("shard")
-            .applyInPandas(_one_pass(ftrl, state, turn), "at bigint, z double, n double")
+            learnt.mapInPandas(_one_pass(ftrl, state, turn), "at bigint, z double, n double")  # a partition is a shard
             .groupBy("at")
             .agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
             .toPandas()  # at most one row per bucket
