@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def named(name: str) -> Column:
+    """A column by its whole name, which may hold dots or backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_key(key: Column) -> Column:
     """The key as text, which for a string column is the column itself."""
     return key.cast("string")

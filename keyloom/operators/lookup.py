@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.codec import as_text
+from keyloom.functions.keys import named
 from keyloom.operators.keyjoin import join_by_key
 
 Field = str | tuple[str, str]
@@ -72,7 +73,9 @@ def lookup_enrich(
     pairs = _pairs(fields)
     main_columns = [c for c in main.columns if c != key]
     aliases = [a for _, a in pairs]
-    clash = (set(aliases) & set(main_columns)) | {a for a in aliases if aliases.count(a) > 1}
+    same = str if main.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    taken = [same(c) for c in [*main_columns, *aliases]]
+    clash = {a for a in aliases if taken.count(same(a)) > 1}
     if clash:
         raise ValueError(f"output columns named twice: {sorted(clash)}")
     unknown = set(require) - set(aliases)
@@ -80,15 +83,15 @@ def lookup_enrich(
         raise ValueError(f"require names no output column: {sorted(unknown)}")
 
     if not pairs:
-        return main.select(*[F.col(f"`{c}`") for c in main_columns])
+        return main.select(*map(named, main_columns))
     names = list(dict.fromkeys(f for f, _ in pairs))
     types = dict(dim.dtypes)
-    row = as_text(F.col(rowkey), types[rowkey]).alias(_ROWKEY)
-    values = [as_text(F.col(f), types[f]).alias(f"__dim_{i}") for i, f in enumerate(names)]
+    row = as_text(named(rowkey), types[rowkey]).alias(_ROWKEY)
+    values = [as_text(named(f), types[f]).alias(f"__dim_{i}") for i, f in enumerate(names)]
     right = dim.select(row, *values)
     if order_by_version is not None:
         # Keys are text before they are grouped: the join then reuses that shuffle.
-        versions = dim.select(row, *values, F.col(order_by_version).alias("__version"))
+        versions = dim.select(row, *values, named(order_by_version).alias("__version"))
         right = latest_rows(versions, _ROWKEY, "__version").drop("__version")
     key_type = dict(main.dtypes)[key]
     if key_type != "string":
@@ -105,9 +108,9 @@ def lookup_enrich(
         broadcast_limit=broadcast_limit,
     )
     out = joined.select(
-        *[F.col(f"`{c}`") for c in main_columns],
+        *map(named, main_columns),
         *[F.col(f"__dim_{names.index(f)}").alias(a) for f, a in pairs],
     )
     for alias in require:
-        out = out.where(F.col(alias).isNotNull())
+        out = out.where(named(alias).isNotNull())
     return out

@@ -7,10 +7,13 @@ these changes its input.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyloom.functions.keys import named
 from keyloom.operators.cells import CELL_KEY
 from keyloom.operators.keyjoin import join_by_key
 from keyloom.plans.sizing import fits_in_broadcast
@@ -44,25 +47,35 @@ def upsert_cells(
 
     * A base with many versions per cell is reduced together with the puts.
     * When it already holds one version per cell (``base_is_latest``) there is
-      nothing to reduce: only the puts are, and the two are joined by cell.
-    * When, besides, the measured keys of the puts fit ``broadcast_limit``, only
-      the cells they touch are shuffled and the rest of the base stays in place.
+      nothing to reduce: only the puts are, and each base row meets the newest put
+      of its cell. Should the base hold several rows of a cell after all, each stays.
+    * When, besides, the measured puts fit ``broadcast_limit``, they go to the base,
+      which is not shuffled; it is read a second time for its cell keys only.
+
+    Null families and qualifiers are values like others. The size of the puts decides
+    the plan, never the answer.
     """
     puts = puts.where(F.col("value").isNotNull())
+    common = [c for c in puts.columns if c in base.columns]
+    puts = puts.withColumns({c: named(c).cast(base.schema[c].dataType) for c in common})
     types = {**dict(puts.dtypes), **dict(base.dtypes)}
     old = _versions(base, 0, order_by, base.columns, types)
     new = _versions(puts, 1, order_by, base.columns, types)
 
-    put_keys = puts.select(*CELL_KEY)
     if not base_is_latest:
         merged = _newest(old.unionByName(new))
-    elif broadcast_limit is not None and fits_in_broadcast(put_keys, broadcast_limit):
-        touched = F.broadcast(put_keys.distinct())
-        changed = _newest(old.join(touched, CELL_KEY, "left_semi").unionByName(new))
-        merged = old.join(touched, CELL_KEY, "left_anti").unionByName(changed)
     else:
-        both = old.join(_newest(new).withColumnRenamed("__cell", "__new"), CELL_KEY, "full")
-        merged = both.select(*CELL_KEY, F.greatest("__cell", "__new").alias("__cell"))
+        newest = _newest(new).select(*[F.col(c).alias(f"__{c}") for c in CELL_KEY], F.col("__cell").alias("__new"))
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in CELL_KEY])
+        small = broadcast_limit is not None and fits_in_broadcast(puts, broadcast_limit)
+        both = old.join(F.broadcast(newest), same, "left") if small else old.join(newest, same, "full")
+        keys = [F.coalesce(c, f"__{c}").alias(c) for c in CELL_KEY]
+        merged = both.select(*keys, F.greatest("__cell", "__new").alias("__cell"))
+        if small:
+            # No more cells than puts, which were measured: safe to broadcast in turn.
+            met = base.select(*CELL_KEY).join(F.broadcast(newest), same, "left_semi").distinct()
+            added = newest.join(F.broadcast(met), same, "left_anti")
+            merged = merged.unionByName(added.select(*[F.col(f"__{c}").alias(c) for c in CELL_KEY], F.col("__new").alias("__cell")))
     return merged.select(*[c if c in CELL_KEY else F.col(f"__cell.`{c}`").alias(c) for c in base.columns])
 
 
@@ -101,16 +114,16 @@ def upsert_column(
     When the measured puts fit ``broadcast_limit`` the base is not shuffled:
     the puts go to the base rows, and the new keys are the puts that met none.
     """
-    puts = puts.where(F.col(column).isNotNull())
+    puts = puts.where(named(column).isNotNull())
     new = (
         puts.groupBy(rowkey)
-        .agg(F.max(F.struct(*order_by, F.col(column).alias("__value"))).alias("__put"))
+        .agg(F.max(F.struct(*order_by, named(column).alias("__value"))).alias("__put"))
         .select(rowkey, F.col("__put.__value").alias("__new"))
     )
-    value = F.coalesce("__new", column).alias(column)
+    value = F.coalesce(F.col("__new"), named(column)).alias(column)
     columns = [value if c == column else F.col(f"`{c}`") for c in base.columns]
     # Measured before the puts are reduced to one per key: no shuffle, and an upper bound.
-    if broadcast_limit is None or not fits_in_broadcast(puts.select(rowkey, column), broadcast_limit):
+    if broadcast_limit is None or not fits_in_broadcast(puts.select(rowkey, named(column)), broadcast_limit):
         return base.join(new, rowkey, "full").select(*columns)
 
     new = F.broadcast(new)
@@ -187,7 +200,7 @@ def delete_rows(
     row there. Options as in :func:`~keyloom.operators.keyjoin.join_by_key`;
     ``hot_share`` is for cell tables, where one row may hold very many cells.
     """
-    gone = keys.select(F.col(key).alias("__key")).where(F.col(key).isNotNull()).distinct()
+    gone = keys.select(named(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
     return join_by_key(
         base, rowkey, gone, "__key", "left_anti", broadcast_limit=broadcast_limit, hot_share=hot_share
     )

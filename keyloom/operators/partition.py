@@ -27,7 +27,12 @@ def repartition_by_key(df: DataFrame, key: str, partitions: int, hot_keys: Seque
     """Hash the rows by key so that equal keys sit together.
 
     Rows without a key have nothing to sit with, and a hot key would fill one
-    task, so both are dealt out evenly instead of being hashed to one place.
+    task, so both are dealt out by a hash of all their columns. ``df`` is read once,
+    and there are exactly ``partitions`` partitions. Maps cannot be hashed and do not
+    count; rows that are equal in all other columns stay together.
     """
-    cold, free = split_by_key(df, key, hot_keys)
-    return cold.repartition(partitions, key).unionByName(free.repartition(partitions))
+    column = F.col(key)
+    free = no_key(column) | text_key(column).isin(list(hot_keys)) if hot_keys else no_key(column)
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    salt = F.when(free, F.xxhash64(*hashable)).otherwise(F.lit(0))
+    return df.repartition(partitions, column, salt)

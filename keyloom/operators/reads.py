@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyloom.functions.keys import named, text_key
 from keyloom.operators.cells import DEFAULT_FAMILY, latest_cells
 from keyloom.operators.keyjoin import join_by_key
 from keyloom.plans.sizing import fits_in_broadcast
@@ -17,7 +18,7 @@ RANGE_END_SUFFIX = "0"
 
 def get_row(table: DataFrame, key: str, rowkey: str = "rowkey") -> DataFrame:
     """The row (or all cells) of one key. The equality reaches the scan."""
-    return table.where(F.col(rowkey) == key)
+    return table.where(named(rowkey) == key)
 
 
 def requested(spark: SparkSession, keys: Sequence[str | None]) -> DataFrame:
@@ -46,7 +47,7 @@ def multi_get(
     clash = set(columns) & set(requests.columns)
     if clash:
         raise ValueError(f"columns of both requests and table: {sorted(clash)}")
-    right = table.select(F.col(rowkey).alias("__rowkey"), *[F.col(f"`{c}`") for c in columns])
+    right = table.select(named(rowkey).alias("__rowkey"), *map(named, columns))
     return join_by_key(
         requests,
         key,
@@ -55,12 +56,12 @@ def multi_get(
         hot_share=hot_share,
         split_null_keys=split_null_keys,
         broadcast_limit=broadcast_limit,
-    ).select(*requests.columns, *columns)
+    ).select(*map(named, [*requests.columns, *columns]))
 
 
 def _distinct_keys(keys: DataFrame, key: str) -> DataFrame:
     """A key asked for very often then meets the join once, and the join reuses this shuffle."""
-    return keys.select(F.col(key).alias("__key")).where(F.col(key).isNotNull()).distinct()
+    return keys.select(named(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
 
 
 def get_cells(
@@ -73,11 +74,11 @@ def get_cells(
     broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Chosen columns of the rows with the given keys, one row per present value."""
-    rows = table.select(F.col(rowkey).alias("rowkey"), *[F.col(f).cast("string").alias(f) for f in fields])
+    rows = table.select(named(rowkey).alias("rowkey"), *[named(f).cast("string").alias(f) for f in fields])
     wanted = _distinct_keys(keys, key)
     return (
         join_by_key(rows, "rowkey", wanted, "__key", "left_semi", broadcast_limit=broadcast_limit)
-        .unpivot("rowkey", list(fields), "qualifier", "value")
+        .unpivot("rowkey", list(map(named, fields)), "qualifier", "value")
         .where("value is not null")
     )
 
@@ -110,8 +111,11 @@ def range_scan(table: DataFrame, begin: str, end: str, rowkey: str = "rowkey") -
 
     Both bounds are literals, so they reach the scan; on a table sorted by key
     (see :func:`keyloom.sinks.keyed.write_keyed`) most files and row groups are skipped.
+    Keys of another type are compared as text, as in lookups.
     """
-    column = F.col(rowkey)
+    column = named(rowkey)
+    if table.schema[rowkey].dataType.typeName() != "string":
+        column = text_key(column)
     return table.where((column >= begin) & (column < end + RANGE_END_SUFFIX))
 
 

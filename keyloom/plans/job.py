@@ -12,7 +12,7 @@ from keyloom.plans.settings import apply_settings
 from keyloom.plans.sizing import BROADCAST_LIMIT
 from keyloom.plans.skew import HOT_SHARE
 from keyloom.sinks.tables import append
-from keyloom.sources.tables import as_frame, project_main
+from keyloom.sources.tables import as_frame, project_main, register_dimension
 
 
 def run_enrichment(
@@ -63,16 +63,59 @@ def run_sql_enrichment(spark: SparkSession, text: str, *, sink: str, by_name: bo
     append(spark.sql(text), sink, by_name=by_name)
 
 
+def _dimension(spark: SparkSession, given: str) -> None:
+    """Registers ``table:view:rowkey[:version]``."""
+    parts = given.split(":")
+    if len(parts) not in (3, 4):
+        raise ValueError(f"--dimension wants table:view:rowkey[:version], got {given}")
+    register_dimension(spark.table(parts[0]), parts[1], rowkey=parts[2], order_by_version=parts[3] if len(parts) == 4 else None)
+
+
+def _field(given: str) -> Field:
+    name, _, alias = given.partition(":")
+    return (name, alias) if alias else name
+
+
 def main(argv: Sequence[str] | None = None) -> None:
-    """``spark-submit`` entry: SQL text in, rows appended to a table."""
-    parser = argparse.ArgumentParser(description="Append the result of an enrichment query to a table.")
-    parser.add_argument("--sql", required=True, help="SELECT main and dimension columns FROM main LEFT JOIN dimension")
+    """``spark-submit`` entry: SQL text over registered dimensions, or one measured lookup, appended to a table."""
+    parser = argparse.ArgumentParser(description="Append the result of an enrichment to a table.")
     parser.add_argument("--sink", required=True, help="existing table to append to")
     parser.add_argument("--by-name", action="store_true", help="match sink columns by name, not position")
+    parser.add_argument("--dimension", action="append", default=[], metavar="TABLE:VIEW:ROWKEY[:VERSION]", help="view for --sql, or the one dimension of --main; repeatable")
+    parser.add_argument("--sql", help="SELECT main and dimension columns FROM main LEFT JOIN view")
+    parser.add_argument("--main", help="main table of a lookup without SQL")
+    parser.add_argument("--key", help="its lookup key")
+    parser.add_argument("--fields", nargs="+", default=[], metavar="FIELD[:ALIAS]", help="dimension columns to append")
+    parser.add_argument("--columns", nargs="+", metavar="COLUMN[:ALIAS]", help="main columns to keep; all by default")
+    parser.add_argument("--require", nargs="+", default=[], help="aliases that must not be null")
+    parser.add_argument("--partitions", type=int, help="partitions of the rows placed by key")
     args = parser.parse_args(argv)
+    if bool(args.sql) == bool(args.main):
+        parser.error("give either --sql or --main")
+    if args.main and (not args.key or len(args.dimension) != 1):
+        parser.error("--main needs --key and one --dimension")
     spark = SparkSession.builder.appName("keyloom enrichment").getOrCreate()
     apply_settings(spark)
-    run_sql_enrichment(spark, args.sql, sink=args.sink, by_name=args.by_name)
+    if args.sql:
+        for given in args.dimension:
+            _dimension(spark, given)
+        run_sql_enrichment(spark, args.sql, sink=args.sink, by_name=args.by_name)
+        return
+    table, _, rowkey, *version = args.dimension[0].split(":")
+    run_enrichment(
+        spark,
+        args.main,
+        table,
+        args.key,
+        list(map(_field, args.fields)),
+        sink=args.sink,
+        columns=None if args.columns is None else list(map(_field, args.columns)),
+        rowkey=rowkey,
+        require=args.require,
+        order_by_version=version[0] if version else None,
+        partitions=args.partitions,
+        by_name=args.by_name,
+    )
 
 
 if __name__ == "__main__":

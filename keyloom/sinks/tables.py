@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 
 
 def append(df: DataFrame, table: str, *, by_name: bool = False) -> None:
-    """Append to an existing table, by column position or by column name.
+    """Append to an existing table of any format, by column position or by column name.
+
+    A table that does not exist is an error.
 
     A second run appends the rows a second time. Lost executors are covered:
     the write commits as a whole, and retried tasks leave nothing behind.
     """
     if by_name:
-        df.write.mode("append").saveAsTable(table)
+        df.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=df)
     else:
         df.write.insertInto(table)
 

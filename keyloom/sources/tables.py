@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from keyloom.functions.keys import has_key
+from keyloom.functions.keys import has_key, named
 from keyloom.operators.lookup import Field, latest_rows
 
 
@@ -22,9 +21,12 @@ def project_main(main: DataFrame, columns: Sequence[Field], key: str | None = No
     Only these columns are read from the source.
     """
     pairs = [(c, c) if isinstance(c, str) else (c[0], c[1]) for c in columns]
-    if key is not None and key not in [alias for _, alias in pairs]:
-        pairs.append((key, key))
-    return main.select(*[F.col(c).alias(a) for c, a in pairs])
+    if key is not None:
+        if any(a == key != c for c, a in pairs):
+            raise ValueError(f"a column is named like the lookup key: {key}")
+        if key not in [alias for _, alias in pairs]:
+            pairs.append((key, key))
+    return main.select(*[named(c).alias(a) for c, a in pairs])
 
 
 def register_dimension(
@@ -45,9 +47,9 @@ def register_dimension(
     Name the ``fields`` the text may use when versions are reduced: whole rows
     are compared there, so other columns would be read even if unused.
     """
-    dim = dim.where(has_key(F.col(rowkey)))
+    dim = dim.where(has_key(named(rowkey)))
     if fields is not None:
-        dim = dim.select(*dict.fromkeys([rowkey, *fields, *([order_by_version] if order_by_version else [])]))
+        dim = dim.select(*map(named, dict.fromkeys([rowkey, *fields, *([order_by_version] if order_by_version else [])])))
     if order_by_version is not None:
         dim = latest_rows(dim, rowkey, order_by_version)
     dim.createOrReplaceTempView(view)

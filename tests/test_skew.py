@@ -64,7 +64,7 @@ def test_repartition_places_keys_and_spreads_the_rest(skewed):
     sizes = [r["count"] for r in placed.where("k = 'hot' or k = '' or k is null").groupBy("p").count().collect()]
     assert len(sizes) == parts
     assert max(sizes) < 1.2 * min(sizes)
-    assert placed.rdd.getNumPartitions() == 2 * parts
+    assert placed.rdd.getNumPartitions() == parts
 
 
 def test_no_task_of_a_split_lookup_gets_the_hot_key(spark, skewed):

@@ -12,6 +12,7 @@ from keyloom import wide_to_cells
 
 KEY = "customer_index_rowkey_id"
 CELL_FAMILIES = {"c_name": "f1", "c_mktsegment": "f2"}
+NAMED = "select c_name as rowkey, c_acctbal, c_mktsegment from customer"
 BASE_TS = "2024-01-01 00:00:00"
 PUT_TS = "2024-02-01 00:00:00"
 
@@ -170,3 +171,8 @@ def puts_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("values"),
         ntz(PUT_TS).alias("ts"),
     )
+
+
+def named_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by name, a native string key; ``NAMED`` as SQL."""
+    return table(spark, sf_dir, "customer").select(F.col("c_name").alias("rowkey"), "c_acctbal", "c_mktsegment")

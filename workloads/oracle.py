@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workloads.fixtures import PUT_TS, with_sql
+from workloads.fixtures import NAMED, PUT_TS, with_sql
 
 _MATCH = "left join K on nullif(M.customer_index_rowkey_id, '') = K.rowkey"
 _MK = with_sql("M", "K")
@@ -98,7 +98,7 @@ ORACLE: dict[str, str] = {
          from M left join W on nullif(M.customer_index_rowkey_id, '') = W.rowkey""",
     "repartition_by_key": _placement("M"),
     "repartition_hot_key": _placement("H"),
-    "get_row": with_sql("K") + "select * from K where rowkey = '17'",
+    "get_row": f"select * from ({NAMED}) where rowkey = 'Customer#000000017'",
     "get_row_latest": with_sql("E")
     + """select * from E where rowkey = '7'
          qualify row_number() over (partition by rowkey, family, qualifier order by ts desc, value desc) = 1""",
@@ -116,7 +116,7 @@ ORACLE: dict[str, str] = {
     "multi_get": _MK
     + f"""select M.o_orderkey as pos, M.customer_index_rowkey_id as rowkey, K.c_name, K.c_mktsegment
           from M {_MATCH}""",
-    "range_scan": with_sql("K") + "select * from K where rowkey >= '10' and rowkey < '12' || '0'",
+    "range_scan": f"select * from ({NAMED}) where rowkey >= 'Customer#00000001' and rowkey < 'Customer#000000120' || '0'",
     "range_scan_family": with_sql("K", "C")
     + "select * from C where family = 'f2' and rowkey >= '10' and rowkey < '12' || '0'",
     "cells_latest": with_sql("E")

@@ -18,7 +18,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 MAIN_COLUMNS = [("o_orderkey", "order_code"), "o_totalprice"]
 DIM_FIELDS = [("c_name", "nm"), ("c_mktsegment", "seg")]
 SINK_COLUMNS = "order_code BIGINT, o_totalprice DOUBLE, nm STRING, seg STRING"
-PARTITIONS = 20
 PLACEMENT_SHARE = 0.1
 
 # Plan by measurement: broadcast a small dimension, else keep keyless and hot rows out of the shuffle.
@@ -102,7 +101,7 @@ def lookup_date_format(spark, sf_dir):
 
 def lookup_skew_split(spark, sf_dir):
     return kl.lookup_enrich(
-        _main(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, split_null_keys=True, partitions=PARTITIONS
+        _main(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, split_null_keys=True, partitions=int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
 
 
@@ -136,11 +135,13 @@ def lookup_cells_dimension(spark, sf_dir):
     )
 
 
-def _placement(main):
+def _placement(spark, main):
     """Rows and partitions per key; keyless rows and hot keys are spread on purpose and count 0 partitions."""
-    keys = main.select(fx.KEY)
-    hot = kl.find_hot_keys(keys, fx.KEY, PLACEMENT_SHARE)
-    placed = kl.repartition_by_key(keys, fx.KEY, PARTITIONS, hot)
+    counts = main.select(nullif_empty(F.col(fx.KEY)).alias("key")).where("key is not null").groupBy("key").agg(F.count("*").alias("n"))
+    keyed = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = [r["key"] for r in counts.where(F.col("n") >= PLACEMENT_SHARE * keyed).collect()]  # at most 1 / share keys
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = kl.repartition_by_key(main, fx.KEY, partitions, hot)
     key = F.col("key")
     together = key.isNotNull() & ~key.isin(hot)
     return (
@@ -153,15 +154,16 @@ def _placement(main):
 
 
 def repartition_by_key(spark, sf_dir):
-    return _placement(fx.main_m(spark, sf_dir))
+    return _placement(spark, fx.main_m(spark, sf_dir))
 
 
 def repartition_hot_key(spark, sf_dir):
-    return _placement(fx.main_h(spark, sf_dir))
+    return _placement(spark, fx.main_h(spark, sf_dir))
 
 
 def get_row(spark, sf_dir):
-    return kl.get_row(fx.dim_k(spark, sf_dir), "17")
+    """By a native string key, so that the equality reaches the scan."""
+    return kl.get_row(fx.named_customers(spark, sf_dir), "Customer#000000017")
 
 
 def get_row_latest(spark, sf_dir):
@@ -177,7 +179,7 @@ def get_cells(spark, sf_dir):
 
 def get_latest_cells(spark, sf_dir):
     keys = fx.table(spark, sf_dir, "supplier").select(fx.text("s_suppkey").alias("rowkey"))
-    return kl.get_latest_cells(fx.cells_e(spark, sf_dir), keys, ["click", "purchase"])
+    return kl.get_latest_cells(fx.cells_e(spark, sf_dir), keys, ["click", "purchase"], broadcast_limit=BROADCAST_LIMIT)
 
 
 def multi_get(spark, sf_dir):
@@ -186,7 +188,8 @@ def multi_get(spark, sf_dir):
 
 
 def range_scan(spark, sf_dir):
-    return kl.range_scan(fx.dim_k(spark, sf_dir), "10", "12")
+    """By a native string key, so that both bounds reach the scan."""
+    return kl.range_scan(fx.named_customers(spark, sf_dir), "Customer#00000001", "Customer#000000120")
 
 
 def range_scan_family(spark, sf_dir):
