@@ -8,10 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.keys import has_key, text_key
-from keyloom.operators.partition import repartition_by_key, split_by_key
+from keyloom.operators.partition import repartition_by_key, split_by_key, spreading_salt
 from keyloom.plans.sizing import BROADCAST_LIMIT, fits_in_broadcast
 from keyloom.plans.skew import key_shares
 
+# Share of keyless and hot rows from which a second read of the left side costs less than shuffling them.
+SPLIT_SHARE = 0.3
+
+
+def _salted(left: DataFrame, key: str, right: DataFrame, rowkey: str, on, how: str, hot_keys: Sequence[str], partitions: int | None) -> DataFrame:
+    """The join in one read of ``left``: its keyless and hot rows are spread by a salt, and the right rows of hot keys copied to each salt."""
+    salts = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.withColumn("__salt", F.pmod(spreading_salt(left, key, hot_keys), F.lit(salts)))
+    if partitions:
+        left = left.repartition(partitions, F.col(key), F.col("__salt"))
+    copies = F.array(F.lit(0).cast("bigint"))
+    if hot_keys:
+        hot = text_key(F.col(rowkey)).isin(list(hot_keys))
+        copies = F.when(hot, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(copies)
+    right = right.withColumn("__right_salt", F.explode(copies))
+    return left.join(right, on & (F.col("__salt") == F.col("__right_salt")), how).drop("__salt", "__right_salt")
+
 
 def join_by_key(
     left: DataFrame,
@@ -37,13 +54,17 @@ def join_by_key(
       together with ``hot_share``, where they are at least that share.
     * ``hot_keys`` / ``hot_share``: rows of the hot keys (given, or found at that
       share) are joined in place with a measured broadcast of just their rows.
-    * ``partitions``: the shuffled rows are placed in that many partitions.
+    * ``partitions``: the rows are placed in that many partitions, the keyless and known
+      hot ones spread over them. Spark raises a number below ``spark.sql.shuffle.partitions``
+      to that.
     * none of these: one plain join; Spark's size statistics and adaptive skew
       handling decide.
 
     Measuring and finding run a job each when the join is built, on ``right``
-    and on the key column of ``left``. The split plans read ``left`` twice, so
-    checkpoint it when it is costly or not repeatable.
+    and on the key column of ``left``. Where the found hot and keyless rows are under
+    ``SPLIT_SHARE`` of all, or ``partitions`` is given, they are shuffled with a salt
+    and ``left`` is read once. The other split plans read it twice, so checkpoint it
+    when it is costly or not repeatable.
     """
     # A row key is never empty, so an empty key finds nothing. Comparing the
     # bare columns keeps any bucketing or partitioning of either side usable.
@@ -55,16 +76,18 @@ def join_by_key(
         if partitions:
             left = repartition_by_key(left, key, partitions, hot_keys)
         return left.join(F.broadcast(right), on, how)
+    free_share = 1.0
     if hot_share is not None:
         shares = key_shares(left, key, hot_share)
         hot_keys = sorted({*hot_keys, *shares.hot_keys})
         split_null_keys = split_null_keys and shares.keyless >= hot_share
+        free_share = shares.hot + shares.keyless
     if not (hot_keys or split_null_keys or partitions):
         return left.join(right, on, how)
 
+    if partitions or free_share < SPLIT_SHARE:
+        return _salted(left, key, right, rowkey, on, how, hot_keys, partitions)
     cold, free = split_by_key(left, key, hot_keys)
-    if partitions:
-        cold, free = cold.repartition(partitions, key), free.repartition(partitions)
     joined = cold.join(right, on, how)
     if hot_keys:
         hot_rows = right.where(text_key(F.col(rowkey)).isin(list(hot_keys)))

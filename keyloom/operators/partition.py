@@ -23,6 +23,17 @@ def split_by_key(df: DataFrame, key: str, hot_keys: Sequence[str] = ()) -> tuple
     return df.where(has_key(column) & ~hot), df.where(no_key(column) | hot)
 
 
+def spreading_salt(df: DataFrame, key: str, hot_keys: Sequence[str] = ()):
+    """0 for rows that belong with their key; a hash of all columns for rows without a key or with a hot one.
+
+    Maps cannot be hashed and do not count. A recomputed task gives every row the same salt.
+    """
+    column = F.col(key)
+    free = no_key(column) | text_key(column).isin(list(hot_keys)) if hot_keys else no_key(column)
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    return F.when(free, F.xxhash64(*hashable)).otherwise(F.lit(0).cast("bigint"))
+
+
 def repartition_by_key(df: DataFrame, key: str, partitions: int, hot_keys: Sequence[str] = ()) -> DataFrame:
     """Hash the rows by key so that equal keys sit together.
 
@@ -31,8 +42,4 @@ def repartition_by_key(df: DataFrame, key: str, partitions: int, hot_keys: Seque
     and there are exactly ``partitions`` partitions. Maps cannot be hashed and do not
     count; rows that are equal in all other columns stay together.
     """
-    column = F.col(key)
-    free = no_key(column) | text_key(column).isin(list(hot_keys)) if hot_keys else no_key(column)
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
-    salt = F.when(free, F.xxhash64(*hashable)).otherwise(F.lit(0))
-    return df.repartition(partitions, column, salt)
+    return df.repartition(partitions, F.col(key), spreading_salt(df, key, hot_keys))

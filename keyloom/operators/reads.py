@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyloom.functions.keys import named, text_key
-from keyloom.operators.cells import DEFAULT_FAMILY, latest_cells
+from keyloom.operators.cells import CELL_KEY, DEFAULT_FAMILY, latest_cells
 from keyloom.operators.keyjoin import join_by_key
 from keyloom.plans.sizing import fits_in_broadcast
 
@@ -95,15 +95,26 @@ def get_latest_cells(
 ) -> DataFrame:
     """:func:`get_cells` of a cell table: the latest version of the chosen columns of one family.
 
-    Versions are reduced before the keys are joined when those must be shuffled,
-    so a row with very many versions does not weigh on the join.
+    Keys measured small filter the cells first. Otherwise each row is reduced to the
+    latest version per chosen column before it meets the keys, and the join reuses
+    that one shuffle; a row with very many versions does not weigh on it.
     """
     chosen = cells.where((F.col("family") == family) & F.col("qualifier").isin(list(fields)))
     wanted = _distinct_keys(keys, key)
     if broadcast_limit is not None and fits_in_broadcast(wanted, broadcast_limit):
         on = F.col("rowkey") == F.col("__key")
         return latest_cells(chosen.join(F.broadcast(wanted), on, "left_semi"), order_by)
-    return join_by_key(latest_cells(chosen, order_by), "rowkey", wanted, "__key", "left_semi")
+    names = list(dict.fromkeys(fields))
+    if not names:
+        return chosen
+    rest = [c for c in cells.columns if c not in (*CELL_KEY, *order_by)]
+    version = F.struct(*map(named, [*order_by, *rest]))
+    rows = chosen.groupBy("rowkey").agg(*[F.max(F.when(F.col("qualifier") == q, version)).alias(f"__{i}") for i, q in enumerate(names)])
+    found = join_by_key(rows, "rowkey", wanted, "__key", "left_semi")
+    listed = F.array(*[F.struct(F.lit(q).alias("qualifier"), F.col(f"__{i}").alias("cell")) for i, q in enumerate(names)])
+    one = found.select("rowkey", F.inline(listed)).where("cell is not null")
+    fixed = {"rowkey": F.col("rowkey"), "family": F.lit(family).alias("family"), "qualifier": F.col("qualifier")}
+    return one.select(*[fixed[c] if c in fixed else F.col(f"cell.`{c}`").alias(c) for c in cells.columns])
 
 
 def range_scan(table: DataFrame, begin: str, end: str, rowkey: str = "rowkey") -> DataFrame:

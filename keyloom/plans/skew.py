@@ -18,10 +18,11 @@ _MERGE_GROUPS = 256
 
 @dataclass(frozen=True)
 class KeyShares:
-    """``hot_keys`` hold the asked-for share of the keyed rows each; ``keyless`` is the share of rows without a key."""
+    """``hot_keys`` hold the asked-for share of the keyed rows each, and together about ``hot`` of all rows; ``keyless`` is the share of rows without a key."""
 
     hot_keys: list[str] = field(default_factory=list)
     keyless: float = 0.0
+    hot: float = 0.0
 
 
 def key_shares(df: DataFrame, key: str, share: float = HOT_SHARE) -> KeyShares:
@@ -58,8 +59,9 @@ def key_shares(df: DataFrame, key: str, share: float = HOT_SHARE) -> KeyShares:
     )
     if found is None:
         return KeyShares()
-    hot = sorted(t["item"] for t in found["top"] if t["count"] >= share * found["n_keyed"])
-    return KeyShares(hot, (found["n_rows"] - found["n_keyed"]) / found["n_rows"])
+    hot = {t["item"]: t["count"] for t in found["top"] if t["count"] >= share * found["n_keyed"]}
+    n_rows = found["n_rows"]
+    return KeyShares(sorted(hot), (n_rows - found["n_keyed"]) / n_rows, sum(hot.values()) / n_rows)
 
 
 def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str]:

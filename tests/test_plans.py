@@ -162,10 +162,9 @@ def test_small_upserts_leave_the_base_in_place(spark, stored, no_auto_broadcast)
     base = kl.wide_to_cells(dim.withColumn("ts", F.lit(1)), {"c_name": "f1", "c_mktsegment": "f2"}, ts="ts")
     puts = base.where("rowkey < '2'").withColumn("ts", F.lit(2))
     plan = plan_of(kl.upsert_cells(base, puts, base_is_latest=True, broadcast_limit=1 << 20))
-    untouched = plan[plan.index("LeftAnti") : plan.index("SortAggregate")]
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert "Exchange hashpartitioning(rowkey" in untouched  # the distinct put keys, inside their broadcast
-    assert untouched.index("BroadcastExchange") < untouched.index("Exchange hashpartitioning(rowkey")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "FullOuter" not in plan
+    base_side = plan[plan.index("LeftOuter") : plan.index("BroadcastExchange")]
+    assert "FileScan" in base_side and "Exchange" not in base_side
 
     names = puts.select("rowkey", F.col("value").alias("c_name"))
     plan = plan_of(kl.upsert_column(dim, names, "c_name", broadcast_limit=1 << 20))
@@ -179,7 +178,7 @@ def test_latest_base_is_joined_not_reduced(spark, stored, no_auto_broadcast):
     plan = plan_of(kl.upsert_cells(base, base.withColumn("ts", F.lit(2)), base_is_latest=True))
     assert "FullOuter" in plan
     assert plan.count("partial_max") == 1  # the puts only
-    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Exchange hashpartitioning") == 3  # reduced puts move again: the join is by null-safe keys
 
 
 def test_versions_are_reduced_before_the_shuffle(spark):
@@ -209,11 +208,40 @@ def test_sql_text_is_optimized_as_a_whole(spark, stored, no_auto_broadcast):
 
 
 def test_no_python_runs_in_any_query(spark):
-    import __spark_entry__ as contract
+    from workloads.queries import QUERIES  # those of the optional subpackage may run Python
 
-    for name, query in contract.queries().items():
+    for name, query in QUERIES.items():
         if not name.startswith(("sink", "job")):
             plan = plan_of(query(spark, "/root/testdata/sf0.001"))
             assert "Python" not in plan and "Pandas" not in plan, name
             assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
             assert "SinglePartition" not in plan, name
+
+
+def test_few_hot_rows_are_salted_in_one_read(spark, stored, no_auto_broadcast):
+    main, dim = stored
+    few = main.where("(k is not null and k != '7') or o_orderkey % 20 = 0")
+    plain = kl.lookup_enrich(few, dim, "k", ["c_name"])
+    salted = kl.lookup_enrich(few, dim, "k", ["c_name"], hot_share=0.01, split_null_keys=True)
+    plan = plan_of(salted)
+    assert "Union" not in plan and "__salt" in plan and len(scans(plan)) == 2
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def test_partitions_over_the_session_number_are_kept(stored, no_auto_broadcast):
+    main, dim = stored
+    df = kl.lookup_enrich(main, dim, "k", ["c_name"], partitions=11, hot_keys=["7"])
+    assert len(scans(plan_of(df))) == 2  # before it runs: afterwards the first plan is listed as well
+    assert df.rdd.getNumPartitions() == 11
+    assert df.count() == main.count()
+
+
+def test_latest_cells_of_many_keys_take_one_exchange_of_the_cells(spark, no_auto_broadcast):
+    events = spark.read.parquet(f"{DATA}/events.parquet").select(
+        F.col("user_id").cast("string").alias("rowkey"), F.lit("f1").alias("family"), F.col("event_type").alias("qualifier"), "ts",
+        F.col("props").alias("value"),
+    )
+    keys = events.select("rowkey").where("rowkey < '3'")
+    got = kl.get_latest_cells(events, keys, ["click", "view"])
+    assert plan_of(got).count("Exchange hashpartitioning(rowkey") == 1
+    assert plan_of(got).count("Exchange hashpartitioning") == 2

@@ -146,3 +146,10 @@ ORACLE: dict[str, str] = {
     "job_end_to_end": _NOT_NULL,
     "job_sql": _NOT_NULL,
 }
+ORACLE |= {
+    "put_cell": with_sql("K", "C")
+    + _latest(f"select * from C union all select '7', 'f2', 'c_mktsegment', timestamp '{PUT_TS}', 'VIP'"),
+    "delete_row": with_sql("K") + "select * from K where rowkey is distinct from '7'",
+    "get_latest_cells_shuffled": ORACLE["get_latest_cells"],
+    "write_keyed_read": ORACLE["range_scan"],
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ import keyloom as kl
 from keyloom.functions import decode_text, encode_text, format_datetime, nullif_empty
 from keyloom.plans import BROADCAST_LIMIT, HOT_SHARE
 from workloads import fixtures as fx
-from workloads.scratch import new_table
+from workloads.scratch import new_table, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -263,6 +264,27 @@ def delete_rows_cells(spark, sf_dir):
     return kl.delete_rows(fx.cells_e(spark, sf_dir), keys, broadcast_limit=BROADCAST_LIMIT, hot_share=HOT_SHARE)
 
 
+def put_cell(spark, sf_dir):
+    return kl.put_cell(fx.cells_c(spark, sf_dir), "7", "f2", "c_mktsegment", "VIP", fx.PUT_TS).drop("ts")
+
+
+def delete_row(spark, sf_dir):
+    return kl.delete_row(fx.dim_k(spark, sf_dir), "7")
+
+
+def get_latest_cells_shuffled(spark, sf_dir):
+    """Same read, planned for keys that are not measured: one shuffle of the cells."""
+    keys = fx.table(spark, sf_dir, "supplier").select(fx.text("s_suppkey").alias("rowkey"))
+    return kl.get_latest_cells(fx.cells_e(spark, sf_dir), keys, ["click", "purchase"])
+
+
+def write_keyed_read(spark, sf_dir):
+    """Customers written in key order, and a key range read from there."""
+    path = f"{shared_dir(spark)}/keyed-{uuid.uuid4().hex}"
+    kl.write_keyed(fx.named_customers(spark, sf_dir), path)
+    return kl.range_scan(spark.read.parquet(path), "Customer#00000001", "Customer#000000120")
+
+
 def _empty_sink(spark, kind):
     name, path = new_table(spark, kind)
     spark.sql(f"CREATE TABLE {name} ({SINK_COLUMNS}) USING parquet LOCATION '{path}'")
@@ -361,6 +383,10 @@ QUERIES: dict[str, Query] = {
         upsert_cells,
         upsert_cells_latest,
         upsert_cells_small,
+        put_cell,
+        delete_row,
+        get_latest_cells_shuffled,
+        write_keyed_read,
         delete_rows,
         delete_rows_cells,
         sink_append,
