@@ -77,7 +77,7 @@ class SumOfSquaresPacker:
         if size := len(ids) - whole:
             at = self.choose(size)
             held = self.open[at].pop() if at else []
-            held.append((document, whole, ids[whole:]))
+            held.append((document, whole, ids[whole:].copy()))  # not a view, which would hold a long document
             self.level[at] -= at > 0
             self.n_open += (at == 0) - (at + size == self.window)
             if at + size == self.window:
