@@ -26,6 +26,14 @@ _LEAF = 8  # bytes that are merged directly
 _LONG_MATCH = 64  # characters of a match beyond which it is not remembered
 _KEPT_MATCHES = 300_000  # encoded matches, and small parts and pairs of tokens, that a task remembers
 _KEPT = 100_000
+_ROWS = 256  # texts whose ids are held at once
+
+
+def _parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The rows of ``batches``, fewer at a time, so that the results of a batch of any size are handed on in parts."""
+    for batch in batches:
+        for at in range(0, len(batch), _ROWS):
+            yield batch.iloc[at : at + _ROWS]
 
 
 class TreeBpe:
@@ -103,7 +111,7 @@ def encode(df: DataFrame, text: str = "text", into: str = "ids", path: str = RAN
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = TextEncoder(*sent.value)
-        for texts in batches:
+        for texts in _parts(batches):
             yield pd.Series([encoder.encode(t or "") for t in texts], dtype=object)
 
     return df.withColumn(into, encoded(col(text)))
@@ -121,7 +129,7 @@ def decode(df: DataFrame, ids: str = "ids", into: str = "decoded", path: str = R
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bytes_of = _decoder(sent.value)
-        for batch in batches:
+        for batch in _parts(batches):
             yield pd.Series([None if a is None else bytes_of(a) for a in batch], dtype=object)
 
     return df.withColumn(into, decoded(col(ids)))
@@ -137,7 +145,7 @@ def round_trip(df: DataFrame, text: str = "text", into: str = "coded", path: str
     @F.pandas_udf("ids array<int>, decoded binary")
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder, bytes_of = TextEncoder(*sent.value), _decoder(sent.value[0])
-        for texts in batches:
+        for texts in _parts(batches):
             ids = [encoder.encode(t or "") for t in texts]
             yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(list(map(bytes_of, ids)), dtype=object)})
 
