@@ -1,6 +1,6 @@
 from keyloom.operators.cells import cells_to_wide, decode_cells, empty_cells, latest_cells, wide_to_cells
 from keyloom.operators.keyjoin import join_by_key
-from keyloom.operators.lookup import duplicate_keys, lookup_enrich
+from keyloom.operators.lookup import duplicate_keys, lookup_enrich, lookup_select
 from keyloom.operators.mutate import (
     array_puts,
     delete_row,
@@ -28,6 +28,7 @@ __all__ = [
     "join_by_key",
     "latest_cells",
     "lookup_enrich",
+    "lookup_select",
     "multi_get",
     "put_cell",
     "range_scan",

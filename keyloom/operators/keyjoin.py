@@ -42,6 +42,7 @@ def join_by_key(
     split_null_keys: bool = False,
     partitions: int | None = None,
     broadcast_limit: int | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` with the one ``right`` row per key; ``how`` is left, left_semi or left_anti.
 
@@ -50,6 +51,8 @@ def join_by_key(
 
     * ``broadcast_limit``: measure ``right`` and broadcast it when it fits.
       ``left`` is then read once and not shuffled; skew no longer matters.
+      ``measured`` stands for ``right`` in measuring: rows with the same columns that
+      are no fewer and cheaper to make, such as all versions of the rows.
     * ``split_null_keys``: rows without a key skip the join and its shuffle;
       together with ``hot_share``, where they are at least that share.
     * ``hot_keys`` / ``hot_share``: rows of the hot keys (given, or found at that
@@ -72,7 +75,8 @@ def join_by_key(
     on = F.col(key) == F.col(rowkey)
     if left.schema[key].dataType != right.schema[rowkey].dataType:
         on = text_key(F.col(key)) == text_key(F.col(rowkey))
-    if broadcast_limit is not None and fits_in_broadcast(right, broadcast_limit):
+    measured = right if measured is None else measured.where(has_key(F.col(rowkey)))
+    if broadcast_limit is not None and fits_in_broadcast(measured, broadcast_limit):
         if partitions:
             left = repartition_by_key(left, key, partitions, hot_keys)
         return left.join(F.broadcast(right), on, how)

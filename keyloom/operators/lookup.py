@@ -14,6 +14,7 @@ from keyloom.operators.keyjoin import join_by_key
 Field = str | tuple[str, str]
 
 _ROWKEY = "__rowkey"
+_LOOKUP_KEY = "__lookup_key"
 
 
 def _pairs(fields: Sequence[Field]) -> list[tuple[str, str]]:
@@ -88,7 +89,7 @@ def lookup_enrich(
     types = dict(dim.dtypes)
     row = as_text(named(rowkey), types[rowkey]).alias(_ROWKEY)
     values = [as_text(named(f), types[f]).alias(f"__dim_{i}") for i, f in enumerate(names)]
-    right = dim.select(row, *values)
+    right = every = dim.select(row, *values)
     if order_by_version is not None:
         # Keys are text before they are grouped: the join then reuses that shuffle.
         versions = dim.select(row, *values, named(order_by_version).alias("__version"))
@@ -106,6 +107,7 @@ def lookup_enrich(
         split_null_keys=split_null_keys,
         partitions=partitions,
         broadcast_limit=broadcast_limit,
+        measured=every,  # an upper bound that needs no reduction of versions
     )
     out = joined.select(
         *map(named, main_columns),
@@ -114,3 +116,17 @@ def lookup_enrich(
     for alias in require:
         out = out.where(named(alias).isNotNull())
     return out
+
+
+def lookup_select(main: DataFrame, dim: DataFrame, key: str, items: Sequence[tuple[str, str, str]], **options) -> DataFrame:
+    """:func:`lookup_enrich` for one list of items ``(side, column, alias)``, of either side in any order.
+
+    ``side`` is ``"main"`` or ``"dim"``. Output columns: the main items, then the
+    dimension items, each in the order asked for. ``options`` are those of the lookup.
+    """
+    sides = {side for side, _, _ in items}
+    if not sides <= {"main", "dim"}:
+        raise ValueError(f"sides are main and dim, got {sorted(sides)}")
+    asked = {s: [(column, alias) for side, column, alias in items if side == s] for s in ("main", "dim")}
+    rows = main.select(*(named(c).alias(a) for c, a in asked["main"]), named(key).alias(_LOOKUP_KEY))
+    return lookup_enrich(rows, dim, _LOOKUP_KEY, asked["dim"], **options)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import keyloom as kl
+from keyloom.operators import keyjoin
 from keyloom.plans.job import main
 from tests.helpers import plan_of, rows
 from workloads.queries import QUERIES
@@ -78,3 +79,29 @@ def test_command_line_looks_up(spark):
     view = f"{customers}_view"
     main(["--dimension", f"{customers}:{view}:rowkey:v", "--sql", f"SELECT o.id, d.nm FROM {orders} o JOIN {view} d ON o.ck = d.rowkey", "--sink", sink, "--by-name"])
     assert spark.table(sink).where("nm = 'new'").count() == 2
+
+
+def test_one_list_of_both_sides(spark):
+    main_rows = spark.createDataFrame([("1", 5), ("", 6)], "k string, m int")
+    dim = spark.createDataFrame([("1", "x", "y")], "rowkey string, a string, `b.c` string")
+    items = [("dim", "b.c", "second"), ("main", "m", "n"), ("dim", "a", "k"), ("main", "k", "own")]
+    got = kl.lookup_select(main_rows, dim, "k", items)
+    assert got.columns == ["n", "own", "second", "k"]
+    assert rows(got) == [(5, "1", "y", "x"), (6, "", None, None)]
+    with pytest.raises(ValueError, match="sides"):
+        kl.lookup_select(main_rows, dim, "k", [("other", "a", "a")])
+
+
+def test_versions_are_measured_before_they_are_reduced(spark, monkeypatch):
+    seen = []
+
+    def within(df, limit=None):
+        seen.append(plan_of(df))
+        return True
+
+    monkeypatch.setattr(keyjoin, "fits_in_broadcast", within)
+    main_rows = spark.createDataFrame([("1", 5), ("2", 6)], "k string, m int")
+    dim = spark.createDataFrame([("1", "old", 1), ("1", "new", 2), ("", "none", 1)], "rowkey string, a string, v int")
+    got = kl.lookup_enrich(main_rows, dim, "k", ["a"], order_by_version="v", broadcast_limit=1 << 20)
+    assert rows(got) == [(5, "new"), (6, None)]
+    assert len(seen) == 1 and "Aggregate" not in seen[0] and "Exchange" not in seen[0]

@@ -71,10 +71,9 @@ def lookup_no_fields(spark, sf_dir):
 
 
 def lookup_column_order(spark, sf_dir):
-    columns = [("o_orderkey", "order_code"), ("o_totalprice", "price")]
-    return kl.lookup_enrich(
-        _main(spark, sf_dir, columns), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, **MEASURED
-    )
+    """One list that mixes the two sides; main columns come first all the same."""
+    items = [("main", "o_orderkey", "order_code"), ("dim", "c_name", "nm"), ("main", "o_totalprice", "price"), ("dim", "c_mktsegment", "seg")]
+    return kl.lookup_select(fx.main_m(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, items, **MEASURED)
 
 
 def lookup_string_typed(spark, sf_dir):
