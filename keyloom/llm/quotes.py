@@ -80,8 +80,9 @@ def _links(messages: DataFrame) -> DataFrame:
     asked = asked.where(F.length("q.norm") > 0).select("id", "node", "nth", F.col("q.level").alias("level"), F.xxhash64("q.norm").alias("hash"), F.sha2("q.norm", 256).alias("sha"))
     said = messages.where("says and node.conv is not null and node.turn is not null").select("hash", "sha", "node")
     said = said.join(asked.select("hash").distinct(), "hash", "left_semi")
-    here = said.groupBy("hash", "sha", F.col("node.conv").alias("conv")).agg(F.min("node").alias("here"))
-    anywhere = said.groupBy("hash", "sha").agg(F.min("node").alias("anywhere"))
+    # Written, not reused as aggregates: adaptive execution splits a passage that very many quote only between two plain shuffles.
+    here = cut(said.groupBy("hash", "sha", F.col("node.conv").alias("conv")).agg(F.min("node").alias("here")))
+    anywhere = cut(here.groupBy("hash", "sha").agg(F.min("here").alias("anywhere")))
     same = (F.col("a.hash") == F.col("h.hash")) & (F.col("a.sha") == F.col("h.sha")) & (F.col("a.node.conv") == F.col("h.conv")) & (F.col("h.here") < F.col("a.node"))
     found = asked.alias("a").join(here.alias("h"), same, "left").select("a.*", "h.here").join(anywhere, ["hash", "sha"], "left")
     found = found.withColumn("parent", F.coalesce("here", F.when(F.col("anywhere") < F.col("node"), F.col("anywhere")))).where("parent is not null")
