@@ -145,6 +145,28 @@ def test_quotes_are_linked(spark):
     assert quotes.conversations(df.limit(0)).count() == 0
 
 
+def test_quoted_parts_are_linked(spark):
+    rows = [
+        (1, 0, "user", "First paragraph\nover two lines.\n\nSecond paragraph.\n\nThird one."),
+        (1, 1, "user", "> Second paragraph.\n\nAgreed."),
+        (2, 0, "user", "> First paragraph over\n> two lines.\nYes.\n> Third one.\n> Nobody said it.\nNo."),
+        (3, 0, "user", "> No.\n> Second paragraph.\n> Third one.\nBoth."),
+        (4, 0, "user", "> Yes.\n>\n> - - -\n\n> also unknown\nOh."),
+        (5, 0, "user", "> over two lines.\n> > Agreed.\nHm."),
+    ]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r for r in quotes.conversations(df).collect()}
+    assert len(got) == len(rows)
+    assert {k: (r["own_text"], r["reply_conv"], r["reply_turn"], r["n_quotes"], r["n_linked"], r["unlinked_quotes"]) for k, r in got.items() if k != (1, 0)} == {
+        (1, 1): ("Agreed.", 1, 0, 1, 1, []),
+        (2, 0): ("Yes.\nNo.", 1, 0, 2, 2, ["Nobody said it."]),
+        (3, 0): ("Both.", 1, 0, 1, 1, []),
+        (4, 0): ("Oh.", 2, 0, 2, 1, ["- - -", "also unknown"]),
+        (5, 0): ("Hm.", 1, 0, 2, 2, []),
+    }
+    assert {r["thread"] for r in got.values()} == {1}
+
+
 def test_conversations_without_quotes_keep_their_order(spark):
     got = queries.op2_quotation_linking(spark, DATA)
     source = spark.read.parquet(f"{DATA}/conversations.parquet")
