@@ -103,14 +103,14 @@ def parsed(df: DataFrame, text: str = "text", into: str = "parsed") -> DataFrame
 
 
 def _ancestors(parents: DataFrame) -> DataFrame:
-    """``node``, ``root`` and ``depth`` of all nodes in ``parents`` (node, parent), jumping twice as far in each step."""
-    far = cut(parents.select("node", F.col("parent").alias("root"), F.lit(1).alias("depth")))
+    """``id``, ``root`` and ``depth`` of all messages in ``parents`` (id, parent), jumping twice as far in each step."""
+    far = cut(parents.select("id", F.col("parent").alias("root"), F.lit(1).alias("depth")))
     while True:
-        up = far.select(F.col("node").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        step = far.join(up, "root", "left")
-        far = cut(step.select("node", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")))
+        up = far.select(F.col("id").alias("up_id"), F.col("root").alias("next"), F.col("depth").alias("more"))
+        step = far.join(up, F.col("root.id") == F.col("up_id"), "left")
+        far = cut(step.select("id", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")))
         if far.where("moved").isEmpty():
-            return far.select("node", "root", "depth")
+            return far.select("id", "root", "depth")
 
 
 def _links(messages: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def _links(messages: DataFrame) -> DataFrame:
     # A part that is all of a larger one is asked for once.
     keys = F.expr("filter(q.keys, (k, i) -> k is not null and (i = 0 or not k <=> q.keys[i - 1]))")
     asked = cut(lines.select("id", "node", "at", F.col("q.nth").alias("nth"), F.col("q.level").alias("level"), F.posexplode(keys).alias("part", "key")))
-    said = messages.where("node.conv is not null and node.turn is not null").select(F.explode("says").alias("key"), "node")
+    said = messages.where("node.conv is not null and node.turn is not null").select(F.explode("says").alias("key"), F.struct("node.conv", "node.turn", "same", "id").alias("node"))
     said = said.join(asked.select("key").distinct(), "key", "left_semi")
     # Written, not reused as aggregates: adaptive execution splits a passage that very many quote only between two plain shuffles.
     here = cut(said.groupBy("key", F.col("node.conv").alias("conv")).agg(F.min("node").alias("here")))
@@ -151,7 +151,7 @@ def conversations(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
     (``thread``) of the message they go back to; ``position`` (from 0) follows there the
     turn of that message, then the number of replies between, then conversation and turn.
 
-    A message without linked quotes stays where it was. Null texts quote and say nothing, null
+    A message without linked quotes stays where it was, also if another one has its conversation and turn. Null texts quote and say nothing, null
     conversations or turns are no originals. Repeated rows all stay. Extra columns play no part.
     Passages are joined by hash to one message each, so copies cost no pairs, and
     positions come from a range sort, so a conversation of any length is dealt over many tasks.
@@ -161,6 +161,7 @@ def conversations(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
         parsed(source, "text", "p").select(
             F.monotonically_increasing_id().alias("id"),
             F.struct("conv", "turn").alias("node"),
+            F.xxhash64("role", "text").alias("same"),  # of messages with one conversation and turn the same one is first, however they are stored
             "role",
             F.col("p.own").alias("own"),
             F.col("p.says").alias("says"),
@@ -174,9 +175,9 @@ def conversations(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
         none = "cast(null as struct<conv:{},turn:{}>)".format(*(source.schema[c].dataType.simpleString() for c in ("conv", "turn")))
         rows = rows.select("*", F.expr(none).alias("parent"), F.lit(0).cast("bigint").alias("n_linked"), F.expr("cast(array() as array<int>)").alias("linked"), F.col("node").alias("root"), F.lit(0).alias("depth"))
     else:
-        parents = messages.join(links, "id").groupBy("node").agg(F.min("parent").alias("parent"))
-        rows = rows.join(links, "id", "left").join(_ancestors(parents), "node", "left")
-        rows = rows.withColumns({"n_linked": F.coalesce("n_linked", F.lit(0)), "linked": F.coalesce("linked", F.expr("cast(array() as array<int>)")), "root": F.coalesce("root", "node"), "depth": F.coalesce("depth", F.lit(0))})
+        rows = rows.join(links, "id", "left").join(_ancestors(links), "id", "left")
+        rows = rows.withColumn("root", F.expr("if(root is null, node, struct(root.conv, root.turn))"))
+        rows = rows.withColumns({"n_linked": F.coalesce("n_linked", F.lit(0)), "linked": F.coalesce("linked", F.expr("cast(array() as array<int>)")), "depth": F.coalesce("depth", F.lit(0))})
     left = F.expr("if(size(lines) = 0, lines, transform(array_except(sequence(0, size(lines) - 1), linked), i -> lines[i])).text")
     rows = rows.withColumn("unlinked", left).drop("lines", "linked")
     order = ["root.conv", "root.turn", "depth", "node.conv", "node.turn", "id"]

@@ -151,7 +151,7 @@ def test_quoted_parts_are_linked(spark):
         (1, 1, "user", "> Second paragraph.\n\nAgreed."),
         (2, 0, "user", "> First paragraph over\n> two lines.\nYes.\n> Third one.\n> Nobody said it.\nNo."),
         (3, 0, "user", "> No.\n> Second paragraph.\n> Third one.\nBoth."),
-        (4, 0, "user", "> Yes.\n>\n> - - -\n\n> also unknown\nOh."),
+        (4, 0, "user", "> Yes.\n\n> also unknown\nOh."),
         (5, 0, "user", "> over two lines.\n> > Agreed.\nHm."),
     ]
     df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
@@ -161,12 +161,35 @@ def test_quoted_parts_are_linked(spark):
         (1, 1): ("Agreed.", 1, 0, 1, 1, []),
         (2, 0): ("Yes.\nNo.", 1, 0, 2, 2, ["Nobody said it."]),
         (3, 0): ("Both.", 1, 0, 1, 1, []),
-        (4, 0): ("Oh.", 2, 0, 2, 1, ["- - -", "also unknown"]),
+        (4, 0): ("Oh.", 2, 0, 2, 1, ["also unknown"]),
         (5, 0): ("Hm.", 1, 0, 2, 2, []),
     }
     assert {r["thread"] for r in got.values()} == {1}
 
 
+def test_only_the_message_that_quotes_moves(spark):
+    rows = [
+        (1, 0, "user", "An original."),
+        (None, None, "user", "> An original.\nQuotes it."),
+        (None, None, "user", "Quotes nothing."),
+        (None, None, "user", "Quotes nothing either."),
+        (7, None, "user", "> An original.\nMoves."),
+        (7, None, "user", "Stays without a turn."),
+        (8, 1, "user", "> An original.\nMoves too."),
+        (8, 1, "assistant", "Stays with a turn."),
+        (9, 0, "user", "> Moves too.\nTwo up."),
+        (9, 1, "user", "> Stays with a turn.\nOne up."),
+    ]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    out = quotes.conversations(df).collect()
+    got = {r["own_text"]: (r["thread"], r["depth"]) for r in out}
+    assert len(out) == len(rows)
+    assert got["Quotes nothing."] == got["Quotes nothing either."] == (None, 0)
+    assert got["Moves."] == got["Moves too."] == (1, 1) and got["Two up."] == (1, 2)
+    assert got["Stays without a turn."] == (7, 0) and got["Stays with a turn."] == (8, 0) and got["One up."] == (8, 1)
+    print(got["Quotes it."])
+
+
 def test_conversations_without_quotes_keep_their_order(spark):
     got = queries.op2_quotation_linking(spark, DATA)
     source = spark.read.parquet(f"{DATA}/conversations.parquet")
