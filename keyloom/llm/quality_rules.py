@@ -28,20 +28,27 @@ _SHORT_LINE = 10  # words; a shorter line must end like a sentence
 _TERMINAL = ".!?…:;。！？"
 _CLOSING = "\"')]}”’»* "
 _SEPARATORS = re.compile(r"[|»›·•>]")
+_BOILERPLATE_PERCENT = 15  # of a line that is not short
 _BOILERPLATE = re.compile(
-    r"(?i)all rights reserved|copyright\s*(?:\(c\)|©|\d{4})|licen[sc]ed under|privacy policy|cookie policy|we use cookies|accept cookies|"
+    r"(?i)\b(?:copyright\s*(?:\(c\)|©)|(?:all rights reserved|copyright\s*\d{4}|licen[sc]ed under|privacy policy|cookie policy|we use cookies|accept cookies|"
     r"terms of (?:use|service)|terms and conditions|enable javascript|javascript is (?:disabled|required)|click here|read more|"
-    r"sign (?:in|up) (?:to|for)|log in to|subscribe to|share (?:on|this)|follow us|powered by|lorem ipsum|skip to content"
+    r"sign (?:in|up) (?:to|for)|log in to|subscribe to|share (?:on|this)|follow us|powered by|lorem ipsum|skip to content)\b)"
 )
 
 
+def is_boilerplate(line: str, n: int) -> bool:
+    """Whether ``line`` of ``n`` words has a phrase, and is short or made of phrases to a good part. Prose may hold one."""
+    found = sum(m.end() - m.start() for m in _BOILERPLATE.finditer(line))
+    return found > 0 and (n < _SHORT_LINE or 100 * found >= _BOILERPLATE_PERCENT * len(line.strip()))
+
+
 def line_fault(line: str) -> str | None:
     """The rule that ``line`` fails, or None. A line without words fails none."""
     words = line.split()
     n = len(words)
     if not n:
         return None
-    if _BOILERPLATE.search(line):
+    if is_boilerplate(line, n):
         return "boilerplate"
     if 4 * len(_SEPARATORS.findall(line)) >= n and (n >= 4 or "|" in line):
         return "navigation"

@@ -111,6 +111,21 @@ def test_line_rules(line, fault):
     assert quality_rules.line_fault(line) == fault
 
 
+@pytest.mark.parametrize("phrase", ["read more", "powered by", "share one", "share on", "click here", "privacy policy", "all rights reserved"])
+def test_prose_may_hold_a_phrase(phrase):
+    prose = " ".join(f"The {i}th of many sentences tells of place {i * 7} and what people do there." for i in range(60))
+    text = f"{prose} They {phrase} there and go. {prose}"
+    assert quality_rules.line_fault(text) is None
+    *_, kept, failed, lost, cleaned = quality_rules.judge(" ".join(f"w{i} x{i * i}." for i in range(300)) + f" They {phrase} there.")
+    assert (kept, failed, lost) == (True, 0, 0) and cleaned
+
+
+def test_phrases_are_whole_words():
+    assert quality_rules.line_fault("And is erer. Ereaes oftheshare onstor.") is None
+    for line in ("Copyright ©2020 Example.", "copyright (c) Example.", "© Example. All rights reserved.", "Click here to read more about our privacy policy and our terms of use."):
+        assert quality_rules.line_fault(line) == "boilerplate"
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     scored = queries.op8_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
