@@ -25,9 +25,13 @@ BASE_KINDS = ("assign", "access", "hex")
 GUESS = "guess"
 _ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 
-# A value after one of these, an assignment and perhaps a quote is taken for a credential.
+# A value after one of these, an assignment and perhaps a quote is taken for a credential. The name may go on: as it likes after
+# words that begin no others, else from _, -, a digit or a new capital ("token_2", "secretId", but not "author").
+# A name without a value matches too, so that none is read twice, and blanks are never given back: work is linear.
 CONTEXT = re.compile(
-    r"""(?i:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth|login|private[_-]?key)["']?\s{0,8}(?::=|=>|[:=]|\sis\s)\s{0,8}(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'<>,;]{6,}))""",
+    r"""(?:(?i:pass(?:word|wd|phrase|code)|pwd|(?:api|private|access|secret|signing|encryption)[_-]?key)[A-Za-z0-9_-]*+"""
+    r"""|(?i:pass|secret|token|credential|auth|login)s?(?:(?:[0-9_-]|(?<=[a-z])[A-Z])[A-Za-z0-9_-]*+)?)"""
+    r"""(?:["']?(?:\s*+(?::=|=>|[:=])|\s++is\s)\s*+(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'<>,;]{6,})))?""",
     re.ASCII,
 )
 _CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "login")
@@ -145,7 +149,7 @@ def guess_spans(text: str, low: str, costs: GuessCost, least: float) -> list[tup
     found = []
     for m in CONTEXT.finditer(text):
         group = m.lastindex
-        if costs.cost(m[group]) >= least:
+        if group and costs.cost(m[group]) >= least:
             found.append((GUESS, m.start(group), m.end(group)))
     return found
 

@@ -64,6 +64,31 @@ def test_guessed_values_and_redaction(spark):
     assert clean[1] == "pwd: [SECRET] end" and clean[3] == '[SECRET]" x' and clean[4] is None and clean[5] == "no secrets"
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["aws_secret_access_key = ", "secret_key: ", "access_key=", "signing_key=", "encryption-key: ", "DB_PASSWORD_PROD=", "tokenId = ", "AUTH_2: ", "secretAccessKey => ",
+     "pwd" + " " * 12 + "= ", "private_key" + "\t" * 9 + ":" + " " * 30, "secrets: ", "password_hash is  ", "login" + " " * 20 + "is "],
+)
+def test_names_of_secrets(name):
+    text = f"x {name}x7#kQ9!vLp2 end"
+    at = text.index("x7#")
+    assert secret_scan.guess_spans(text, text.lower(), secret_scan.GuessCost(), secret_scan.MIN_COST) == [("guess", at, at + 11)]
+
+
+def test_other_names_and_long_texts_of_names():
+    costs = secret_scan.GuessCost()
+    for text in ("Author: Shakespeare", "AUTHOR: Shakespeare", "secretary: Montgomery", "passenger = Featherstone", "tokenizer: sentencepiece"):
+        assert secret_scan.guess_spans(text, text.lower(), costs, secret_scan.MIN_COST) == []
+    for part in ("password", "pass_", "token ", "secret    ", "secret_key\n"):  # would not end if work were not linear
+        text = part * 200_000 + " " * 1_000_000
+        assert secret_scan.guess_spans(text, text.lower(), costs, secret_scan.MIN_COST) == []
+
+
+def test_names_are_redacted(spark):
+    df = spark.createDataFrame([("a\naws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfi\nb",)], "text string")
+    assert secret_scan.redact(df).first()[0] == "a\naws_secret_access_key = [SECRET]\nb"
+
+
 def test_odd_texts(odd):
     assert secret_scan.find_secrets(odd).count() == len(ODD)
     got = {(r["doc_id"], r["text"]): r["r"] for r in quality_rules.clean_lines(odd, into="r").collect()}
