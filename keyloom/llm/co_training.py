@@ -1,8 +1,8 @@
 """Quality by co-training: text content and page metadata teach each other.
 
 One classifier sees figures of the text alone, the other the metadata alone. In
-each round both learn from the labelled rows and from the rows of the unlabelled
-pool of which the other was sure in the round before. Both are then calibrated
+each round both learn from the labelled rows and from all unlabelled rows
+of which the other was sure in the round before. Both are then calibrated
 on labelled rows that they did not learn from, and their log odds are added up.
 """
 
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from keyloom.llm.common import col, cut
 
 SAMPLE = 20_000  # labelled rows that are learnt from or calibrated on, about
-POOL = 20_000  # unlabelled rows that can be pseudo-labelled, about
 ROUNDS = 3
 SURE = 0.95
 SOURCES = 32  # hash buckets of each metadata column
+_TASK_ROWS = 50_000  # feature rows that a task learns from, about
 _LEVELS = 64  # clip of log odds
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 
@@ -97,6 +97,10 @@ def views(df: DataFrame, text: str, metadata: Sequence[str], length: str | None)
         for texts in batches:
             yield pd.Series([text_figures(t or "") for t in texts], dtype=object)
 
+    return _with_meta(df.withColumn("text_view", figures(col(text))), metadata, length)
+
+
+def _with_meta(df: DataFrame, metadata: Sequence[str], length: str | None) -> DataFrame:
     flags = []
     for name in metadata:
         bucket = F.pmod(F.xxhash64(F.coalesce(col(name).cast("string"), F.lit(""))), F.lit(SOURCES))
@@ -104,7 +108,7 @@ def views(df: DataFrame, text: str, metadata: Sequence[str], length: str | None)
     if length:
         size = F.log1p(F.greatest(F.coalesce(col(length).cast("double"), F.lit(0.0)), F.lit(0.0))) / 10
         flags.append(F.array(size, size * size, F.when(col(length).isNull(), 1.0).otherwise(0.0)))
-    return df.withColumns({"text_view": figures(col(text)), "meta_view": F.concat(*flags)})
+    return df.withColumn("meta_view", F.concat(*flags))
 
 
 def _fit(rows: DataFrame, features: str, penalty: float) -> View | None:
@@ -135,11 +139,13 @@ def co_train(
     length: str | None = "n_chars",
     label: str = "quality",
     sample: int = SAMPLE,
-    pool: int = POOL,
     rounds: int = ROUNDS,
     sure: float = SURE,
 ) -> CoTrained | None:
-    """Learns from about ``sample`` labelled and ``pool`` unlabelled rows, drawn by hash of their key.
+    """Learns from about ``sample`` labelled rows, drawn by hash of their key, and from all unlabelled ones.
+
+    Each round scores all unlabelled rows. A labelled row weighs as much more as labelled rows
+    were left out, so the shares of both kinds, and with them the scores, do not follow the size of the table.
 
     Of the labelled rows those with crc32(key) mod 5 = 0 are never used, those with 1 only
     for calibration. Null keys and labels are left out; a key labelled twice counts as 1 if one of
@@ -148,15 +154,17 @@ def co_train(
     known = labels.select(col(key).alias("key"), col(label).cast("int").alias("label")).where("key is not null and label is not null")
     known = cut(known.groupBy("key").agg(F.max("label").alias("label")))
     part = F.crc32(F.col("key").cast("string").cast("binary")) % 5
-    n_docs, n_known = docs.count(), known.count()
+    n_known = known.count()
     used = [text, *metadata, *([length] if length else [])]
     keyed = docs.select(col(key).alias("key"), *map(col, used)).where("key is not null")
+    # Figures first, so that the join moves no texts.
+    figured = views(keyed, text, metadata, length).select("key", "text_view", *map(col, [*metadata, *([length] if length else [])]))
+    free = cut(figured.join(known.select("key"), "key", "left_anti").drop("key"))
+    free = _with_meta(free, metadata, length).select("text_view", "meta_view").coalesce(max(8, free.count() // _TASK_ROWS + 1))
     labelled = F.broadcast(_drawn(known, n_known, sample))  # about `sample` rows
-    share = 1_000_000 if n_docs - n_known <= pool else pool * 1_000_000 // (n_docs - n_known)
-    free = keyed.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share).join(known.select("key"), "key", "left_anti")
-    rows, free = (views(r, text, metadata, length) for r in (keyed.join(labelled, "key"), free))
-    rows = cut(rows.where(part != 0).select("text_view", "meta_view", "label", F.lit(1.0).alias("weight"), (part == 1).alias("calibrates")).coalesce(8))
-    free = cut(free.select("text_view", "meta_view").coalesce(8))
+    stands_for = max(1.0, n_known / sample)
+    rows = views(keyed.join(labelled, "key"), text, metadata, length)
+    rows = cut(rows.where(part != 0).select("text_view", "meta_view", "label", F.lit(stands_for).alias("weight"), (part == 1).alias("calibrates")).coalesce(8))
     learnt, held = rows.where("not calibrates"), rows.where("calibrates")
     text_model, meta_model = _fit(learnt, "text_view", 0.001), _fit(learnt, "meta_view", 0.01)
     if text_model is None or meta_model is None:

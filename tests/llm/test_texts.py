@@ -176,6 +176,23 @@ def test_co_training_on_held_out_labels(spark):
     assert held.where("kept = (quality = 1)").count() > 0.95 * held.count()
 
 
+def test_all_unlabelled_rows_are_learnt_from(spark, monkeypatch):
+    fitted = []
+
+    def fit(rows, features, penalty, real=co_training._fit):
+        fitted.append((rows.count(), features))
+        return real(rows, features, penalty)
+
+    monkeypatch.setattr(co_training, "_fit", fit)
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.expr("if(id % 2 = 0, 'Some good text here.', 'BAD!!! $$$ ||| ***')").alias("text"), F.lit("en").alias("lang"),
+        F.expr("if(id % 2 = 0, 'a', 'b')").alias("source"), F.lit(20).alias("n_chars"))
+    labels = docs.where("doc_id < 1000").selectExpr("doc_id", "cast(doc_id % 2 = 0 as int) as quality")
+    model = co_training.co_train(docs, labels, rounds=1)
+    assert fitted[2] == (fitted[1][0] + 29_000, "meta_view")  # the text view is sure of all
+    assert co_training.score(docs, model).where("(score >= 0.5) != (doc_id % 2 = 0)").count() == 0
+
+
 def test_co_training_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, None, None, None), (None, "", "en", "a", 3), (2, "Some text.", "en", "a", 10)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     labels = spark.createDataFrame([(1, 1), (2, 1), (None, 0)], "doc_id bigint, quality int")
