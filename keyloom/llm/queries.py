@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import co_training, merkle, packing, quality_rules, quotes, secret_scan, simhash_anchors, token_counts, toxicity, tree_bpe, uniform_threshold
+from keyloom.llm import co_training, collocations, merkle, packing, quality_rules, quotes, secret_scan, simhash_anchors, token_counts, toxicity, tree_bpe, uniform_threshold
 from keyloom.llm.common import table
 
 
@@ -90,6 +90,11 @@ def op10_token_counts(spark, sf_dir):
     return counted.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op11_collocations(spark, sf_dir):
+    """The first 2000 phrases of each language in all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     """Leaves, proofs and roots of all documents; every fifth is verified with its text changed."""
     docs = table(spark, sf_dir, "documents")
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_simhash_near_dedup,
         op10_token_counts,
+        op11_collocations,
         op13_merkle_manifest,
     )
 }
