@@ -1,8 +1,8 @@
 """Acyclic automata that carry the counts of word sequences.
 
 A transducer reads a path of symbols, all of its paths being equally long (two at least), and adds up
-the outputs on the way: the sum is the path's count. It is built path by path from
-sorted input. A state is complete once a path leaves it; the least output of its arcs
+the outputs on the way: the sum is the path's count. It is built from sorted paths, a run
+at a time. A state is complete when its run ends; the least output of its arcs
 then moves to the arc that leads to it, and states with equal arcs are one.
 """
 
@@ -74,65 +74,49 @@ class CountTransducer:
         return cls(depth, symbols, start.astype(np.int64), label, output, target)
 
 
-class Builder:
-    """Takes the runs of paths that share all but the last symbol, in ascending order."""
-
-    def __init__(self, depth: int):
-        self.depth = depth
-        self.register: dict[bytes, int] = {}
-        self.start, self.parts = [0], []
-        self.open: list[list[tuple[int, int, int]]] = [[] for _ in range(depth - 1)]  # complete arcs of the states on the last path
-        self.last: tuple[int, ...] | None = None
-        self.pending: tuple[int, int] | None = None  # output and target of the arc to the last run
-
-    def _state(self, label: np.ndarray, output: np.ndarray, target: np.ndarray) -> tuple[int, int]:
-        least = int(output.min()) if len(output) else 0
-        arcs = (label.astype(np.int32), (output - least).astype(np.int64), target.astype(np.int32))
-        number = self.register.setdefault(b"".join(a.tobytes() for a in arcs), len(self.register))
-        if number == len(self.start) - 1:
-            self.parts.append(arcs)
-            self.start.append(self.start[-1] + len(label))
-        return least, number
-
-    def _complete(self, down_to: int) -> None:
-        """Closes the states of the last path that are deeper than ``down_to``."""
-        for i in range(self.depth - 2, down_to - 1, -1):
-            self.open[i].append((self.last[i], *self.pending))
-            if i > down_to:
-                arcs = np.array(self.open[i], dtype=np.int64)
-                self.pending = self._state(arcs[:, 0], arcs[:, 1], arcs[:, 2])
-                self.open[i] = []
-
-    def add(self, prefix: tuple[int, ...], label: np.ndarray, output: np.ndarray) -> None:
-        if self.last is not None:
-            shared = next((i for i, (a, b) in enumerate(zip(prefix, self.last, strict=True)) if a != b))
-            self._complete(shared)
-        self.last = prefix
-        self.pending = self._state(label, output, np.zeros(len(label), dtype=np.int32))
-
-    def finish(self, symbols: list[bytes]) -> CountTransducer:
-        if self.last is not None:
-            self._complete(0)
-        arcs = np.array(self.open[0], dtype=np.int64).reshape(-1, 3)
-        # The first state keeps the least output: no arc leads to it.
-        self.parts.append((arcs[:, 0].astype(np.int32), arcs[:, 1], arcs[:, 2].astype(np.int32)))
-        self.start.append(self.start[-1] + len(arcs))
-        label, output, target = (np.concatenate(p) for p in zip(*self.parts, strict=True))
-        return CountTransducer(self.depth, symbols, np.array(self.start, dtype=np.int64), label, output, target)
-
-
 def build(paths: np.ndarray, counts: np.ndarray, symbols: Sequence[bytes]) -> CountTransducer:
-    """The transducer of different ``paths``, which ascend, over ascending ``symbols``. It holds the used symbols only."""
-    used, flat = np.unique(paths, return_inverse=True)
-    paths = flat.reshape(paths.shape)
-    depth = paths.shape[1]
-    builder = Builder(depth)
-    prefixes = paths[:, :-1]
-    starts = np.flatnonzero(np.r_[True, (prefixes[1:] != prefixes[:-1]).any(axis=1)]) if len(paths) else np.zeros(0, dtype=int)
-    ends = np.r_[starts[1:], len(paths)]
-    for prefix, s, e in zip(map(tuple, prefixes[starts].tolist()), starts.tolist(), ends.tolist(), strict=True):
-        builder.add(prefix, paths[s:e, -1], counts[s:e])
-    return builder.finish([symbols[i] for i in used.tolist()])
+    """The transducer of different ``paths``, which ascend, over ascending ``symbols``. It holds the used symbols only.
+
+    Paths that share all but the last symbol are consecutive, and make one state: each such run is looked up
+    among the states that the runs before it have made. The runs' common parts, ascending as well, are the paths of the level above.
+    """
+    seen = np.zeros(len(symbols), dtype=bool)
+    seen[paths] = True
+    used = np.flatnonzero(seen)
+    paths = (np.cumsum(seen) - 1)[paths].astype(np.int32)
+    output, target = counts.astype(np.int64), np.zeros(len(paths), dtype=np.int32)
+    sizes, labels, outputs, targets, n_states = [], [], [], [], 0
+    for level in range(paths.shape[1] - 1, 0, -1):
+        prefix, label = paths[:, :level], paths[:, level]
+        starts = _starts(prefix)
+        length = np.diff(np.r_[starts, len(paths)])
+        least = np.minimum.reduceat(output, starts) if len(starts) else output
+        output = output - np.repeat(least, length)
+        arcs = np.column_stack([label, target, output.astype(np.int32) if not len(output) or output.max() < 1 << 31 else output.view(np.int32).reshape(-1, 2)])
+        told, wide = arcs.tobytes(), arcs.strides[0]
+        register: dict[bytes, int] = {}
+        ends = ((starts + length) * wide).tolist()
+        number = np.array([register.setdefault(told[s:e], len(register)) for s, e in zip((starts * wide).tolist(), ends, strict=True)], dtype=np.int32)
+        new = np.zeros(len(starts), dtype=bool)
+        new[np.unique(number, return_index=True)[1]] = True
+        arc = np.repeat(new, length)
+        sizes.append(length[new])
+        labels.append(label[arc])
+        outputs.append(output[arc])
+        targets.append(target[arc])
+        paths, output, target = prefix[starts], least, number + np.int32(n_states)
+        n_states += len(register)
+    # The first state keeps the least output: no arc leads to it.
+    label, output, target = np.concatenate([*labels, paths[:, 0]]), np.concatenate([*outputs, output]), np.concatenate([*targets, target])
+    start = np.concatenate([[0], np.cumsum(np.concatenate([*sizes, [len(paths)]]))])
+    return CountTransducer(len(sizes) + 1, [symbols[i] for i in used.tolist()], start.astype(np.int64), label, output, target)
+
+
+def _starts(paths: np.ndarray) -> np.ndarray:
+    """Where another path begins."""
+    if not len(paths):
+        return np.zeros(0, dtype=np.int64)
+    return np.flatnonzero(np.r_[True, (paths[1:] != paths[:-1]).any(axis=1)])
 
 
 def union(parts: Sequence[CountTransducer]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -144,7 +128,7 @@ def union(parts: Sequence[CountTransducer]) -> tuple[np.ndarray, np.ndarray, lis
     counts = np.concatenate([c for _, c in read])
     order = np.lexsort(paths.T[::-1])
     paths, counts = paths[order], counts[order]
-    starts = np.flatnonzero(np.r_[True, (paths[1:] != paths[:-1]).any(axis=1)]) if len(paths) else np.zeros(0, dtype=int)
+    starts = _starts(paths)
     return paths[starts], np.add.reduceat(counts, starts) if len(starts) else counts, symbols
 
 
