@@ -117,13 +117,21 @@ class Shard:
                 part = [hashed[np.maximum(p, 0)] for p in parts[shift : shift + n - 1]]
                 good &= _is_set(self.bitmap, _bits([np.full(size, hashed[lang]), *part]))
         parts = [p[good] for p in parts]
+        if n == 1:
+            counts = np.bincount(parts[0], minlength=width)
+            found = np.flatnonzero(counts)
+            return found[:, None], counts[found]
+        if width**n >= 1 << 62:  # too wide for one integer
+            return np.unique(np.column_stack(parts), axis=0, return_counts=True)
         key = parts[0]
-        for i, p in enumerate(parts[1:], 2):
-            if width**i >= 1 << 62:
-                key = np.unique(key, return_inverse=True)[1]
+        for p in parts[1:]:
             key = key * width + p
-        _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        return np.column_stack([p[first] for p in parts]), counts.astype(np.int64)
+        key, counts = np.unique(key, return_counts=True)
+        columns = []
+        for _ in parts:
+            key, last = np.divmod(key, width)
+            columns.insert(0, last)
+        return np.column_stack(columns), counts
 
     def automata(self, bounds: list[tuple[bytes, ...]]) -> Iterator[tuple[int, bytes]]:
         """The range and the transducer of each range that the shard has n-grams of."""
