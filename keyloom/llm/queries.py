@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import co_training, collocations, merkle, packing, quality_rules, quotes, secret_scan, simhash_anchors, token_counts, toxicity, tree_bpe, uniform_threshold
+from keyloom.llm import co_training, collocations, gru_scoring, merkle, packing, quality_rules, quotes, secret_scan, simhash_anchors, token_counts, toxicity, tree_bpe, uniform_threshold
 from keyloom.llm.common import table
 
 
@@ -95,6 +95,11 @@ def op11_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_gru_scoring(spark, sf_dir):
+    """Log-probabilities of all documents, learnt from those that are not held out."""
+    return gru_scoring.log_probabilities(_documents(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     """Leaves, proofs and roots of all documents; every fifth is verified with its text changed."""
     docs = table(spark, sf_dir, "documents")
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash_near_dedup,
         op10_token_counts,
         op11_collocations,
+        op12_gru_scoring,
         op13_merkle_manifest,
     )
 }
