@@ -7,16 +7,18 @@ one softmax over the classes and, for words with a number, one over the words of
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 
 HIDDEN = 12
-CLASS_SIZE = 64  # words of a class
-LANES = 256  # documents that are read side by side
-STEPS = 16  # tokens of a window; gradients stop at its start, the state does not
+CLASS_SIZE = 32  # words of a class
+# Documents that are read side by side, and tokens of a window; gradients stop at its start, the state does not.
+LANES, STEPS = 256, 16
+SCORED_LANES, SCORED_STEPS = 128, 32
+_FILLED = 8  # windows that lanes are filled for at a time
+SEGMENT = 4096  # training reads a longer document as several, so that lanes end about together
 _LN10 = np.float32(np.log(10))
 
 
@@ -110,7 +112,8 @@ class Gru:
         if slopes is not None:
             logits /= total[:, None]
             logits[rows, cls] -= 1
-            logits *= weight[:, None]
+            if weight is not None:
+                logits *= weight[:, None]
             slopes["wc"], slopes["bc"] = states.T @ logits, logits.sum(axis=0)
             slopes["states"] = logits @ p["wc"].T
             slopes["wo"], slopes["bo"] = np.zeros_like(p["wo"]), np.zeros_like(p["bo"])
@@ -136,7 +139,8 @@ class Gru:
                 if slopes is not None:
                     logits /= total[:, None]
                     logits[rows, mine] -= 1
-                    logits *= weight[at][:, None]
+                    if weight is not None:
+                        logits *= weight[at][:, None]
                     slopes["wo"][block], slopes["bo"][block] = logits.T @ h, logits.sum(axis=0)
                     slopes["states"][at] += logits @ p["wo"][block]
                 start = end
@@ -148,7 +152,7 @@ class Gru:
         steps, lanes = given.shape
         states, kept = self.read(given, reset, h)
         out: dict[str, np.ndarray] = {}
-        weight = live.ravel().astype(np.float32)
+        weight = None if live.all() else live.ravel().astype(np.float32)
         found = self.log_probability(states.reshape(-1, k), wanted.ravel(), out, weight)
         from_out = out.pop("states").reshape(steps, lanes, k)
         d_g = np.empty((steps, lanes, 3 * k), dtype=np.float32)
@@ -178,7 +182,7 @@ class Gru:
         at = at[order]
         starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         out["x"] = (at[starts], np.add.reduceat(flat[order], starts, axis=0))
-        return out, states[-1], float((found * weight).sum())
+        return out, states[-1], float((found if weight is None else found * weight).sum())
 
 
 class Adagrad:
@@ -204,38 +208,23 @@ def windows(documents: Iterator[np.ndarray], start: int, lanes: int = LANES, ste
     """Documents read side by side: ``given, wanted, reset, live, number, kept`` per window (steps x lanes).
 
     A lane goes on with the next document in the step after its last one ended. ``number`` counts the
-    documents as they came; ``kept`` are the lanes of the last window that go on, once none are left to begin.
+    documents as they came; ``kept`` picks the lanes of the last window that go on, once none are left to begin.
+    Lanes are filled for several windows at a time.
     """
-    held: list[list | None] = [None] * lanes
-    ahead: deque = deque()
-    number, more = 0, True
-
-    def next_one():
-        nonlocal number, more
-        if more:
-            for ids in documents:
-                number += 1
-                return [ids, 0, number - 1]
-            more = False
-        return None
-
-    while True:
-        for j, lane in enumerate(held):
-            if lane is None:
-                held[j] = next_one()
-        kept = [j for j, lane in enumerate(held) if lane is not None]
-        if not kept:
-            return
-        held = [held[j] for j in kept]
+    coming = enumerate(documents)
+    held = [[doc, ids, 0] for _, (doc, ids) in zip(range(lanes), coming)]
+    wide = steps * _FILLED
+    kept: list[int] | slice = list(range(len(held)))
+    while held:
         n = len(held)
-        given, wanted = np.full((n, steps), start, dtype=np.int32), np.full((n, steps), start, dtype=np.int32)
-        reset, live = np.zeros((n, steps), dtype=bool), np.zeros((n, steps), dtype=bool)
-        owner = np.zeros((n, steps), dtype=np.int64)
-        for j in range(n):
-            t, lane = 0, held[j]
-            while t < steps and lane is not None:
-                ids, at, doc = lane
-                size = min(steps - t, len(ids) - at)
+        given, wanted = np.full((n, wide), start, dtype=np.int32), np.full((n, wide), start, dtype=np.int32)
+        reset, live = np.zeros((n, wide), dtype=bool), np.zeros((n, wide), dtype=bool)
+        owner = np.zeros((n, wide), dtype=np.int64)
+        for j, lane in enumerate(held):
+            t = 0
+            while t < wide and lane is not None:
+                doc, ids, at = lane
+                size = min(wide - t, len(ids) - at)
                 wanted[j, t : t + size] = ids[at : at + size]
                 if at:
                     given[j, t : t + size] = ids[at - 1 : at + size - 1]
@@ -245,19 +234,27 @@ def windows(documents: Iterator[np.ndarray], start: int, lanes: int = LANES, ste
                 live[j, t : t + size] = True
                 owner[j, t : t + size] = doc
                 t += size
-                lane[1] = at + size
-                if lane[1] == len(ids):
-                    lane = next_one()
+                lane[2] = at + size
+                if lane[2] == len(ids):
+                    doc, ids = next(coming, (0, None))
+                    lane = None if ids is None else [doc, ids, 0]
             held[j] = lane
-        yield given.T, wanted.T, reset.T, live.T, owner.T, kept
+        for t in range(0, wide, steps):
+            part = slice(t, t + steps)
+            if live[:, t].any():
+                yield given[:, part].T, wanted[:, part].T, reset[:, part].T, live[:, part].T, owner[:, part].T, kept
+                kept = slice(None)
+        kept = [j for j, lane in enumerate(held) if lane is not None]
+        held = [held[j] for j in kept]
 
 
 def train(model: Gru, documents: Iterator[np.ndarray], start: int, rate: float) -> tuple[int, float]:
     """One pass over ``documents``, changing ``model``; tokens read and the sum of their logarithms."""
     optimizer = Adagrad(model, rate)
-    h = np.zeros((LANES, model.p["u"].shape[0]), dtype=np.float32)
+    h = np.zeros((LANES, model.p["u"].shape[0]), dtype=np.float32)  # as many as begin
     tokens, total = 0, 0.0
-    for given, wanted, reset, live, _, kept in windows(documents, start):
+    segments = (ids[at : at + SEGMENT] for ids in documents for at in range(0, len(ids), SEGMENT))
+    for given, wanted, reset, live, _, kept in windows(segments, start):
         slopes, h, found = model.slopes(given, wanted, reset, live, h[kept])
         scale = np.float32(1 / LANES)  # the same for the last windows, in which few lanes are left
         optimizer.step({k: (g[0], g[1] * scale) if isinstance(g, tuple) else g * scale for k, g in slopes.items()})
@@ -267,20 +264,17 @@ def train(model: Gru, documents: Iterator[np.ndarray], start: int, rate: float)
 
 
 def score(model: Gru, documents: Iterator[np.ndarray], start: int) -> Iterator[tuple[int, float]]:
-    """Number and log10 probability of each document, as they end. The state runs through whole documents."""
-    h = np.zeros((LANES, model.p["u"].shape[0]), dtype=np.float32)
+    """Number and log10 probability of each document, as they end, which is with ``start``. The state runs through whole documents."""
+    h = np.zeros((SCORED_LANES, model.p["u"].shape[0]), dtype=np.float32)
     sums: dict[int, float] = {}
-    for given, wanted, reset, live, owner, kept in windows(documents, start):
+    for given, wanted, reset, live, owner, kept in windows(documents, start, SCORED_LANES, SCORED_STEPS):
         states, _ = model.read(given, reset, h[kept])
         h = states[-1]
         found = model.log_probability(states.reshape(-1, h.shape[1]), wanted.ravel()).astype(np.float64)
         at = live.ravel()
         docs, place = np.unique(owner.ravel()[at], return_inverse=True)
         added = np.bincount(place, weights=found[at])
-        going = set(owner[-1][live[-1]].tolist())
         for doc, value in zip(docs.tolist(), added.tolist(), strict=True):
             sums[doc] = sums.get(doc, 0.0) + value
-            if doc not in going:
-                yield doc, sums.pop(doc) / float(_LN10)
-    for doc in sorted(sums):
-        yield doc, sums[doc] / float(_LN10)
+        for doc in owner[live & (wanted == start)].tolist():  # the end of a document
+            yield doc, sums.pop(doc) / float(_LN10)

@@ -25,7 +25,7 @@ from keyloom.llm.gru_model import Gru
 from keyloom.llm.gru_model import score as score_documents
 from keyloom.llm.gru_model import train as train_pass
 
-HEAD = 2048  # words with a number in the model, the end of a document among them
+HEAD = 1024  # words with a number in the model, the end of a document among them
 TAILS = 32  # classes of all other words
 NEAR = 200_000  # most frequent words whose counts are sent to every task: about 3 MB
 ROUNDS = 4
@@ -134,12 +134,12 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 if len(near) < len(words):
                     places = np.flatnonzero(at < 0).tolist()
                     unknown = [words[i] for i in places]
-                    classes = list(map(tail_of, unknown))
-                    out[places] = np.array(classes) + v.head
                     found = Counter(unknown)
+                    classes = {w: tail_of(w) for w in found}
+                    out[places] = np.fromiter(map(classes.__getitem__, unknown), np.int16, len(unknown)) + np.int16(v.head)
                     far.extend(found)
                     tfs.extend(found.values())
-                    far_tails.extend(map(tail_of, found))
+                    far_tails.extend(classes.values())
                 ends.append(len(far))
                 ids.append(out)
                 rows.append((len(words), int((v.counts[near] > 0).sum()), float(base[near].sum()), float(tail[near].sum())))
@@ -228,33 +228,25 @@ def _score(encoded: DataFrame, model: Gru) -> DataFrame:
     kept = ["row", "key", "held_out", "n_tokens", "known", "base", "tail"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[int, pa.RecordBatch] = {}
-        n = 0
+        open_batches: dict[int, list] = {}  # by number: the batch, its scores, and how many are missing
+        at: list[tuple[int, int]] = []  # batch and row of each document that was begun
 
         def documents():
-            nonlocal n
-            for batch in batches:
+            for number, batch in enumerate(batches):
                 ids = batch.column(len(kept))
+                open_batches[number] = [batch, np.zeros(len(ids)), len(ids)]
                 for i in np.argsort(-np.asarray(batch.column(3)), kind="stable").tolist():  # long documents first
-                    waiting[n] = batch.slice(i, 1).select(kept)
-                    n += 1
+                    at.append((number, i))
                     yield ids[i].values.to_numpy()
 
-        out, found = [], []
-
-        def batch():
-            rows = pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-            return pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.float64())], [*kept, "head"])
-
         for doc, value in score_documents(sent.value, documents(), 0):
-            out.append(waiting.pop(doc))
-            found.append(value)
-            if len(out) == 4096:
-                yield batch()
-                out.clear()
-                found.clear()
-        if out:
-            yield batch()
+            number, i = at[doc]
+            held = open_batches[number]
+            held[1][i] = value
+            held[2] -= 1
+            if not held[2]:
+                del open_batches[number]
+                yield pa.RecordBatch.from_arrays([*held[0].columns[:-1], pa.array(held[1])], [*kept, "head"])
 
     schema = ", ".join([*(f"{c} {encoded.schema[c].dataType.simpleString()}" for c in kept), "head double"])
     return encoded.select(*kept, "ids").mapInArrow(scored, schema)
@@ -293,7 +285,7 @@ def log_probabilities(df: DataFrame, key: str = "doc_id", text: str = "text", he
     share = F.when(c > 0, c.cast("double")).otherwise(F.element_at(unknown, at)) / F.element_at(mass, at)
     known = counts.select("word", F.col("n").alias("c"))
     sums = (
-        far.join(known, "word", "left")
+        far.join(known.hint("shuffle_hash"), "word", "left")  # different words only, and few to a partition
         .groupBy("row")
         .agg(
             F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("far_known"),

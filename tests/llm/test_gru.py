@@ -79,7 +79,7 @@ def test_gradients_against_differences():
 def test_state_is_carried_through_a_document_and_not_into_the_next():
     model = small_model()
     rng = np.random.default_rng(2)
-    docs = [rng.integers(0, 133, n).astype(np.int16) for n in (1, 3, 700, 16, 17, 2, 40, *[5] * 300)]
+    docs = [np.r_[rng.integers(1, 133, n - 1), 0].astype(np.int16) for n in (1, 3, 700, 16, 17, 2, 40, *[5] * 300)]
     got = dict(gru_model.score(model, iter(docs), 0))
     for i, ids in enumerate(docs):
         states, _ = model.read(np.r_[0, ids[:-1]][:, None], np.zeros((len(ids), 1), bool), np.zeros((1, gru_model.HIDDEN), np.float32))
