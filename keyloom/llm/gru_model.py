@@ -65,14 +65,14 @@ class Gru:
             at += found[k].nbytes
         return Gru(self.words, self.tails, found)
 
-    def read(self, given: np.ndarray, reset: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict]:
-        """States after each token of ``given`` (steps x lanes), and what the way back needs."""
+    def read(self, given: np.ndarray, reset: np.ndarray, h: np.ndarray, back: bool = False) -> tuple[np.ndarray, dict]:
+        """States after each token of ``given`` (steps x lanes), and what the way back needs if ``back``."""
         p, k = self.p, h.shape[1]
         steps, lanes = given.shape
         xs = p["x"][given] + p["b"]
         xs[:, :, 2 * k :] -= p["b"][2 * k :]
         states = np.empty((steps, lanes, k), dtype=np.float32)
-        kept = {name: np.empty((steps, lanes, k), dtype=np.float32) for name in ("before", "z", "r", "n", "a")}
+        kept = {name: np.empty((steps, lanes, k), dtype=np.float32) for name in ("before", "z", "r", "n", "a") if back}
         fresh = reset.any(axis=1)
         for t in range(steps):
             if fresh[t]:
@@ -86,7 +86,8 @@ class Gru:
             a = g[:, 2 * k :] + p["b"][2 * k :]
             z, r = zr[:, :k], zr[:, k:]
             n = np.tanh(xs[t, :, 2 * k :] + r * a)
-            kept["before"][t], kept["z"][t], kept["r"][t], kept["n"][t], kept["a"][t] = h, z, r, n, a
+            if back:
+                kept["before"][t], kept["z"][t], kept["r"][t], kept["n"][t], kept["a"][t] = h, z, r, n, a
             h = n + z * (h - n)
             states[t] = h
         return states, kept
@@ -117,7 +118,7 @@ class Gru:
             slopes["wc"], slopes["bc"] = states.T @ logits, logits.sum(axis=0)
             slopes["states"] = logits @ p["wc"].T
             slopes["wo"], slopes["bo"] = np.zeros_like(p["wo"]), np.zeros_like(p["bo"])
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(cls.astype(np.int16), kind="stable")  # by radix
         ends = np.cumsum(np.bincount(cls, minlength=self.classes)[: self.classes]).tolist()
         start = 0
         for c, end in enumerate(ends):
@@ -150,7 +151,7 @@ class Gru:
         """Gradients over one window, truncated at its start; the state after it; the sum of logarithms."""
         p, k = self.p, h.shape[1]
         steps, lanes = given.shape
-        states, kept = self.read(given, reset, h)
+        states, kept = self.read(given, reset, h, back=True)
         out: dict[str, np.ndarray] = {}
         weight = None if live.all() else live.ravel().astype(np.float32)
         found = self.log_probability(states.reshape(-1, k), wanted.ravel(), out, weight)
