@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import col, cut
+from keyloom.llm.common import col, cut, sampled
 
 SAMPLE = 20_000  # labelled rows that are learnt from or calibrated on, about
 ROUNDS = 3
@@ -125,11 +125,6 @@ def _calibrated(view: View, rows: DataFrame, features: str) -> View:
     return view if scaled is None else View(view.weights, view.bias, scaled.weights[0], scaled.bias)
 
 
-def _drawn(rows: DataFrame, total: int, most: int) -> DataFrame:
-    part = 1_000_000 if total <= most else most * 1_000_000 // total
-    return rows.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < part)
-
-
 def co_train(
     docs: DataFrame,
     labels: DataFrame,
@@ -161,7 +156,7 @@ def co_train(
     figured = views(keyed, text, metadata, length).select("key", "text_view", *map(col, [*metadata, *([length] if length else [])]))
     free = cut(figured.join(known.select("key"), "key", "left_anti").drop("key"))
     free = _with_meta(free, metadata, length).select("text_view", "meta_view").coalesce(max(8, free.count() // _TASK_ROWS + 1))
-    labelled = F.broadcast(_drawn(known, n_known, sample))  # about `sample` rows
+    labelled = F.broadcast(sampled(known, n_known, sample))  # about `sample` rows
     stands_for = max(1.0, n_known / sample)
     rows = views(keyed.join(labelled, "key"), text, metadata, length)
     rows = cut(rows.where(part != 0).select("text_view", "meta_view", "label", F.lit(stands_for).alias("weight"), (part == 1).alias("calibrates")).coalesce(8))

@@ -57,3 +57,10 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def sampled(rows: DataFrame, total: int, most: int, key: str = "key") -> DataFrame:
+    """All ``total`` rows, or about ``most`` of them, by the hash of ``key``."""
+    if total <= most:
+        return rows
+    return rows.where(F.xxhash64(key) < F.lit(int(most / total * 2**64) - 2**63))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import col, cut
+from keyloom.llm.common import col, cut, sampled
 from keyloom.llm.pretokens import Memo
 
 BITS = 18  # hash buckets: 2**18, 2 MB of weights
@@ -109,17 +109,16 @@ def is_held_out(key):
 
 
 def _one_pass(ftrl: Ftrl, state, turn: int):
-    """A shard's pass over its documents, from the state of the last round: new state of the coordinates met."""
-
-    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [r for frame in frames for r in zip(frame["features"], frame["label"], strict=True)]
-        if rows:
-            rows.sort(key=lambda r: (len(r[0]), int(r[0].sum()), r[1]))
-            order = np.random.default_rng(turn).permutation(len(rows))  # the same however the rows arrived
-            z, n = state.value[0].copy(), state.value[1].copy()
-            met = ftrl.learn(z, n, [rows[i][0] for i in order], [int(rows[i][1]) for i in order])
-            at = np.flatnonzero(met)
-            yield pd.DataFrame({"at": at, "z": z[at], "n": n[at]})
+    """A shard's pass over its documents, from the state of the last round: its new state, and the coordinates met."""
+
+    def learn(group: pa.Table) -> pa.Table:
+        features = [f.values.to_numpy() for f in group.column("features").combine_chunks()]
+        labels = group.column("label").to_pylist()
+        rows = sorted(zip(features, labels, strict=True), key=lambda r: (r[0].tobytes(), r[1]))
+        order = np.random.default_rng(turn).permutation(len(rows))  # the same however the rows arrived
+        z, n = state.value[0].copy(), state.value[1].copy()
+        met = ftrl.learn(z, n, [rows[i][0] for i in order], [rows[i][1] for i in order])
+        return pa.table({"z": [z.tobytes()], "n": [n.tobytes()], "met": [np.packbits(met).tobytes()]})
 
     return learn
 
@@ -130,8 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     Null ids, null labels and texts without words are left out; an id labelled
     twice counts as labelled 1 if one of the labels is. Without any labelled row
     the model is empty and scores 0.5. Features are written to the shared folder
-    once; each round runs ``shards`` tasks and brings at most 2**``bits`` numbers to
-    the driver.
+    once. Documents are grouped by shard, by the hash of their id, so the model does not depend on
+    partitions. Each round brings one row per shard to the driver, of 16 bytes per bucket: 16 MB.
     """
     known = (
         labels.select(col(key).alias("key"), col(label).cast("int").alias("label"))
@@ -140,8 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         .agg(F.max("label").alias("label"))
     )
     total = known.count()
-    part = 1_000_000 if total <= sample else sample * 1_000_000 // total
-    drawn = known.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < part)  # about `sample` rows: small enough to broadcast
+    drawn = sampled(known, total, sample)  # about `sample` rows: small enough to broadcast
     rows = docs.select(col(key).alias("key"), col(text).alias("text")).join(F.broadcast(drawn), "key").select("key", "label", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,20 +149,21 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             shard = [xxhash.xxh32_intdigest(str(k)) % shards for k in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), batch.column(1).cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["shard", "label", "features"])
 
-    learnt = cut(rows.mapInArrow(features, "shard int, label int, features array<int>").where(F.size("features") > 0).repartition(shards, "shard").select("label", "features"))
+    learnt = cut(rows.mapInArrow(features, "shard int, label int, features array<int>").where(F.size("features") > 0))
     context, size = docs.sparkSession.sparkContext, (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
     for turn in range(rounds):
         state = context.broadcast((z, n))
 
-        mean = (
-            learnt.mapInPandas(_one_pass(ftrl, state, turn), "at bigint, z double, n double")  # a partition is a shard
-            .groupBy("at")
-            .agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
-            .toPandas()  # at most one row per bucket
-        )
-        at = mean["at"].to_numpy(np.int64)
-        z[at], n[at] = mean["z"].to_numpy(), mean["n"].to_numpy()
+        states = learnt.groupBy("shard").applyInArrow(_one_pass(ftrl, state, turn), "z binary, n binary, met binary").toArrow()
+        sums, times = np.zeros((2, size)), np.zeros(size)
+        for own_z, own_n, met in zip(*(c.to_pylist() for c in states.columns), strict=True):
+            at = np.unpackbits(np.frombuffer(met, np.uint8), count=size).astype(bool)
+            sums[0, at] += np.frombuffer(own_z)[at]
+            sums[1, at] += np.frombuffer(own_n)[at]
+            times += at
+        at = times > 0
+        z[at], n[at] = sums[:, at] / times[at]
         state.destroy()
     w = ftrl.weights(z[:-1], n[:-1])
     at = np.flatnonzero(w)

@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from keyloom.llm import co_training, quality_rules, queries, secret_scan, toxicity
+from keyloom.llm import co_training, common, quality_rules, queries, secret_scan, toxicity
 
 DATA = "/root/testdata/sf0.01"
 ODD = [(1, None), (2, ""), (3, " \n\t "), (None, "x"), (5, "word " * 30_000), (5, "word " * 30_000), (7, "a\x0bb\x0cc\x1cd e")]
@@ -59,7 +59,7 @@ def test_guessed_values_and_redaction(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     kinds = {r["doc_id"]: [(s.kind, s.start, s.end) for s in r["secrets"]] for r in secret_scan.find_secrets(df).collect()}
     assert kinds[1] == [("guess", 5, 16)] and kinds[2] == [] and kinds[4] == []
-    assert kinds[3] == [("assign", 0, 33), ("guess", 9, 33), ("hex", 9, 33)] or [k for k, *_ in kinds[3]] == ["assign", "hex", "guess"]
+    assert [k for k, *_ in kinds[3]] == ["assign", "hex", "guess"]
     clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(df).collect()}
     assert clean[1] == "pwd: [SECRET] end" and clean[3] == '[SECRET]" x' and clean[4] is None and clean[5] == "no secrets"
 
@@ -158,6 +158,27 @@ def test_toxicity_on_held_out_labels(spark):
     assert r["tp"] / r["p"] > 0.9 and r["tp"] / r["t"] > 0.75
 
 
+def test_toxicity_model_does_not_depend_on_partitions(spark):
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    made = []
+    for n in (4, 211):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            made.append(toxicity.train(docs.repartition(n), labels, sample=300, shards=3, rounds=2))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert made[0].at.tolist() == made[1].at.tolist() and made[0].weight.tolist() == made[1].weight.tolist() and made[0].bias == made[1].bias
+    assert len(made[0].at) > 10
+
+
+def test_samples_of_very_many_rows(spark):
+    """The share of a sample is never rounded down to nothing."""
+    rows = spark.range(100_000).withColumnRenamed("id", "key")
+    assert common.sampled(rows, 100_000, 100_000).count() == 100_000
+    assert 800 < common.sampled(rows, 10**11, 10**9).count() < 1200  # one in a hundred
+    assert common.sampled(rows, 10**17, 12_000)._jdf is not None and int(12_000 / 10**17 * 2**64) > 2_000_000
+
+
 def test_toxicity_edge_cases(spark, odd):
     labels = spark.createDataFrame([(2, 1), (5, 0), (None, 1), (7, None)], "doc_id bigint, toxic int")
     model = toxicity.train(odd, labels)
