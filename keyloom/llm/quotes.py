@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from keyloom.llm.common import col, cut
 
 _QUOTE = re.compile(r"(?:[ \t]*[>|»])+[ \t]?")
-_INTRO = re.compile(r"(?i)^.{0,200}\b(?:wrote|writes|said|a écrit|schrieb|escribió)\s*:\s*$")
+_INTRO = re.compile(r"(?i)\b(?:wrote|writes|said|a écrit|schrieb|escribió)\s*:\s*$")
 _NOT_WORD = re.compile(r"[\W_]+")
 
 
@@ -29,6 +29,12 @@ def normalised(text: str) -> str:
     return _NOT_WORD.sub(" ", text.casefold()).strip()
 
 
+def _without_intro(lines: list[str]) -> list[str]:
+    """Own lines in front of a quote, less the last that is not blank if it says whose words follow."""
+    at = max((i for i, line in enumerate(lines) if line.strip()), default=None)
+    return lines if at is None or not _INTRO.search(lines[at]) else lines[:at] + lines[at + 1 :]
+
+
 def parse_quotes(text: str) -> tuple[str, list[list[str]], list[tuple[int, list[str]]]]:
     """The own text of a message, the runs of its own lines, and its quoted passages with their levels."""
     runs, level = [], None
@@ -42,7 +48,7 @@ def parse_quotes(text: str) -> tuple[str, list[list[str]], list[tuple[int, list[
     passages = [r for r in runs if r[0]]
     if not passages:
         return text, [text.split("\n")], []
-    own = [[line for line in lines if not _INTRO.match(line)] for depth, lines in runs if not depth]
+    own = [_without_intro(lines) if nth + 1 < len(runs) else lines for nth, (depth, lines) in enumerate(runs) if not depth]
     return "\n".join(line for lines in own for line in lines).strip(), own, passages
 
 
@@ -137,7 +143,9 @@ def _links(messages: DataFrame) -> DataFrame:
 
 
 def _earlier(a: str, b: str):
-    return F.struct(f"{a}.conv", f"{a}.turn") < F.struct(f"{b}.conv", f"{b}.turn")
+    """Nulls come last here: what is quoted has no null, and one that quotes may reply all the same."""
+    order = [F.struct(*(x for part in ("conv", "turn") for x in (F.col(f"{m}.{part}").isNull(), F.col(f"{m}.{part}")))) for m in (a, b)]
+    return order[0] < order[1]
 
 
 def conversations(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -152,7 +160,7 @@ def conversations(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
     turn of that message, then the number of replies between, then conversation and turn.
 
     A message without linked quotes stays where it was, also if another one has its conversation and turn. Null texts quote and say nothing, null
-    conversations or turns are no originals. Repeated rows all stay. Extra columns play no part.
+    conversations or turns are no originals; a message with one may quote any, as one that comes later. An empty table gives no rows, a text of any length is parsed whole. Repeated rows all stay. Extra columns play no part.
     Passages are joined by hash to one message each, so copies cost no pairs, and
     positions come from a range sort, so a conversation of any length is dealt over many tasks.
     """

@@ -187,7 +187,17 @@ def test_only_the_message_that_quotes_moves(spark):
     assert got["Quotes nothing."] == got["Quotes nothing either."] == (None, 0)
     assert got["Moves."] == got["Moves too."] == (1, 1) and got["Two up."] == (1, 2)
     assert got["Stays without a turn."] == (7, 0) and got["Stays with a turn."] == (8, 0) and got["One up."] == (8, 1)
-    print(got["Quotes it."])
+    assert got["Quotes it."] == (1, 1)
+
+
+def test_own_lines_are_kept():
+    text = "As I said:\nthe plan holds.\nShe writes:\n\n> old text\nmy answer\nHe said:"
+    own, runs, passages = quotes.parse_quotes(text)
+    assert own == "As I said:\nthe plan holds.\n\nmy answer\nHe said:"
+    assert [lines for _, lines in passages] == [["old text"]]
+    long = "On a day " + "and a night " * 100 + "Ann wrote:\n> old text"
+    assert quotes.parse_quotes(long)[0] == ""
+    assert quotes.parse_quotes("Ann wrote: yes\n> old text")[0] == "Ann wrote: yes"
 
 
 def test_conversations_without_quotes_keep_their_order(spark):
