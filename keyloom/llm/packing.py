@@ -22,7 +22,7 @@ from keyloom.llm.common import col
 
 WINDOW = 2048
 END_ID = 1
-_OPEN_LIMIT = 4096  # open windows a task holds before it closes them by cutting: 32 MB of ids
+OPEN_LIMIT = 8192  # open windows that a task holds, 64 MB of ids at most; each beyond makes it fill one by cutting
 _ROWS = 4096  # pieces in a batch
 
 PIECES = T.StructType(
@@ -55,7 +55,7 @@ class Encoder:
 class SumOfSquaresPacker:
     """Packs pieces ``(document, start, ids)``; closed windows are lists of such pieces."""
 
-    def __init__(self, window: int = WINDOW, open_limit: int = _OPEN_LIMIT):
+    def __init__(self, window: int = WINDOW, open_limit: int = OPEN_LIMIT):
         self.window, self.open_limit = window, open_limit
         self.level = np.zeros(window + 1, dtype=np.int64)  # open windows by fill; 0 and `window` stay 0
         self.open: list[list[list]] = [[] for _ in range(window)]
@@ -85,10 +85,31 @@ class SumOfSquaresPacker:
             else:
                 self.open[at + size].append(held)
                 self.level[at + size] += 1
-        if self.n_open > self.open_limit:
-            closed += self.close()
+        while self.n_open > self.open_limit:
+            closed.append(self._fill_one())
         return closed
 
+    def _fill_one(self) -> list[tuple]:
+        """The fullest open window, filled with tokens of the emptiest ones."""
+        fill = int(np.flatnonzero(self.level)[-1])
+        held = self._drop(fill)
+        while fill < self.window and self.n_open:
+            left = int(np.flatnonzero(self.level)[0])
+            taken, rest = self._take(self._drop(left), self.window - fill)
+            held.extend(taken)
+            got = sum(len(p[2]) for p in taken)
+            fill += got
+            if rest:
+                self.open[left - got].append(rest)
+                self.level[left - got] += 1
+                self.n_open += 1
+        return held
+
+    def _drop(self, fill: int) -> list[tuple]:
+        self.level[fill] -= 1
+        self.n_open -= 1
+        return self.open[fill].pop()
+
     def close(self) -> list[list[tuple]]:
         """All open windows, filled by cutting pieces of the emptiest into the fullest.
 
@@ -134,14 +155,16 @@ class SumOfSquaresPacker:
         return taken, rest
 
 
-def pack(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, path: str = JSON_PATH) -> DataFrame:
+def pack(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, path: str = JSON_PATH, open_limit: int = OPEN_LIMIT) -> DataFrame:
     """One row per piece of a document: ``key``, start, length, ids, doc_tokens, sequence_id, offset.
 
     A document is the ids of its text, then ``end_id``; null and empty texts are
     that id alone. ``ids`` holds little-endian unsigned 32-bit integers. Sequences
     hold ``window`` ids, but for the last of a partition, whose sizes are powers of
     two: nothing is padded. Documents longer than a window are cut at its multiples,
-    others only where the last open windows of a partition are filled.
+    others where the last open windows of a partition are filled, and where one is filled
+    because more than ``open_limit`` are open. Memory is bounded by that: a larger limit cuts fewer
+    documents in the course of a partition, and as many more at its end.
 
     Each partition packs its own rows in one pass, with no shuffle: a window belongs
     to one task, and a task that is run again gives the same sequences. Repeated
@@ -154,7 +177,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = W
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, packer = Encoder(sent.value), SumOfSquaresPacker(window)
+        encoder, packer = Encoder(sent.value), SumOfSquaresPacker(window, open_limit)
         base, n_sequences = TaskContext.get().partitionId() << 40, 0
         documents: dict[int, list] = {}  # key, tokens and tokens not yet given out, by number
         number, rows, kind = 0, [], None

@@ -152,6 +152,21 @@ def test_open_windows_are_bounded():
     assert sum(len(p[2]) for w in closed for p in w) == total
 
 
+def test_a_full_limit_fills_one_window_at_a_time():
+    packer, closed = packing.SumOfSquaresPacker(window=16, open_limit=5), []
+    for i in range(30):
+        before = len(closed)
+        closed += packer.add(i, np.arange(11, dtype="<u4"))
+        assert packer.n_open <= 5 and len(closed) - before <= 1
+    assert all(sum(len(p[2]) for p in w) == 16 for w in closed)
+    closed += packer.close()
+    pieces = sorted((doc, start, start + len(ids)) for w in closed for doc, start, ids in w)
+    assert sum(e - s for _, s, e in pieces) == 30 * 11
+    assert all(a[2] == b[1] for a, b in zip(pieces, pieces[1:]) if a[0] == b[0])
+    free = packing.SumOfSquaresPacker(window=2048, open_limit=20_000)
+    assert not any(free.add(i, np.zeros(1500, dtype="<u4")) for i in range(20_000))  # nothing but the end cuts
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.pack(empty).count() == 0
