@@ -143,9 +143,8 @@ def _links(messages: DataFrame) -> DataFrame:
 
 
 def _earlier(a: str, b: str):
-    """Nulls come last here: what is quoted has no null, and one that quotes may reply all the same."""
-    order = [F.struct(*(x for part in ("conv", "turn") for x in (F.col(f"{m}.{part}").isNull(), F.col(f"{m}.{part}")))) for m in (a, b)]
-    return order[0] < order[1]
+    """Nulls come first: nothing is earlier than a message without a conversation."""
+    return F.struct(f"{a}.conv", f"{a}.turn") < F.struct(f"{b}.conv", f"{b}.turn")
 
 
 def conversations(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -160,7 +159,7 @@ def conversations(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
     turn of that message, then the number of replies between, then conversation and turn.
 
     A message without linked quotes stays where it was, also if another one has its conversation and turn. Null texts quote and say nothing, null
-    conversations or turns are no originals; a message with one may quote any, as one that comes later. An empty table gives no rows, a text of any length is parsed whole. Repeated rows all stay. Extra columns play no part.
+    conversations or turns are no originals; they come first in order, so a message without a conversation links to none. An empty table gives no rows, a text of any length is parsed whole. Repeated rows all stay. Extra columns play no part.
     Passages are joined by hash to one message each, so copies cost no pairs, and
     positions come from a range sort, so a conversation of any length is dealt over many tasks.
     """

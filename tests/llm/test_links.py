@@ -187,7 +187,7 @@ def test_only_the_message_that_quotes_moves(spark):
     assert got["Quotes nothing."] == got["Quotes nothing either."] == (None, 0)
     assert got["Moves."] == got["Moves too."] == (1, 1) and got["Two up."] == (1, 2)
     assert got["Stays without a turn."] == (7, 0) and got["Stays with a turn."] == (8, 0) and got["One up."] == (8, 1)
-    assert got["Quotes it."] == (1, 1)
+    assert got["Quotes it."] == (None, 0)
 
 
 def test_own_lines_are_kept():
