@@ -109,16 +109,19 @@ def is_held_out(key):
 
 
 def _one_pass(ftrl: Ftrl, state, turn: int):
-    """A shard's pass over its documents, from the state of the last round: its new state, and the coordinates met."""
+    """A pass of each shard in a partition over its documents, from the state of the last round: its new state, and the coordinates met."""
 
-    def learn(group: pa.Table) -> pa.Table:
-        features = [f.values.to_numpy() for f in group.column("features").combine_chunks()]
-        labels = group.column("label").to_pylist()
-        rows = sorted(zip(features, labels, strict=True), key=lambda r: (r[0].tobytes(), r[1]))
-        order = np.random.default_rng(turn).permutation(len(rows))  # the same however the rows arrived
-        z, n = state.value[0].copy(), state.value[1].copy()
-        met = ftrl.learn(z, n, [rows[i][0] for i in order], [rows[i][1] for i in order])
-        return pa.table({"z": [z.tobytes()], "n": [n.tobytes()], "met": [np.packbits(met).tobytes()]})
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards: dict[int, list[tuple[np.ndarray, int]]] = {}
+        for batch in batches:
+            for shard, label, features in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                shards.setdefault(shard, []).append((features.values.to_numpy(), label))
+        for rows in shards.values():
+            rows.sort(key=lambda r: (r[0].tobytes(), r[1]))
+            order = np.random.default_rng(turn).permutation(len(rows))  # the same however the rows arrived
+            z, n = state.value[0].copy(), state.value[1].copy()
+            met = ftrl.learn(z, n, [rows[i][0] for i in order], [rows[i][1] for i in order])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (z, n, np.packbits(met))], ["z", "n", "met"])
 
     return learn
 
@@ -129,8 +132,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     Null ids, null labels and texts without words are left out; an id labelled
     twice counts as labelled 1 if one of the labels is. Without any labelled row
     the model is empty and scores 0.5. Features are written to the shared folder
-    once. Documents are grouped by shard, by the hash of their id, so the model does not depend on
-    partitions. Each round brings one row per shard to the driver, of 16 bytes per bucket: 16 MB.
+    once, a partition to a shard. A document's shard is the hash of its id, so the model does not depend on
+    how the rows came. Each round brings one row per shard to the driver, of 16 bytes per bucket: 16 MB.
     """
     known = (
         labels.select(col(key).alias("key"), col(label).cast("int").alias("label"))
@@ -149,13 +152,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             shard = [xxhash.xxh32_intdigest(str(k)) % shards for k in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), batch.column(1).cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["shard", "label", "features"])
 
-    learnt = cut(rows.mapInArrow(features, "shard int, label int, features array<int>").where(F.size("features") > 0))
+    learnt = cut(rows.mapInArrow(features, "shard int, label int, features array<int>").where(F.size("features") > 0).repartitionById(shards, "shard"))
     context, size = docs.sparkSession.sparkContext, (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
     for turn in range(rounds):
         state = context.broadcast((z, n))
 
-        states = learnt.groupBy("shard").applyInArrow(_one_pass(ftrl, state, turn), "z binary, n binary, met binary").toArrow()
+        states = learnt.mapInArrow(_one_pass(ftrl, state, turn), "z binary, n binary, met binary").toArrow()
         sums, times = np.zeros((2, size)), np.zeros(size)
         for own_z, own_n, met in zip(*(c.to_pylist() for c in states.columns), strict=True):
             at = np.unpackbits(np.frombuffer(met, np.uint8), count=size).astype(bool)
