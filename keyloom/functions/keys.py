@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,14 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, or a longer one where ``taken`` has it already."""
+    names = {t.lower() for t in taken}
+    while name.lower() in names:
+        name += "_"
+    return name
+
+
 def text_key(key: Column) -> Column:
     """The key as text, which for a string column is the column itself."""
     return key.cast("string")

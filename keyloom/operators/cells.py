@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyloom.functions.codec import decode_text
+from keyloom.functions.keys import free_name, named
 
 # Fixed value: the one column family that lookups read.
 DEFAULT_FAMILY = "f1"
@@ -36,16 +37,17 @@ def latest_cells(cells: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataFra
     a cell with a large share of all versions overloads a task.
     """
     rest = [c for c in cells.columns if c not in (*CELL_KEY, *order_by)]
+    cell = free_name(cells.columns, "__cell")
     return (
         cells.groupBy(*CELL_KEY)
-        .agg(F.max(F.struct(*order_by, *rest)).alias("__cell"))
-        .select(*[c if c in CELL_KEY else F.col(f"__cell.`{c}`").alias(c) for c in cells.columns])
+        .agg(F.max(F.struct(*map(named, [*order_by, *rest]))).alias(cell))
+        .select(*[c if c in CELL_KEY else F.col(cell)[c].alias(c) for c in cells.columns])
     )
 
 
 def decode_cells(cells: DataFrame) -> DataFrame:
     """A cell table whose texts are held as UTF-8 bytes, with its binary columns as strings."""
-    return cells.select(*[decode_text(F.col(c)).alias(c) if t == "binary" else F.col(c) for c, t in cells.dtypes])
+    return cells.select(*[decode_text(named(c)).alias(c) if t == "binary" else named(c) for c, t in cells.dtypes])
 
 
 def cells_to_wide(
@@ -63,12 +65,12 @@ def cells_to_wide(
     wanted = F.col("qualifier").isin(list(qualifiers))
     if family is not None:
         wanted = wanted & (F.col("family") == family)
-    version = F.struct(*order_by, "value")
+    version = F.struct(*map(named, order_by), "value")
     return (
         cells.where(wanted)
         .groupBy("rowkey")
         .agg(*[F.max(F.when(F.col("qualifier") == q, version)).alias(q) for q in qualifiers])
-        .select("rowkey", *[F.col(f"`{q}`.value").alias(q) for q in qualifiers])
+        .select("rowkey", *[named(q)["value"].alias(q) for q in qualifiers])
     )
 
 
@@ -84,11 +86,11 @@ def wide_to_cells(wide: DataFrame, families: Mapping[str, str], *, rowkey: str =
     )
     return (
         wide.select(
-            F.col(rowkey).cast("string").alias("rowkey"),
-            F.col(ts).alias("ts"),
-            *[F.col(f"`{c}`").cast("string").alias(c) for c in families],
+            named(rowkey).cast("string").alias("rowkey"),
+            named(ts).alias("ts"),
+            *[named(c).cast("string").alias(c) for c in families],
         )
-        .unpivot(["rowkey", "ts"], list(families), "qualifier", "value")
+        .unpivot(["rowkey", "ts"], list(map(named, families)), "qualifier", "value")
         .where("value is not null")
         .select("rowkey", family.alias("family"), "qualifier", "ts", "value")
     )

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.functions.keys import has_key, text_key
+from keyloom.functions.keys import free_name, has_key, named, text_key
 from keyloom.operators.partition import repartition_by_key, split_by_key, spreading_salt
+from keyloom.plans.keyfilter import FULL_SHARE, key_filter
 from keyloom.plans.sizing import BROADCAST_LIMIT, fits_in_broadcast
-from keyloom.plans.skew import key_shares
+from keyloom.plans.skew import HOT_SHARE, key_shares
 
 # Share of keyless and hot rows from which a second read of the left side costs less than shuffling them.
 SPLIT_SHARE = 0.3
@@ -19,15 +20,24 @@ SPLIT_SHARE = 0.3
 def _salted(left: DataFrame, key: str, right: DataFrame, rowkey: str, on, how: str, hot_keys: Sequence[str], partitions: int | None) -> DataFrame:
     """The join in one read of ``left``: its keyless and hot rows are spread by a salt, and the right rows of hot keys copied to each salt."""
     salts = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = left.withColumn("__salt", F.pmod(spreading_salt(left, key, hot_keys), F.lit(salts)))
+    names = [*left.columns, *right.columns]
+    salt, right_salt = free_name(names, "__salt"), free_name(names, "__right_salt")
+    left = left.withColumn(salt, F.pmod(spreading_salt(left, key, hot_keys), F.lit(salts)))
     if partitions:
-        left = left.repartition(partitions, F.col(key), F.col("__salt"))
+        left = left.repartition(partitions, named(key), F.col(salt))
     copies = F.array(F.lit(0).cast("bigint"))
     if hot_keys:
-        hot = text_key(F.col(rowkey)).isin(list(hot_keys))
+        hot = text_key(named(rowkey)).isin(list(hot_keys))
         copies = F.when(hot, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(copies)
-    right = right.withColumn("__right_salt", F.explode(copies))
-    return left.join(right, on & (F.col("__salt") == F.col("__right_salt")), how).drop("__salt", "__right_salt")
+    right = right.withColumn(right_salt, F.explode(copies))
+    return left.join(right, on & (F.col(salt) == F.col(right_salt)), how).drop(salt, right_salt)
+
+
+def _without_match(free: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Left rows that match nothing, as the join gives them back."""
+    if how == "left":
+        return free.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+    return free
 
 
 def join_by_key(
@@ -43,6 +53,7 @@ def join_by_key(
     partitions: int | None = None,
     broadcast_limit: int | None = None,
     measured: DataFrame | None = None,
+    unknown_share: float | None = None,
 ) -> DataFrame:
     """Join ``left`` with the one ``right`` row per key; ``how`` is left, left_semi or left_anti.
 
@@ -50,15 +61,18 @@ def join_by_key(
     different types are compared as text. How the options shape the plan:
 
     * ``broadcast_limit``: measure ``right`` and broadcast it when it fits.
-      ``left`` is then read once and not shuffled; skew no longer matters.
-      ``measured`` stands for ``right`` in measuring: rows with the same columns that
+      ``left`` is then read once and not shuffled; skew no longer matters. Stored files that are
+      far larger are not measured. ``measured`` stands for ``right`` in measuring: rows with the same columns that
       are no fewer and cheaper to make, such as all versions of the rows.
+    * ``unknown_share``: a bitmap of the right keys, of 16 MB at most, tells which left rows surely match
+      nothing. Where they are at least that share of all, they do not go through the
+      join and its shuffle.
     * ``split_null_keys``: rows without a key skip the join and its shuffle;
       together with ``hot_share``, where they are at least that share.
     * ``hot_keys`` / ``hot_share``: rows of the hot keys (given, or found at that
       share) are joined in place with a measured broadcast of just their rows.
-    * ``partitions``: the rows are placed in that many partitions, the keyless and known
-      hot ones spread over them. Spark raises a number below ``spark.sql.shuffle.partitions``
+    * ``partitions``: the rows are placed in that many partitions, the keyless and
+      hot ones spread over them; hot keys are looked for if none are given. Spark raises a number below ``spark.sql.shuffle.partitions``
       to that.
     * none of these: one plain join; Spark's size statistics and adaptive skew
       handling decide.
@@ -71,16 +85,30 @@ def join_by_key(
     """
     # A row key is never empty, so an empty key finds nothing. Comparing the
     # bare columns keeps any bucketing or partitioning of either side usable.
-    right = right.where(has_key(F.col(rowkey)))
-    on = F.col(key) == F.col(rowkey)
+    whole, right = right, right.where(has_key(named(rowkey)))
+    on = named(key) == named(rowkey)
     if left.schema[key].dataType != right.schema[rowkey].dataType:
-        on = text_key(F.col(key)) == text_key(F.col(rowkey))
-    measured = right if measured is None else measured.where(has_key(F.col(rowkey)))
-    if broadcast_limit is not None and fits_in_broadcast(measured, broadcast_limit):
+        on = text_key(named(key)) == text_key(named(rowkey))
+    if broadcast_limit is not None and fits_in_broadcast(whole if measured is None else measured, broadcast_limit):
         if partitions:
             left = repartition_by_key(left, key, partitions, hot_keys)
         return left.join(F.broadcast(right), on, how)
+    unknown = None
+    if unknown_share is not None:
+        known = key_filter(whole if measured is None else measured, rowkey)
+        if known.filled < FULL_SHARE and known.unknown_share(left, key) >= unknown_share:
+            mark = free_name([*left.columns, *right.columns], "__known")
+            marked = known.mark(left, key, mark)
+            unknown = _without_match(marked.where(~F.col(mark)).drop(mark), right, how)
+            left, split_null_keys = marked.where(F.col(mark)).drop(mark), False
+    joined = _join(left, key, right, rowkey, on, how, hot_keys, hot_share, split_null_keys, partitions, broadcast_limit)
+    return joined if unknown is None or how == "left_semi" else joined.unionByName(unknown)
+
+
+def _join(left, key, right, rowkey, on, how, hot_keys, hot_share, split_null_keys, partitions, broadcast_limit) -> DataFrame:
     free_share = 1.0
+    if partitions and hot_share is None and not hot_keys:
+        hot_share = HOT_SHARE
     if hot_share is not None:
         shares = key_shares(left, key, hot_share)
         hot_keys = sorted({*hot_keys, *shares.hot_keys})
@@ -94,13 +122,9 @@ def join_by_key(
     cold, free = split_by_key(left, key, hot_keys)
     joined = cold.join(right, on, how)
     if hot_keys:
-        hot_rows = right.where(text_key(F.col(rowkey)).isin(list(hot_keys)))
+        hot_rows = right.where(text_key(named(rowkey)).isin(list(hot_keys)))
         limit = BROADCAST_LIMIT if broadcast_limit is None else broadcast_limit
         if fits_in_broadcast(hot_rows, limit):
             hot_rows = F.broadcast(hot_rows)
         return joined.unionByName(free.join(hot_rows, on, how))
-    if how == "left_semi":
-        return joined
-    if how == "left":
-        free = free.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return joined.unionByName(free)
+    return joined if how == "left_semi" else joined.unionByName(_without_match(free, right, how))

@@ -8,14 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.codec import as_text
-from keyloom.functions.keys import named
+from keyloom.functions.keys import free_name, named
 from keyloom.operators.keyjoin import join_by_key
 
 Field = str | tuple[str, str]
 
-_ROWKEY = "__rowkey"
-_LOOKUP_KEY = "__lookup_key"
-
 
 def _pairs(fields: Sequence[Field]) -> list[tuple[str, str]]:
     return [(f, f) if isinstance(f, str) else (f[0], f[1]) for f in fields]
@@ -29,16 +26,17 @@ def latest_rows(df: DataFrame, rowkey: str, version: str) -> DataFrame:
     versions are settled by the other values, so a rerun gives the same row.
     """
     rest = [c for c in df.columns if c not in (rowkey, version)]
+    row = free_name(df.columns, "__row")
     return (
-        df.groupBy(rowkey)
-        .agg(F.max(F.struct(version, *rest)).alias("__row"))
-        .select(rowkey, *[F.col(f"__row.`{c}`").alias(c) for c in df.columns if c != rowkey])
+        df.groupBy(named(rowkey))
+        .agg(F.max(F.struct(named(version), *map(named, rest))).alias(row))
+        .select(named(rowkey), *[F.col(row)[c].alias(c) for c in df.columns if c != rowkey])
     )
 
 
 def duplicate_keys(dim: DataFrame, rowkey: str = "rowkey") -> DataFrame:
     """Keys held by more than one row. Empty means a lookup cannot multiply main rows."""
-    return dim.groupBy(rowkey).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    return dim.groupBy(named(rowkey)).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
 def lookup_enrich(
@@ -55,6 +53,7 @@ def lookup_enrich(
     split_null_keys: bool = False,
     hot_keys: Sequence[str] = (),
     hot_share: float | None = None,
+    unknown_share: float | None = None,
 ) -> DataFrame:
     """Append columns of a keyed dimension to ``main``.
 
@@ -87,31 +86,34 @@ def lookup_enrich(
         return main.select(*map(named, main_columns))
     names = list(dict.fromkeys(f for f, _ in pairs))
     types = dict(dim.dtypes)
-    row = as_text(named(rowkey), types[rowkey]).alias(_ROWKEY)
-    values = [as_text(named(f), types[f]).alias(f"__dim_{i}") for i, f in enumerate(names)]
+    row_name, version = free_name(main.columns, "__rowkey"), free_name(main.columns, "__version")
+    held = {f: free_name(main.columns, f"__dim_{i}") for i, f in enumerate(names)}
+    row = as_text(named(rowkey), types[rowkey]).alias(row_name)
+    values = [as_text(named(f), types[f]).alias(held[f]) for f in names]
     right = every = dim.select(row, *values)
     if order_by_version is not None:
         # Keys are text before they are grouped: the join then reuses that shuffle.
-        versions = dim.select(row, *values, named(order_by_version).alias("__version"))
-        right = latest_rows(versions, _ROWKEY, "__version").drop("__version")
+        versions = dim.select(row, *values, named(order_by_version).alias(version))
+        right = latest_rows(versions, row_name, version).drop(version)
     key_type = dict(main.dtypes)[key]
     if key_type != "string":
-        main = main.withColumn(key, as_text(F.col(key), key_type))
+        main = main.withColumn(key, as_text(named(key), key_type))
     joined = join_by_key(
         main,
         key,
         right,
-        _ROWKEY,
+        row_name,
         hot_keys=hot_keys,
         hot_share=hot_share,
         split_null_keys=split_null_keys,
         partitions=partitions,
         broadcast_limit=broadcast_limit,
+        unknown_share=unknown_share,
         measured=every,  # an upper bound that needs no reduction of versions
     )
     out = joined.select(
         *map(named, main_columns),
-        *[F.col(f"__dim_{names.index(f)}").alias(a) for f, a in pairs],
+        *[F.col(held[f]).alias(a) for f, a in pairs],
     )
     for alias in require:
         out = out.where(named(alias).isNotNull())
@@ -128,5 +130,6 @@ def lookup_select(main: DataFrame, dim: DataFrame, key: str, items: Sequence[tup
     if not sides <= {"main", "dim"}:
         raise ValueError(f"sides are main and dim, got {sorted(sides)}")
     asked = {s: [(column, alias) for side, column, alias in items if side == s] for s in ("main", "dim")}
-    rows = main.select(*(named(c).alias(a) for c, a in asked["main"]), named(key).alias(_LOOKUP_KEY))
-    return lookup_enrich(rows, dim, _LOOKUP_KEY, asked["dim"], **options)
+    held = free_name([alias for _, _, alias in items], "__lookup_key")
+    rows = main.select(*(named(c).alias(a) for c, a in asked["main"]), named(key).alias(held))
+    return lookup_enrich(rows, dim, held, asked["dim"], **options)

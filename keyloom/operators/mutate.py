@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.functions.keys import named
+from keyloom.functions.keys import free_name, named
 from keyloom.operators.cells import CELL_KEY
 from keyloom.operators.keyjoin import join_by_key
 from keyloom.plans.sizing import fits_in_broadcast
@@ -23,8 +23,8 @@ def _versions(side: DataFrame, put: int, order_by: Sequence[str], columns: Seque
     """Cell key and one struct that sorts by version, then put before base, then value."""
     missing = {c: F.lit(None).cast(types[c]).alias(c) for c in order_by if c not in side.columns}
     rest = [c for c in columns if c not in CELL_KEY and c not in order_by]
-    order = [missing.get(c, F.col(c)) for c in order_by]
-    return side.select(*CELL_KEY, F.struct(*order, F.lit(put).alias("__put"), *rest).alias("__cell"))
+    order = [missing.get(c, named(c)) for c in order_by]
+    return side.select(*CELL_KEY, F.struct(*order, F.lit(put).alias("__put"), *map(named, rest)).alias("__cell"))
 
 
 def _newest(versions: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def upsert_cells(
             met = base.select(*CELL_KEY).join(F.broadcast(newest), same, "left_semi").distinct()
             added = newest.join(F.broadcast(met), same, "left_anti")
             merged = merged.unionByName(added.select(*[F.col(f"__{c}").alias(c) for c in CELL_KEY], F.col("__new").alias("__cell")))
-    return merged.select(*[c if c in CELL_KEY else F.col(f"__cell.`{c}`").alias(c) for c in base.columns])
+    return merged.select(*[c if c in CELL_KEY else F.col("__cell")[c].alias(c) for c in base.columns])
 
 
 def put_cell(base: DataFrame, rowkey: str, family: str, qualifier: str, value: str, ts) -> DataFrame:
@@ -115,24 +115,26 @@ def upsert_column(
     the puts go to the base rows, and the new keys are the puts that met none.
     """
     puts = puts.where(named(column).isNotNull())
+    key, value = free_name(base.columns, "__key"), free_name(base.columns, "__new")
     new = (
-        puts.groupBy(rowkey)
-        .agg(F.max(F.struct(*order_by, named(column).alias("__value"))).alias("__put"))
-        .select(rowkey, F.col("__put.__value").alias("__new"))
+        puts.groupBy(named(rowkey).alias(key))
+        .agg(F.max(F.struct(*map(named, order_by), named(column).alias(value)))[value].alias(value))
+        .select(key, value)
     )
-    value = F.coalesce(F.col("__new"), named(column)).alias(column)
-    columns = [value if c == column else F.col(f"`{c}`") for c in base.columns]
+    same = named(rowkey) == F.col(key)
+    changed = F.coalesce(F.col(value), named(column)).alias(column)
+    columns = [changed if c == column else F.coalesce(named(c), F.col(key)).alias(c) if c == rowkey else named(c) for c in base.columns]
     # Measured before the puts are reduced to one per key: no shuffle, and an upper bound.
-    if broadcast_limit is None or not fits_in_broadcast(puts.select(rowkey, named(column)), broadcast_limit):
-        return base.join(new, rowkey, "full").select(*columns)
+    if broadcast_limit is None or not fits_in_broadcast(puts.select(named(rowkey), named(column)), broadcast_limit):
+        return base.join(new, same, "full").select(*columns)
 
     new = F.broadcast(new)
-    updated = base.join(new, rowkey, "left").select(*columns)
+    updated = base.join(new, same, "left").select(*columns)
     # No more keys than puts, which were measured: safe to broadcast in turn.
-    found = F.broadcast(base.select(rowkey).join(new.select(rowkey), rowkey, "left_semi").distinct())
-    inserted = new.join(found, rowkey, "left_anti").select(
+    found = F.broadcast(base.select(named(rowkey)).join(new.select(key), same, "left_semi").distinct())
+    inserted = new.join(found, same, "left_anti").select(
         *[
-            F.col(c) if c == rowkey else F.col("__new").alias(c) if c == column else F.lit(None).cast(t).alias(c)
+            F.col(key).alias(c) if c == rowkey else F.col(value).alias(c) if c == column else F.lit(None).cast(t).alias(c)
             for c, t in base.dtypes
         ]
     )
@@ -200,12 +202,13 @@ def delete_rows(
     row there. Options as in :func:`~keyloom.operators.keyjoin.join_by_key`;
     ``hot_share`` is for cell tables, where one row may hold very many cells.
     """
-    gone = keys.select(named(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
+    gone_key = free_name(base.columns, "__key")
+    gone = keys.select(named(key).alias(gone_key)).where(F.col(gone_key).isNotNull()).distinct()
     return join_by_key(
-        base, rowkey, gone, "__key", "left_anti", broadcast_limit=broadcast_limit, hot_share=hot_share
+        base, rowkey, gone, gone_key, "left_anti", broadcast_limit=broadcast_limit, hot_share=hot_share
     )
 
 
 def delete_row(base: DataFrame, key: str, *, rowkey: str = "rowkey") -> DataFrame:
     """``base`` without one key: a filter, no join."""
-    return base.where(~F.col(rowkey).eqNullSafe(key))
+    return base.where(~named(rowkey).eqNullSafe(key))

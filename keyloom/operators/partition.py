@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.functions.keys import has_key, no_key, text_key
+from keyloom.functions.keys import has_key, named, no_key, text_key
 
 
 def split_by_key(df: DataFrame, key: str, hot_keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -16,7 +16,7 @@ def split_by_key(df: DataFrame, key: str, hot_keys: Sequence[str] = ()) -> tuple
     Every row of ``df`` is in exactly one of the two. ``df`` is read once for
     each, so hand in a checkpoint when it is costly or not repeatable.
     """
-    column = F.col(key)
+    column = named(key)
     if not hot_keys:
         return df.where(has_key(column)), df.where(no_key(column))
     hot = text_key(column).isin(list(hot_keys))
@@ -28,9 +28,9 @@ def spreading_salt(df: DataFrame, key: str, hot_keys: Sequence[str] = ()):
 
     Maps cannot be hashed and do not count. A recomputed task gives every row the same salt.
     """
-    column = F.col(key)
+    column = named(key)
     free = no_key(column) | text_key(column).isin(list(hot_keys)) if hot_keys else no_key(column)
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    hashable = [named(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
     return F.when(free, F.xxhash64(*hashable)).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -42,4 +42,4 @@ def repartition_by_key(df: DataFrame, key: str, partitions: int, hot_keys: Seque
     and there are exactly ``partitions`` partitions. Maps cannot be hashed and do not
     count; rows that are equal in all other columns stay together.
     """
-    return df.repartition(partitions, F.col(key), spreading_salt(df, key, hot_keys))
+    return df.repartition(partitions, named(key), spreading_salt(df, key, hot_keys))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.functions.keys import named, text_key
+from keyloom.functions.keys import free_name, named, text_key
 from keyloom.operators.cells import CELL_KEY, DEFAULT_FAMILY, latest_cells
 from keyloom.operators.keyjoin import join_by_key
 from keyloom.plans.sizing import fits_in_broadcast
@@ -47,12 +47,13 @@ def multi_get(
     clash = set(columns) & set(requests.columns)
     if clash:
         raise ValueError(f"columns of both requests and table: {sorted(clash)}")
-    right = table.select(named(rowkey).alias("__rowkey"), *map(named, columns))
+    row = free_name([*requests.columns, *columns], "__rowkey")
+    right = table.select(named(rowkey).alias(row), *map(named, columns))
     return join_by_key(
         requests,
         key,
         right,
-        "__rowkey",
+        row,
         hot_share=hot_share,
         split_null_keys=split_null_keys,
         broadcast_limit=broadcast_limit,
@@ -114,7 +115,7 @@ def get_latest_cells(
     listed = F.array(*[F.struct(F.lit(q).alias("qualifier"), F.col(f"__{i}").alias("cell")) for i, q in enumerate(names)])
     one = found.select("rowkey", F.inline(listed)).where("cell is not null")
     fixed = {"rowkey": F.col("rowkey"), "family": F.lit(family).alias("family"), "qualifier": F.col("qualifier")}
-    return one.select(*[fixed[c] if c in fixed else F.col(f"cell.`{c}`").alias(c) for c in cells.columns])
+    return one.select(*[fixed[c] if c in fixed else F.col("cell")[c].alias(c) for c in cells.columns])
 
 
 def range_scan(table: DataFrame, begin: str, end: str, rowkey: str = "rowkey") -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloom.functions.keys import nullif_empty, text_key
+from keyloom.functions.keys import named, nullif_empty, text_key
 
 # Default share of the keyed rows from which a key counts as hot.
 HOT_SHARE = 0.002
@@ -39,7 +39,7 @@ def key_shares(df: DataFrame, key: str, share: float = HOT_SHARE) -> KeyShares:
     tracked = 8 * most  # keeps the sketch error well below one share
     found = (
         df.select(
-            nullif_empty(text_key(F.col(key))).alias("item"),
+            nullif_empty(text_key(named(key))).alias("item"),
             F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("grp"),
         )
         .groupBy("grp")
