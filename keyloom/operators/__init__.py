@@ -12,7 +12,7 @@ from keyloom.operators.mutate import (
     upsert_column,
 )
 from keyloom.operators.partition import repartition_by_key, split_by_key
-from keyloom.operators.reads import get_cells, get_latest_cells, get_row, multi_get, range_scan, range_scan_family, requested
+from keyloom.operators.reads import get_cells, get_latest_cells, get_row, get_rows, multi_get, range_scan, range_scan_family, requested
 
 __all__ = [
     "array_puts",
@@ -25,6 +25,7 @@ __all__ = [
     "get_cells",
     "get_latest_cells",
     "get_row",
+    "get_rows",
     "join_by_key",
     "latest_cells",
     "lookup_enrich",

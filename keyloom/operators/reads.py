@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,16 @@ def get_row(table: DataFrame, key: str, rowkey: str = "rowkey") -> DataFrame:
     return table.where(named(rowkey) == key)
 
 
+def get_rows(table: DataFrame, keys: Sequence[str], rowkey: str = "rowkey") -> DataFrame:
+    """The rows of a few keys, as literals that reach the scan: row groups whose order or Bloom filters exclude all of them are skipped.
+
+    Spark passes equalities of at most ten values on as such, so the keys go in tens.
+    """
+    wanted = sorted({k for k in keys if k is not None})
+    tens = [named(rowkey).isin(wanted[i : i + 10]) for i in range(0, len(wanted), 10)]
+    return table.where(reduce(or_, tens, F.lit(False)))
+
+
 def requested(spark: SparkSession, keys: Sequence[str | None]) -> DataFrame:
     """Requests ``(pos, rowkey)`` for a list of keys typed in by hand, in list order."""
     listed = F.array(*[F.lit(k).cast("string") for k in keys]).cast("array<string>")
@@ -36,17 +48,24 @@ def multi_get(
     hot_share: float | None = None,
     split_null_keys: bool = False,
     broadcast_limit: int | None = None,
+    unknown_share: float | None = None,
+    few_keys: int | None = None,
 ) -> DataFrame:
     """Every request row with the table row of its key: duplicates kept, nulls where there is no row.
 
     Carry a position column in ``requests`` and sort by it where the order
-    matters; a sort of all answers is not forced here. Options as in
-    :func:`~keyloom.operators.keyjoin.join_by_key`.
+    matters; a sort of all answers is not forced here. Where the requests have at most
+    ``few_keys`` different keys, and these are strings, the table is read by them (:func:`get_rows`); a job looks for that
+    many keys. Other options as in :func:`~keyloom.operators.keyjoin.join_by_key`.
     """
     columns = [c for c in table.columns if c != rowkey]
     clash = set(columns) & set(requests.columns)
     if clash:
         raise ValueError(f"columns of both requests and table: {sorted(clash)}")
+    if few_keys and table.schema[rowkey].dataType.typeName() == requests.schema[key].dataType.typeName() == "string":
+        asked = requests.select(named(key).alias("key")).where("key is not null").distinct().limit(few_keys + 1).collect()
+        if len(asked) <= few_keys:
+            table = get_rows(table, [r["key"] for r in asked], rowkey)
     row = free_name([*requests.columns, *columns], "__rowkey")
     right = table.select(named(rowkey).alias(row), *map(named, columns))
     return join_by_key(
@@ -57,6 +76,7 @@ def multi_get(
         hot_share=hot_share,
         split_null_keys=split_null_keys,
         broadcast_limit=broadcast_limit,
+        unknown_share=unknown_share,
     ).select(*map(named, [*requests.columns, *columns]))
 
 

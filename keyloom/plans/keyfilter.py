@@ -17,6 +17,8 @@ from keyloom.functions.keys import free_name, has_key, named, text_key
 FILTER_BITS = 27
 # Share of set bits from which the bitmap tells too little to be worth a second read.
 FULL_SHARE = 0.5
+# Share of main rows without a match from which a second read of main costs less than shuffling them.
+UNKNOWN_SHARE = 0.3
 _PART_BITS = 15  # 32768 bits, 4 KB, to a row
 
 

@@ -15,8 +15,12 @@ SETTINGS = {
 
 
 def apply_settings(spark: SparkSession) -> None:
-    """Set what whoever submitted the job left open."""
+    """Set what neither the submission nor the session has set: options that still have Spark's default."""
     given = spark.sparkContext.getConf()
     for name, value in SETTINGS.items():
-        if not given.contains(name):
+        if not given.contains(name) and spark.conf.get(name) == _default(spark, name):
             spark.conf.set(name, value)
+
+
+def _default(spark: SparkSession, name: str) -> str:
+    return spark._jvm.org.apache.spark.sql.internal.SQLConf.getConfigEntry(name).defaultValueString()

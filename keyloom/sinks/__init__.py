@@ -1,4 +1,20 @@
-from keyloom.sinks.keyed import save_bucketed, write_keyed
+from keyloom.sinks.keyed import read_key_range, save_bucketed, write_keyed, write_manifest
+from keyloom.sinks.ranged import delete_ranged, ranged_rows, ranged_scan, rewrite_ranges, save_ranged, upsert_ranged_cells, upsert_ranged_column
 from keyloom.sinks.tables import append, create_table_as, recreate_table
 
-__all__ = ["append", "create_table_as", "recreate_table", "save_bucketed", "write_keyed"]
+__all__ = [
+    "append",
+    "create_table_as",
+    "delete_ranged",
+    "ranged_rows",
+    "ranged_scan",
+    "read_key_range",
+    "recreate_table",
+    "rewrite_ranges",
+    "save_bucketed",
+    "save_ranged",
+    "upsert_ranged_cells",
+    "upsert_ranged_column",
+    "write_keyed",
+    "write_manifest",
+]

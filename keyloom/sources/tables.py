@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyloom.functions.keys import has_key, named
-from keyloom.operators.lookup import Field, latest_rows
+from keyloom.functions.keys import free_name, has_key, named
+from keyloom.operators.lookup import Field, latest_rows, lookup_enrich
 
 
 def as_frame(spark: SparkSession, table: str | DataFrame) -> DataFrame:
@@ -53,3 +53,18 @@ def register_dimension(
     if order_by_version is not None:
         dim = latest_rows(dim, rowkey, order_by_version)
     dim.createOrReplaceTempView(view)
+
+
+def register_lookup(main: DataFrame, dim: DataFrame, view: str, key: str, fields: Sequence[Field], **options) -> None:
+    """Make ``main`` with looked-up ``fields`` of ``dim`` one view, which SQL text reads without a join of its own.
+
+    The view holds the join of :func:`~keyloom.operators.lookup.lookup_enrich`, measured, salted or split by its ``options``;
+    so hot and keyless rows and versions are taken care of whatever the text does.
+    ``key`` stays a column of the view.
+    """
+    kept = main.select("*", named(key).alias(_held(main)))
+    lookup_enrich(kept, dim, _held(main), fields, **options).createOrReplaceTempView(view)
+
+
+def _held(main: DataFrame) -> str:
+    return free_name(main.columns, "__lookup_key")

@@ -13,6 +13,9 @@ from keyloom import wide_to_cells
 KEY = "customer_index_rowkey_id"
 CELL_FAMILIES = {"c_name": "f1", "c_mktsegment": "f2"}
 NAMED = "select c_name as rowkey, c_acctbal, c_mktsegment from customer"
+BRANDED = "select p_brand as rowkey, p_partkey, p_name, p_type from part"
+BRAND_RANGE = ("Brand#12", "Brand#13")  # two of 25 brands, whatever the scale
+BRAND_FAMILIES = {"p_name": "f1", "p_type": "f2"}
 BASE_TS = "2024-01-01 00:00:00"
 PUT_TS = "2024-02-01 00:00:00"
 
@@ -49,6 +52,20 @@ SQL = {
     "E": """
         select cast(user_id as varchar) as rowkey, 'f1' as family, event_type as qualifier, ts, props as value
         from events""",
+    # Versioned cells by event type, a native string key: one cell per user.
+    "T": """
+        select event_type as rowkey, 'f1' as family, cast(user_id as varchar) as qualifier, ts, props as value
+        from events""",
+    # Cells of parts by brand, a native string key, in two families.
+    "B": f"""
+        select p_brand as rowkey, 'f1' as family, 'p_name' as qualifier, timestamp '{BASE_TS}' as ts, p_name as value
+        from part where p_name is not null
+        union all
+        select p_brand, 'f2', 'p_type', timestamp '{BASE_TS}', p_type from part where p_type is not null""",
+    # Requests for one customer by name for each nation.
+    "Q": """
+        select n_nationkey as pos, concat('Customer#', right(concat('00000000', cast(n_nationkey as varchar)), 9)) as rowkey
+        from nation""",
     # Cells of K, in two families.
     "C": f"""
         select rowkey, 'f1' as family, 'c_name' as qualifier, timestamp '{BASE_TS}' as ts, c_name as value
@@ -176,3 +193,27 @@ def puts_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 def named_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers by name, a native string key; ``NAMED`` as SQL."""
     return table(spark, sf_dir, "customer").select(F.col("c_name").alias("rowkey"), "c_acctbal", "c_mktsegment")
+
+
+def cells_t(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("rowkey"),
+        F.lit("f1").alias("family"),
+        text("user_id").alias("qualifier"),
+        "ts",
+        F.col("props").alias("value"),
+    )
+
+
+def branded_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by brand, a native string key; ``BRANDED`` as SQL."""
+    return table(spark, sf_dir, "part").select(F.col("p_brand").alias("rowkey"), "p_partkey", "p_name", "p_type")
+
+
+def cells_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wide_to_cells(branded_parts(spark, sf_dir).withColumn("ts", ntz(BASE_TS)), BRAND_FAMILIES, ts="ts")
+
+
+def requests_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.expr("right(concat('00000000', cast(n_nationkey as string)), 9)")
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("pos"), F.concat(F.lit("Customer#"), number).alias("rowkey"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from workloads.fixtures import NAMED, PUT_TS, with_sql
+from workloads.fixtures import BRAND_RANGE, BRANDED, NAMED, PUT_TS, with_sql
 
+_IN_RANGE = f"rowkey >= '{BRAND_RANGE[0]}' and rowkey < '{BRAND_RANGE[1]}' || '0'"
 _MATCH = "left join K on nullif(M.customer_index_rowkey_id, '') = K.rowkey"
 _MK = with_sql("M", "K")
 
@@ -99,8 +100,8 @@ ORACLE: dict[str, str] = {
     "repartition_by_key": _placement("M"),
     "repartition_hot_key": _placement("H"),
     "get_row": f"select * from ({NAMED}) where rowkey = 'Customer#000000017'",
-    "get_row_latest": with_sql("E")
-    + """select * from E where rowkey = '7'
+    "get_row_latest": with_sql("T")
+    + """select * from T where rowkey = 'click'
          qualify row_number() over (partition by rowkey, family, qualifier order by ts desc, value desc) = 1""",
     "get_cells": with_sql("K")
     + """, keys as (select cast(s_suppkey as varchar) as k from supplier)
@@ -116,9 +117,8 @@ ORACLE: dict[str, str] = {
     "multi_get": _MK
     + f"""select M.o_orderkey as pos, M.customer_index_rowkey_id as rowkey, K.c_name, K.c_mktsegment
           from M {_MATCH}""",
-    "range_scan": f"select * from ({NAMED}) where rowkey >= 'Customer#00000001' and rowkey < 'Customer#000000120' || '0'",
-    "range_scan_family": with_sql("K", "C")
-    + "select * from C where family = 'f2' and rowkey >= '10' and rowkey < '12' || '0'",
+    "range_scan": f"select * from ({BRANDED}) where {_IN_RANGE}",
+    "range_scan_family": with_sql("B") + f"select * from B where family = 'f2' and {_IN_RANGE}",
     "cells_latest": with_sql("E")
     + """select * from E
          qualify row_number() over (partition by rowkey, family, qualifier order by ts desc, value desc) = 1""",
@@ -152,4 +152,18 @@ ORACLE |= {
     "delete_row": with_sql("K") + "select * from K where rowkey is distinct from '7'",
     "get_latest_cells_shuffled": ORACLE["get_latest_cells"],
     "write_keyed_read": ORACLE["range_scan"],
+    "read_key_range": ORACLE["range_scan"],
+    "multi_get_few": with_sql("Q") + f"select Q.pos, Q.rowkey, N.c_acctbal, N.c_mktsegment from Q left join ({NAMED}) N on Q.rowkey = N.rowkey",
+    "lookup_unknown_keys": _LEFT,
+    "lookup_unknown_not_null": _NOT_NULL,
+    "lookup_view_sql": with_sql("H")
+    + """, latest as (
+            select cast(o_custkey as varchar) as rowkey, o_orderpriority from orders
+            qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderpriority desc) = 1)
+         select H.o_orderkey as order_code, upper(latest.o_orderpriority) as priority, H.o_totalprice
+         from H join latest on nullif(H.customer_index_rowkey_id, '') = latest.rowkey
+         where latest.o_orderpriority is not null and H.o_totalprice > 1000""",
+    "ranged_upsert": f"select * from ({_UPSERT_CELLS}) where rowkey not in (select cast(s_suppkey as varchar) from supplier)",
+    "sink_append_even": _LEFT,
+    "job_run_id": _MK + f"select *, 'first' as run_id from ({_LEFT_BODY} where K.c_mktsegment is not null)",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import keyloom as kl
 from keyloom.functions import decode_text, encode_text, format_datetime, nullif_empty
-from keyloom.plans import BROADCAST_LIMIT, HOT_SHARE
+from keyloom.plans import BROADCAST_LIMIT, HOT_SHARE, UNKNOWN_SHARE
 from workloads import fixtures as fx
 from workloads.scratch import new_table, shared_dir
 
@@ -21,8 +21,8 @@ DIM_FIELDS = [("c_name", "nm"), ("c_mktsegment", "seg")]
 SINK_COLUMNS = "order_code BIGINT, o_totalprice DOUBLE, nm STRING, seg STRING"
 PLACEMENT_SHARE = 0.1
 
-# Plan by measurement: broadcast a small dimension, else keep keyless and hot rows out of the shuffle.
-MEASURED = {"broadcast_limit": BROADCAST_LIMIT, "split_null_keys": True, "hot_share": HOT_SHARE}
+# Plan by measurement: broadcast a small dimension, else keep keyless, hot and many unknown rows out of the shuffle.
+MEASURED = {"broadcast_limit": BROADCAST_LIMIT, "split_null_keys": True, "hot_share": HOT_SHARE, "unknown_share": UNKNOWN_SHARE}
 # For dimensions that are themselves aggregates: no measuring run, adaptive execution broadcasts.
 SPLIT = {"split_null_keys": True, "hot_share": HOT_SHARE}
 
@@ -167,7 +167,8 @@ def get_row(spark, sf_dir):
 
 
 def get_row_latest(spark, sf_dir):
-    return kl.latest_cells(kl.get_row(fx.cells_e(spark, sf_dir), "7"))
+    """By a native string key, so that the equality reaches the scan."""
+    return kl.latest_cells(kl.get_row(fx.cells_t(spark, sf_dir), "click"))
 
 
 def get_cells(spark, sf_dir):
@@ -189,11 +190,11 @@ def multi_get(spark, sf_dir):
 
 def range_scan(spark, sf_dir):
     """By a native string key, so that both bounds reach the scan."""
-    return kl.range_scan(fx.named_customers(spark, sf_dir), "Customer#00000001", "Customer#000000120")
+    return kl.range_scan(fx.branded_parts(spark, sf_dir), *fx.BRAND_RANGE)
 
 
 def range_scan_family(spark, sf_dir):
-    return kl.range_scan_family(fx.cells_c(spark, sf_dir), "f2", "10", "12")
+    return kl.range_scan_family(fx.cells_b(spark, sf_dir), "f2", *fx.BRAND_RANGE)
 
 
 def cells_latest(spark, sf_dir):
@@ -278,10 +279,52 @@ def get_latest_cells_shuffled(spark, sf_dir):
 
 
 def write_keyed_read(spark, sf_dir):
-    """Customers written in key order, and a key range read from there."""
+    """Parts written in key order, and a key range read from there."""
+    path = f"{shared_dir(spark)}/keyed-{uuid.uuid4().hex}"
+    kl.write_keyed(fx.branded_parts(spark, sf_dir), path)
+    return kl.range_scan(spark.read.parquet(path), *fx.BRAND_RANGE)
+
+
+def read_key_range(spark, sf_dir):
+    """The same range by the manifest: files without such keys are not opened."""
     path = f"{shared_dir(spark)}/keyed-{uuid.uuid4().hex}"
-    kl.write_keyed(fx.named_customers(spark, sf_dir), path)
-    return kl.range_scan(spark.read.parquet(path), "Customer#00000001", "Customer#000000120")
+    kl.write_keyed(fx.branded_parts(spark, sf_dir), path, partitions=8)
+    return kl.read_key_range(spark, path, *fx.BRAND_RANGE)
+
+
+def multi_get_few(spark, sf_dir):
+    """Few requests of a table without order: its Bloom filters tell which row groups to read."""
+    path = f"{shared_dir(spark)}/bloom-{uuid.uuid4().hex}"
+    kl.write_keyed(fx.named_customers(spark, sf_dir), path, sort=False, keys_per_file=100_000)
+    return kl.multi_get(fx.requests_q(spark, sf_dir), spark.read.parquet(path), few_keys=100)
+
+
+def lookup_unknown_keys(spark, sf_dir):
+    """Main rows that a bitmap of the dimension's keys shows to be unknown stay out of the join."""
+    return kl.lookup_enrich(_main(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, unknown_share=0.1)
+
+
+def lookup_unknown_not_null(spark, sf_dir):
+    """The same with a required field: such rows are dropped before the join."""
+    return kl.lookup_enrich(_main(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, require=["seg"], unknown_share=0.1)
+
+
+def lookup_view_sql(spark, sf_dir):
+    """SQL text on a view that holds the salted lookup of a versioned dimension."""
+    main = kl.project_main(fx.main_h(spark, sf_dir), MAIN_COLUMNS, fx.KEY)
+    orders = fx.table(spark, sf_dir, "orders").select(fx.text("o_custkey").alias("rowkey"), "o_orderdate", "o_orderpriority")
+    kl.register_lookup(main, orders, "keyloom_view", fx.KEY, [("o_orderpriority", "last_priority")], order_by_version="o_orderdate", split_null_keys=True, hot_share=0.01)
+    return spark.sql("SELECT order_code, upper(last_priority) AS priority, o_totalprice FROM keyloom_view WHERE last_priority IS NOT NULL AND o_totalprice > 1000")
+
+
+def ranged_upsert(spark, sf_dir):
+    """Cells in key ranges: an upsert and a delete in place, each of the ranges it touches, then all cells."""
+    name, path = new_table(spark, "ranged")
+    kl.save_ranged(fx.cells_c(spark, sf_dir), name, 8, path=path)
+    kl.upsert_ranged_cells(spark, name, fx.puts_p_cells(spark, sf_dir))
+    gone = fx.table(spark, sf_dir, "supplier").select(fx.text("s_suppkey").alias("rowkey"))
+    kl.delete_ranged(spark, name, gone)
+    return kl.ranged_rows(spark, name).drop("ts")
 
 
 def _empty_sink(spark, kind):
@@ -332,6 +375,23 @@ def job_end_to_end(spark, sf_dir):
     return spark.table(sink)
 
 
+def sink_append_even(spark, sf_dir):
+    sink = _empty_sink(spark, "even")
+    kl.append(lookup_left(spark, sf_dir), sink, even_files=True)
+    return spark.table(sink)
+
+
+def job_run_id(spark, sf_dir):
+    """The job run twice under one id leaves its rows once."""
+    name, path = new_table(spark, "runs")
+    spark.sql(f"CREATE TABLE {name} ({SINK_COLUMNS}, run_id STRING) USING parquet PARTITIONED BY (run_id) LOCATION '{path}'")
+    for _ in range(2):
+        kl.run_enrichment(
+            spark, fx.main_m(spark, sf_dir), fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS, columns=MAIN_COLUMNS, require=["seg"], sink=name, run_id="first"
+        )
+    return spark.table(name)
+
+
 def job_sql(spark, sf_dir):
     sink = _empty_sink(spark, "job_sql")
     fx.main_m(spark, sf_dir).createOrReplaceTempView("keyloom_orders")
@@ -386,6 +446,14 @@ QUERIES: dict[str, Query] = {
         delete_row,
         get_latest_cells_shuffled,
         write_keyed_read,
+        read_key_range,
+        multi_get_few,
+        lookup_unknown_keys,
+        lookup_unknown_not_null,
+        lookup_view_sql,
+        ranged_upsert,
+        sink_append_even,
+        job_run_id,
         delete_rows,
         delete_rows_cells,
         sink_append,
