@@ -15,11 +15,13 @@ from keyloom.plans.skew import HOT_SHARE, key_shares
 
 # Share of keyless and hot rows from which a second read of the left side costs less than shuffling them.
 SPLIT_SHARE = 0.3
+# Salts to a partition: a hot key's rows are then spread about evenly, though salts are hashed.
+_SALTS = 8
 
 
 def _salted(left: DataFrame, key: str, right: DataFrame, rowkey: str, on, how: str, hot_keys: Sequence[str], partitions: int | None) -> DataFrame:
     """The join in one read of ``left``: its keyless and hot rows are spread by a salt, and the right rows of hot keys copied to each salt."""
-    salts = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = _SALTS * (partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     names = [*left.columns, *right.columns]
     salt, right_salt = free_name(names, "__salt"), free_name(names, "__right_salt")
     left = left.withColumn(salt, F.pmod(spreading_salt(left, key, hot_keys), F.lit(salts)))

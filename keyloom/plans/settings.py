@@ -15,12 +15,9 @@ SETTINGS = {
 
 
 def apply_settings(spark: SparkSession) -> None:
-    """Set what neither the submission nor the session has set: options that still have Spark's default."""
+    """Set what neither the submission nor the session has set."""
     given = spark.sparkContext.getConf()
+    fresh = spark.newSession()  # has what was submitted, and Spark's defaults
     for name, value in SETTINGS.items():
-        if not given.contains(name) and spark.conf.get(name) == _default(spark, name):
+        if not given.contains(name) and spark.conf.get(name) == fresh.conf.get(name):
             spark.conf.set(name, value)
-
-
-def _default(spark: SparkSession, name: str) -> str:
-    return spark._jvm.org.apache.spark.sql.internal.SQLConf.getConfigEntry(name).defaultValueString()

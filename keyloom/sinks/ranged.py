@@ -100,10 +100,19 @@ def rewrite_ranges(
     finally:
         spark.conf.set(mode, before)
     for gone in sorted(set(touched) - set(seen.get["written"])):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({RANGE} = {gone})")
+        _drop_range(spark, table, gone)
     return touched
 
 
+def _drop_range(spark: SparkSession, table: str, number: int) -> None:
+    """Spark leaves the files of tables with a path of their own, so they are removed by name."""
+    files = spark.table(table).where(F.col(RANGE) == number).inputFiles()
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({RANGE} = {number})")
+    for file in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def upsert_ranged_cells(spark: SparkSession, table: str, puts: DataFrame, *, order_by=("ts",), base_is_latest: bool = True) -> list[int]:
     """:func:`~keyloom.operators.mutate.upsert_cells` in place, in the ranges that ``puts`` fall in."""
     return rewrite_ranges(spark, table, puts, lambda base: upsert_cells(base, puts, order_by=order_by, base_is_latest=base_is_latest, broadcast_limit=BROADCAST_LIMIT))

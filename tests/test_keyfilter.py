@@ -1,0 +1,109 @@
+"""The bitmap of a dimension's keys, sizing by statistics, and rows placed in a number of partitions."""
+
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given
+from hypothesis import settings as hypothesis_settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import keyloom as kl
+from keyloom.plans import key_filter, surely_larger
+from tests.helpers import jobs_of, metric, plan_of, rows, settings
+
+DATA = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        yield
+
+
+@pytest.fixture
+def half_unknown(spark):
+    """10,000 main rows of which every other asks for an unknown key, and 1,000 keys."""
+    main = spark.range(10_000).select("id", F.when(F.col("id") % 2 == 0, F.concat(F.lit("x"), F.col("id"))).otherwise((F.col("id") % 1000).cast("string")).alias("k"))
+    dim = spark.range(1000).select(F.col("id").cast("string").alias("rowkey"), (F.col("id") * 2).alias("v"))
+    return main, dim
+
+
+def test_unknown_rows_stay_out_of_the_shuffle(half_unknown, no_auto_broadcast):
+    main, dim = half_unknown
+    plain = kl.lookup_enrich(main, dim, "k", ["v"])
+    plain_rows = rows(plain)
+    kept_out = kl.lookup_enrich(main, dim, "k", ["v"], unknown_share=0.3)
+    assert rows(kept_out) == plain_rows
+    assert max(metric(plain, "Exchange", "shuffleRecordsWritten")) == 10_000
+    sent = metric(kept_out, "Exchange", "shuffleRecordsWritten")
+    assert 5_000 <= max(sent) < 5_100  # those that match, and next to no false positives
+
+    required = kl.lookup_enrich(main, dim, "k", ["v"], require=["v"], unknown_share=0.3)
+    assert rows(required) == [r for r in plain_rows if r[1] is not None]
+    assert 5_000 <= max(metric(required, "Exchange", "shuffleRecordsWritten")) < 5_100
+    assert "Union" not in plan_of(required)
+
+
+def test_few_unknown_rows_and_full_bitmaps_are_not_split_off(spark, half_unknown, no_auto_broadcast, monkeypatch):
+    main, dim = half_unknown
+    assert "Union" not in plan_of(kl.lookup_enrich(main, dim, "k", ["v"], unknown_share=0.6))
+    assert "Union" in plan_of(kl.lookup_enrich(main, dim, "k", ["v"], unknown_share=0.4))
+    monkeypatch.setattr("keyloom.operators.keyjoin.FULL_SHARE", 0.0)
+    assert "Union" not in plan_of(kl.lookup_enrich(main, dim, "k", ["v"], unknown_share=0.4))
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_every_kind_of_join(spark, how, no_auto_broadcast):
+    main = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "zz"), (5, ""), (6, None)], "n INT, k STRING")
+    dim = spark.createDataFrame([("a", 1), ("b", None), ("c", 3), ("", 4), (None, 5)], "r STRING, v INT")
+    plain = kl.join_by_key(main, "k", dim, "r", how)
+    for more in ({}, {"hot_share": 0.2}, {"split_null_keys": True}, {"partitions": 3}):
+        assert rows(kl.join_by_key(main, "k", dim, "r", how, unknown_share=0.01, **more)) == rows(plain)
+
+
+@hypothesis_settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=4)), max_size=60), st.sampled_from([15, 16, 27]))
+def test_no_key_is_missed(spark, keys, bits):
+    dim = spark.createDataFrame([(k,) for k in keys], "k STRING")
+    marked = key_filter(dim, "k", bits).mark(dim, "k", "known").collect()
+    assert [(r["k"], r["known"]) for r in marked if r["k"]] == [(k, True) for k in keys if k]
+    assert not any(r["known"] for r in marked if not r["k"])
+
+
+def test_bits_of_all_places(spark):
+    """A nearly full bitmap of the least size: every word and bit is read where it was written."""
+    keys = spark.range(40_000).select(F.col("id").alias("k"))
+    made = key_filter(keys.where("k < 30000"), "k", 15)
+    wrong = made.mark(keys, "k", "known").where("k < 30000 and not known").count()
+    place = F.xxhash64(F.col("k").cast("string")).bitwiseAND(F.lit((1 << 15) - 1).cast("bigint"))
+    bits = {r[0] for r in keys.where("k < 30000").select(place).distinct().collect()}
+    told = {r[0] for r in made.mark(keys, "k", "known").where("known").select(place).distinct().collect()}
+    assert wrong == 0 and told <= bits and made.filled == len(bits) / (1 << 15)
+
+
+def test_no_job_on_a_dimension_far_over_the_limit(spark, no_auto_broadcast, tmp_path):
+    dim = spark.read.parquet(f"{DATA}/orders.parquet")
+    main = spark.read.parquet(f"{DATA}/lineitem.parquet")
+    limit = 2_000  # bytes; the columns take over a hundred times that
+    with jobs_of(spark) as ran:
+        df = kl.lookup_enrich(main, dim, "l_orderkey", ["o_orderstatus"], rowkey="o_orderkey", broadcast_limit=limit)
+        assert "Broadcast" not in plan_of(df)
+    assert ran == []
+    with jobs_of(spark) as ran:
+        kl.lookup_enrich(main, dim, "l_orderkey", ["o_orderstatus"], rowkey="o_orderkey", broadcast_limit=64 << 20)
+    assert len(ran) > 0
+    assert surely_larger(dim, limit) and not surely_larger(dim, 1 << 30)
+    assert not surely_larger(dim.where("o_orderkey = 5"), limit)  # a filter may leave little: measured
+
+
+@pytest.mark.parametrize("n", [8, 20])
+def test_partitions_spread_hot_and_keyless_rows(spark, no_auto_broadcast, n):
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 5_000).cast("string"))
+    main = spark.range(60_000).select("id", key.alias("k"))
+    dim = spark.range(5_000).select(F.col("id").cast("string").alias("rowkey"), "id").unionByName(spark.createDataFrame([("hot", -1)], "rowkey STRING, id BIGINT"))
+    with settings(spark, adaptive__coalescePartitions__enabled="false"):
+        placed = kl.lookup_enrich(main, dim, "k", [("id", "v")], partitions=n)
+        sizes = sorted(r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(sizes) == 60_000 and len(sizes) == n and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    assert placed.where("k is null").count() == 0 if "k" in placed.columns else placed.where("v = '-1'").count() == 20_000

@@ -140,3 +140,47 @@ def test_sizes(spark):
     assert 100 < kl.measured_bytes(df) < 300
     assert kl.measured_bytes(df.where("b = 5")) == 0
     assert kl.fits_in_broadcast(df, 300) and not kl.fits_in_broadcast(df, 10)
+
+
+def test_a_run_with_an_id_is_there_once(spark):
+    name = f"runs_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {name} (code INT, name STRING, run_id STRING) USING parquet PARTITIONED BY (run_id)")
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "a INT, b STRING")
+    for run in ("r1", "r1", "it's"):
+        kl.append(df, name, run_id=run)
+    assert rows(spark.table(name)) == [(1, "x", "it's"), (1, "x", "r1"), (2, "y", "it's"), (2, "y", "r1")]
+    broken = df.selectExpr("a", "if(a = 2, raise_error('died'), b) as b")
+    with pytest.raises(Exception, match="died"):
+        kl.append(broken, name, run_id="r2")
+    assert spark.table(name).where("run_id = 'r2'").count() == 0
+    kl.append(df.select("b", "a").toDF("name", "code"), name, run_id="r2", by_name=True)
+    assert rows(spark.table(name).where("run_id = 'r2'")) == [(1, "x", "r2"), (2, "y", "r2")]
+    with pytest.raises(ValueError, match="columns"):
+        kl.append(df.select("a"), name, run_id="r3")
+
+
+def test_run_ids_need_their_column(spark, sink):
+    with pytest.raises(ValueError, match="run_id"):
+        kl.append(spark.createDataFrame([(1, "x", "y")], "a INT, b STRING, c STRING"), sink, run_id="r1")
+
+
+def test_even_files(spark, tmp_path):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from tests.helpers import settings
+
+    # A hot key left three quarters of the rows in one partition of eight.
+    rows_ = spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.when(F.col("id") % 4 < 3, 0).otherwise(F.col("id")).alias("k"))
+    skewed = rows_.repartition(8, "k").drop("k")
+    sizes = {}
+    with settings(spark, adaptive__advisoryPartitionSizeInBytes="4m"):
+        for even in (False, True):
+            name = f"even_{even}_{uuid.uuid4().hex[:6]}".lower()
+            spark.sql(f"CREATE TABLE {name} (id BIGINT, v STRING) USING parquet LOCATION '{tmp_path}/{name}'")
+            kl.append(skewed, name, even_files=even)
+            assert spark.table(name).count() == 400_000
+            sizes[even] = sorted(f.stat().st_size for f in Path(f"{tmp_path}/{name}").glob("*.parquet"))
+    median = {k: v[len(v) // 2] for k, v in sizes.items()}
+    assert sizes[False][-1] > 5 * median[False] and sizes[True][-1] < 2 * median[True]
