@@ -28,7 +28,8 @@ def op2_quotation_linking(spark, sf_dir):
 
 def op3_secret_scans(spark, sf_dir):
     """Spans of secrets in all documents."""
-    found = secret_scan.find_secrets(_documents(spark, sf_dir))
+    docs = _documents(spark, sf_dir)
+    found = secret_scan.find_secrets(docs, common=secret_scan.common_words(docs))
     listed = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
     base = "filter(secrets, s -> s.kind in ('assign', 'access', 'hex'))"
     return found.select(

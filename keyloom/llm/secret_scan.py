@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +32,16 @@ _ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 # A name without a value matches too, so that none is read twice, and blanks are never given back: work is linear.
 CONTEXT = re.compile(
     r"""(?:(?i:pass(?:word|wd|phrase|code)|pwd|(?:api|private|access|secret|signing|encryption)[_-]?key)[A-Za-z0-9_-]*+"""
-    r"""|(?i:pass|secret|token|credential|auth|login)s?(?:(?:[0-9_-]|(?<=[a-z])[A-Z])[A-Za-z0-9_-]*+)?)"""
+    r"""|(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))(?i:pass|secret|token|credential|auth|login)s?(?:(?:[0-9_-]|(?<=[a-z])[A-Z])[A-Za-z0-9_-]*+)?)"""
     r"""(?:["']?(?:\s*+(?::=|=>|[:=])|\s++is\s)\s*+(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'<>,;]{6,})))?""",
     re.ASCII,
 )
 _CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "login")
 
+COMMON = 50_000  # words of the corpus that are known to a guesser: at most 1 MB
+_DISTINCT = 300_000  # different words that a task counts before it hands them on
+_WORD = re.compile(r"[^\W\d_]{3,24}")
+
 MIN_COST = 9.0  # a value that needs fewer than a thousand million guesses is no secret
 
 # Frequent parts of passwords, most frequent first: the rank is the number of guesses.
@@ -59,8 +65,12 @@ _DATE_COST = {4: math.log10(130), 8: math.log10(130 * 366), 10: math.log10(130 *
 class GuessCost:
     """The cost of values, as log10 of the guesses."""
 
-    def __init__(self, words: Sequence[str] = WORDS):
-        self.rank = {w: i + 1 for i, w in reversed(list(enumerate(words)))}
+    def __init__(self, words: Sequence[str] = WORDS, common: Sequence[str] = ()):
+        """``words`` and ``common`` are each in order of frequency; a word in both has the better rank."""
+        self.rank: dict[str, int] = {}
+        for listed in (words, common):
+            for i, w in enumerate(listed, 1):
+                self.rank[w] = min(i, self.rank.get(w, i))
         self.longest = max(map(len, self.rank))
         self.rows = KEY_ROWS + tuple(r[::-1] for r in KEY_ROWS)
         self.next_key = {r: {a: b for a, b in zip(r, r[1:], strict=False)} for r in self.rows}
@@ -154,20 +164,51 @@ def guess_spans(text: str, low: str, costs: GuessCost, least: float) -> list[tup
     return found
 
 
-def find_secrets(df: DataFrame, text: str = "text", into: str = "secrets", words: Sequence[str] = WORDS, least: float = MIN_COST) -> DataFrame:
+def common_words(df: DataFrame, text: str = "text", most: int = COMMON) -> list[str]:
+    """The ``most`` most frequent words of all texts, of 3 to 24 letters, in lower case; of equals the first in order.
+
+    Values in credential contexts do not count, so that a secret in many copies of a text is no common
+    word. Nulls, empty texts and an empty table have none.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[str] = Counter()
+
+        def handed_on():
+            batch = pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
+            found.clear()
+            return batch
+
+        for batch in batches:
+            for told in batch.column(0):
+                said = told.as_py() or ""
+                low = said.lower()
+                if any(h in low for h in _CONTEXT_HINTS):
+                    low = CONTEXT.sub(" ", said).lower()
+                found.update(_WORD.findall(low))
+                if len(found) >= _DISTINCT:
+                    yield handed_on()
+        yield handed_on()
+
+    words = df.select(col(text).alias("text")).mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return words.orderBy(F.desc("n"), "word").limit(most).select("word").toArrow().column(0).to_pylist()
+
+
+def find_secrets(df: DataFrame, text: str = "text", into: str = "secrets", words: Sequence[str] = WORDS, least: float = MIN_COST, common: Sequence[str] = ()) -> DataFrame:
     """``df`` with an array of the secrets in ``text``: kind, start, end (code points, end exclusive).
 
     Kinds are ``assign``, ``access`` and ``hex`` (fixed patterns; matches of one kind do
     not overlap) and ``guess`` (the value alone, in a credential context, at
-    least 10**``least`` guesses). Ordered by start, then kind as listed. Null and
+    least 10**``least`` guesses, for a guesser who knows ``words`` and ``common``, see :func:`common_words`). Ordered by start, then kind as listed. Null and
     empty texts give an empty array. A column named ``into`` is replaced, all others
-    and repeated rows stay. No shuffle; work per text is linear in its length.
+    and repeated rows stay; an empty table gives no rows. No shuffle; work per text is linear in its length.
     """
-    order, words = {k: i for i, k in enumerate((*BASE_KINDS, GUESS))}, list(words)
+    order = {k: i for i, k in enumerate((*BASE_KINDS, GUESS))}
+    sent = df.sparkSession.sparkContext.broadcast((list(words), list(common)))
 
     @F.pandas_udf("array<struct<kind:string,start:bigint,end:bigint>>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        costs = GuessCost(words)
+        costs = GuessCost(*sent.value)
 
         def scan(text):
             if not text:
@@ -182,13 +223,13 @@ def find_secrets(df: DataFrame, text: str = "text", into: str = "secrets", words
     return df.withColumn(into, found(col(text)))
 
 
-def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]", words: Sequence[str] = WORDS, least: float = MIN_COST) -> DataFrame:
+def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]", words: Sequence[str] = WORDS, least: float = MIN_COST, common: Sequence[str] = ()) -> DataFrame:
     """``df`` with every secret in ``text`` replaced by ``mark``; touching and overlapping spans become one mark. Null stays null."""
-    words = list(words)
+    sent = df.sparkSession.sparkContext.broadcast((list(words), list(common)))
 
     @F.pandas_udf("string")
     def redacted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        costs = GuessCost(words)
+        costs = GuessCost(*sent.value)
 
         def clean(text):
             if not text:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -84,6 +85,45 @@ def test_other_names_and_long_texts_of_names():
         assert secret_scan.guess_spans(text, text.lower(), costs, secret_scan.MIN_COST) == []
 
 
+CLEAN = [
+    "The password: required for all users",
+    "auth: disabled in this release",
+    "token: sentencepiece model of the day",
+    "login is unavailable today",
+    "by compass: northwest wind",
+]
+
+
+def test_words_of_the_corpus_are_no_secrets(spark):
+    prose = "it is required that users stay disabled until the sentence or piece is unavailable in the northwest " * 3
+    secret = "password: Vq7RkzLwPmTx and token = zkqvwxjpfhbtgd"  # the second all letters, and in many copies
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([prose, None, "", *CLEAN, *[secret] * 40])], "doc_id bigint, text string")
+    common = secret_scan.common_words(docs)
+    assert "required" in common and "zkqvwxjpfhbtgd" not in common and common == secret_scan.common_words(docs.repartition(7))
+    found = {r["text"]: [(s.kind, r["text"][s.start : s.end]) for s in r["secrets"]] for r in secret_scan.find_secrets(docs, common=common).collect() if r["text"]}
+    assert [v for k, v in found[secret] if k == "guess"] == ["Vq7RkzLwPmTx", "zkqvwxjpfhbtgd"]
+    assert not [s for t in CLEAN for s in found[t] if s[0] == "guess"]
+    assert secret_scan.common_words(docs.limit(0)) == []
+
+
+def test_planted_secrets_by_precision_and_recall(spark):
+    """Random values are found, sentences of the corpus after the same names are not."""
+    rng = random.Random(5)
+    words = sorted({w for r in spark.read.parquet(f"{DATA}/documents.parquet").select("text").limit(200).collect() for w in re.findall(r"[a-z]{6,12}", r["text"])})
+    signs = string.ascii_letters + string.digits + "!#%&*+"
+    rows = []
+    for i in range(200):
+        name = rng.choice(["pwd: ", "db_pass = ", "login is ", "auth_2=", "my credential: "])
+        rows.append((i, True, f"a {name}{''.join(rng.choices(signs, k=12))} b"))
+        rows.append((200 + i, False, f"a {name}{rng.choice(words)} b"))
+    planted = spark.createDataFrame(rows, "doc_id bigint, secret boolean, text string")
+    common = secret_scan.common_words(spark.read.parquet(f"{DATA}/documents.parquet"))
+    told = secret_scan.find_secrets(planted, common=common).select("secret", (F.size("secrets") > 0).alias("found")).collect()
+    hits = sum(r["found"] for r in told if r["secret"])
+    wrong = sum(r["found"] for r in told if not r["secret"])
+    assert hits / 200 > 0.97 and hits / (hits + wrong) > 0.9
+
+
 def test_names_are_redacted(spark):
     df = spark.createDataFrame([("a\naws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfi\nb",)], "text string")
     assert secret_scan.redact(df).first()[0] == "a\naws_secret_access_key = [SECRET]\nb"
