@@ -38,7 +38,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark."""
-    return _with_text(secret_scan.redact(docs), F.col("text")).select(*map(col, docs.columns))
+    redacted = secret_scan.redact(docs, common=secret_scan.common_words(docs))
+    return _with_text(redacted, F.col("text")).select(*map(col, docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
