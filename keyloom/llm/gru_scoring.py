@@ -27,7 +27,7 @@ from keyloom.llm.gru_model import train as train_pass
 
 HEAD = 1024  # words with a number in the model, the end of a document among them
 TAILS = 32  # classes of all other words
-NEAR = 200_000  # most frequent words whose counts are sent to every task: about 3 MB
+NEAR = 300_000  # most frequent words whose counts are sent to every task: about 5 MB
 ROUNDS = 4
 SHARD_TOKENS = 2_000_000  # that a replica reads in a round, about
 RATE = 0.1
@@ -47,6 +47,11 @@ def tail_of(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % TAILS
 
 
+def tail_column(word):
+    """:func:`tail_of` as a column."""
+    return (F.crc32(F.substring(word, F.greatest(F.octet_length(word) - 2, F.lit(1)), F.lit(3))) % TAILS).cast("int")
+
+
 def is_held_out(key):
     """Documents that are not learnt from; null ids are not, either."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 7 == 2, F.lit(True))
@@ -69,16 +74,16 @@ class Vocabulary:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """``word, tail, n`` of all tokens of ``docs(text)``, the end among them."""
+    """``word, n`` of all tokens of ``docs(text)``, the end among them."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
 
         def handed_on():
             words = list(found)
-            columns = [pa.array(words, pa.binary()), pa.array(map(tail_of, words), pa.int32()), pa.array(found.values(), pa.int64())]
+            columns = [pa.array(words, pa.binary()), pa.array(found.values(), pa.int64())]
             found.clear()
-            return pa.RecordBatch.from_arrays(columns, ["word", "tail", "n"])
+            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
         for batch in batches:
             for text in batch.column(0):
@@ -87,8 +92,8 @@ def count_words(docs: DataFrame) -> DataFrame:
                     yield handed_on()
         yield handed_on()
 
-    rows = docs.select("text").mapInArrow(counted, "word binary, tail int, n bigint")
-    return cut(rows.groupBy("word", "tail").agg(F.sum("n").alias("n")))
+    rows = docs.select("text").mapInArrow(counted, "word binary, n bigint")
+    return cut(rows.groupBy("word").agg(F.sum("n").alias("n")))
 
 
 def read_vocabulary(counts: DataFrame) -> Vocabulary:
@@ -100,7 +105,7 @@ def read_vocabulary(counts: DataFrame) -> Vocabulary:
     numbers = np.array([ends["n"] if ends else 0, *top.column("n").to_pylist()], dtype=np.int64)
     head = set(words[:HEAD])
     mass, once = np.zeros(TAILS, dtype=np.int64), np.zeros(TAILS, dtype=np.int64)
-    for row in counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") == 1, 1)).alias("once")).collect():
+    for row in counts.groupBy(tail_column(F.col("word")).alias("tail")).agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") == 1, 1)).alias("once")).collect():
         mass[row["tail"]], once[row["tail"]] = row["n"], row["once"]
     for word, n in zip(words[:HEAD], numbers.tolist(), strict=False):
         mass[tail_of(word)] -= n if word in head else 0
@@ -109,7 +114,7 @@ def read_vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(words, numbers, mass + unknown, unknown, sums["tokens"] or 0, sums["distinct"] or 0, min(HEAD, len(words)))
 
 
-_ENCODED = "row bigint, key {}, held_out boolean, n_tokens bigint, known bigint, base double, tail double, ids array<smallint>, far array<struct<word: binary, n: int, tail: int>>"
+_ENCODED = "row bigint, key {}, held_out boolean, n_tokens bigint, known bigint, base double, tail double, ids array<smallint>, far array<struct<word: binary, n: int>>"
 
 
 def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -125,7 +130,7 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         tail = np.log10(np.maximum(v.counts, 1) / v.tail_mass[tails])
         tail[: v.head] = 0
         for batch in batches:
-            rows, ids, far, tfs, far_tails, ends = [], [], [], [], [], [0]
+            rows, ids, far, tfs, ends = [], [], [], [], [0]
             for text in batch.column(3):
                 words = words_of(text.as_py())
                 at = np.fromiter(map(find, words, repeat(-1)), np.int32, len(words))
@@ -139,11 +144,10 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     out[places] = np.fromiter(map(classes.__getitem__, unknown), np.int16, len(unknown)) + np.int16(v.head)
                     far.extend(found)
                     tfs.extend(found.values())
-                    far_tails.extend(classes.values())
                 ends.append(len(far))
                 ids.append(out)
                 rows.append((len(words), int((v.counts[near] > 0).sum()), float(base[near].sum()), float(tail[near].sum())))
-            far_words = pa.StructArray.from_arrays([pa.array(far, pa.binary()), pa.array(tfs, pa.int32()), pa.array(far_tails, pa.int32())], ["word", "n", "tail"])
+            far_words = pa.StructArray.from_arrays([pa.array(far, pa.binary()), pa.array(tfs, pa.int32())], ["word", "n"])
             sizes = np.cumsum([0, *map(len, ids)])
             numbers = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int16), pa.int16()))
             told = [pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * 4, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)]
@@ -281,7 +285,7 @@ def log_probabilities(df: DataFrame, key: str = "doc_id", text: str = "text", he
     far = encoded.select("row", F.inline("far"))
     mass, unknown = (F.array(*[F.lit(float(x)) for x in xs]) for xs in (vocabulary.tail_mass, vocabulary.tail_unknown))
     c = F.coalesce(F.col("c"), F.lit(0))
-    at = F.col("tail") + 1
+    at = tail_column(F.col("word")) + 1
     share = F.when(c > 0, c.cast("double")).otherwise(F.element_at(unknown, at)) / F.element_at(mass, at)
     known = counts.select("word", F.col("n").alias("c"))
     sums = (
