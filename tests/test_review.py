@@ -34,7 +34,10 @@ def test_placement_is_exact_and_reads_once(spark):
 def test_key_reads_reach_the_scan(spark):
     assert "EqualTo(c_name" in plan_of(QUERIES["get_row"](spark, "/root/testdata/sf0.01"))
     plan = plan_of(QUERIES["range_scan"](spark, "/root/testdata/sf0.01"))
-    assert "GreaterThanOrEqual(c_name" in plan and "LessThan(c_name" in plan
+    assert "GreaterThanOrEqual(p_brand" in plan and "LessThan(p_brand" in plan
+    plan = plan_of(QUERIES["range_scan_family"](spark, "/root/testdata/sf0.01"))
+    assert "GreaterThanOrEqual(p_brand" in plan and "LessThan(p_brand" in plan
+    assert "EqualTo(event_type,click)" in plan_of(QUERIES["get_row_latest"](spark, "/root/testdata/sf0.01"))
 
 
 def test_ranges_of_numbers_are_in_text_order(spark):
