@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,5 +63,8 @@ def key_filter(dim: DataFrame, rowkey: str, bits: int = FILTER_BITS) -> KeyFilte
     maps = place.groupBy(F.shiftright("at", _PART_BITS).alias("part")).agg(F.expr(f"bitmap_construct_agg(at & {(1 << _PART_BITS) - 1})").alias("bitmap"))
     held = maps.select("part", "bitmap", F.bitmap_count("bitmap").alias("n")).toArrow()
     filled = sum(held.column("n").to_pylist()) / (1 << bits)
-    words = F.transform(F.sequence(F.lit(0), F.lit((1 << _PART_BITS) // 64 - 1)), lambda i: F.conv(F.hex(F.substring(F.col("bitmap"), i * 8 + 1, F.lit(8))), 16, -10).cast("bigint"))
-    return KeyFilter(dim.sparkSession.createDataFrame(held.drop_columns(["n"])).select("part", words.alias("words")), bits, filled)
+    words = [np.frombuffer(bitmap, ">i8") for bitmap in held.column("bitmap").to_pylist()]
+    offsets = np.arange(len(words) + 1, dtype=np.int32) * ((1 << _PART_BITS) // 64)
+    flat = np.concatenate(words).astype(np.int64) if words else np.zeros(0, np.int64)
+    parts = pa.table({"part": held.column("part"), "words": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
+    return KeyFilter(dim.sparkSession.createDataFrame(parts), bits, filled)
