@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,36 @@ def _salted(left: DataFrame, key: str, right: DataFrame, rowkey: str, on, how: s
     return left.join(right, on & (F.col(salt) == F.col(right_salt)), how).drop(salt, right_salt)
 
 
+@dataclass(frozen=True)
+class StoredSalt:
+    """The salt that the left side was bucketed with besides its key.
+
+    ``column`` holds it, ``hot`` lists the hot keys (``hot_key``, at most 10,000) and how many ``salts`` each
+    has, and ``right`` is the right side's salt, if its rows were copied to their salts already.
+    """
+
+    column: str
+    hot: DataFrame
+    right: str | None = None
+
+
+def salt_copies(right: DataFrame, rowkey: str, hot: DataFrame, column: str) -> DataFrame:
+    """``right`` with each row once for every salt of its key, in ``column``; rows of keys that are not hot have salt 0."""
+    key, salts = free_name(right.columns, "__hot_key"), free_name(right.columns, "__salts")
+    listed = F.broadcast(hot.select(F.col("hot_key").alias(key), F.col("salts").alias(salts)))
+    every = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(salts), F.lit(1)) - 1)
+    return right.join(listed, text_key(named(rowkey)) == F.col(key), "left").withColumn(column, F.explode(every)).drop(key, salts)
+
+
+def _join_stored(left: DataFrame, right: DataFrame, rowkey: str, on, how: str, salt: StoredSalt) -> DataFrame:
+    """The join by key and stored salt, for which a ``left`` bucketed by both is not shuffled."""
+    right_salt = salt.right
+    if right_salt is None:
+        right_salt = free_name([*left.columns, *right.columns], "__right_salt")
+        right = salt_copies(right, rowkey, salt.hot, right_salt)
+    return left.join(right, on & (named(salt.column) == named(right_salt)), how)
+
+
 def _without_match(free: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """Left rows that match nothing, as the join gives them back."""
     if how == "left":
@@ -56,6 +87,7 @@ def join_by_key(
     broadcast_limit: int | None = None,
     measured: DataFrame | None = None,
     unknown_share: float | None = None,
+    stored_salt: StoredSalt | None = None,
 ) -> DataFrame:
     """Join ``left`` with the one ``right`` row per key; ``how`` is left, left_semi or left_anti.
 
@@ -76,6 +108,7 @@ def join_by_key(
     * ``partitions``: the rows are placed in that many partitions, the keyless and
       hot ones spread over them; hot keys are looked for if none are given. Spark raises a number below ``spark.sql.shuffle.partitions``
       to that.
+    * ``stored_salt``: ``left`` is bucketed by key and salt and is not shuffled; hot keys are spread as stored.
     * none of these: one plain join; Spark's size statistics and adaptive skew
       handling decide.
 
@@ -94,7 +127,9 @@ def join_by_key(
     if broadcast_limit is not None and fits_in_broadcast(whole if measured is None else measured, broadcast_limit):
         if partitions:
             left = repartition_by_key(left, key, partitions, hot_keys)
-        return left.join(F.broadcast(right), on, how)
+        if stored_salt and stored_salt.right:
+            right = right.where(named(stored_salt.right) == 0)  # of the copies one each
+        return _unsalted(left.join(F.broadcast(right), on, how), left, right, how, stored_salt)
     unknown = None
     if unknown_share is not None:
         known = key_filter(whole if measured is None else measured, rowkey)
@@ -103,10 +138,24 @@ def join_by_key(
             marked = known.mark(left, key, mark)
             unknown = _without_match(marked.where(~F.col(mark)).drop(mark), right, how)
             left, split_null_keys = marked.where(F.col(mark)).drop(mark), False
-    joined = _join(left, key, right, rowkey, on, how, hot_keys, hot_share, split_null_keys, partitions, broadcast_limit)
+    if stored_salt is not None:
+        joined = _unsalted(_join_stored(left, right, rowkey, on, how, stored_salt), left, right, how, stored_salt)
+        unknown = None if unknown is None else _unsalted(unknown, left, right, how, stored_salt)
+    else:
+        joined = _join(left, key, right, rowkey, on, how, hot_keys, hot_share, split_null_keys, partitions, broadcast_limit)
     return joined if unknown is None or how == "left_semi" else joined.unionByName(unknown)
 
 
+def _unsalted(joined: DataFrame, left: DataFrame, right: DataFrame, how: str, salt: StoredSalt | None) -> DataFrame:
+    """The columns of the two sides without their salts."""
+    if salt is None:
+        return joined
+    kept = [c for c in left.columns if c != salt.column]
+    if how == "left":
+        kept += [c for c in right.columns if c != salt.right]
+    return joined.select(*map(named, kept))
+
+
 def _join(left, key, right, rowkey, on, how, hot_keys, hot_share, split_null_keys, partitions, broadcast_limit) -> DataFrame:
     free_share = 1.0
     if partitions and hot_share is None and not hot_keys:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.codec import as_text
 from keyloom.functions.keys import free_name, named
-from keyloom.operators.keyjoin import join_by_key
+from keyloom.operators.keyjoin import StoredSalt, join_by_key
 
 Field = str | tuple[str, str]
 
@@ -54,6 +55,7 @@ def lookup_enrich(
     hot_keys: Sequence[str] = (),
     hot_share: float | None = None,
     unknown_share: float | None = None,
+    stored_salt: StoredSalt | None = None,
 ) -> DataFrame:
     """Append columns of a keyed dimension to ``main``.
 
@@ -71,7 +73,7 @@ def lookup_enrich(
     The other options and their plans are those of :func:`~keyloom.operators.keyjoin.join_by_key`.
     """
     pairs = _pairs(fields)
-    main_columns = [c for c in main.columns if c != key]
+    main_columns = [c for c in main.columns if c != key and not (stored_salt and c == stored_salt.column)]
     aliases = [a for _, a in pairs]
     same = str if main.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
     taken = [same(c) for c in [*main_columns, *aliases]]
@@ -90,7 +92,14 @@ def lookup_enrich(
     held = {f: free_name(main.columns, f"__dim_{i}") for i, f in enumerate(names)}
     row = as_text(named(rowkey), types[rowkey]).alias(row_name)
     values = [as_text(named(f), types[f]).alias(held[f]) for f in names]
-    right = every = dim.select(row, *values)
+    copies = []
+    if stored_salt and stored_salt.right:
+        if order_by_version is not None:
+            raise ValueError("rows that were copied to their salts have no versions")
+        held_salt = free_name(main.columns, "__dim_salt")
+        copies = [named(stored_salt.right).alias(held_salt)]
+        stored_salt = replace(stored_salt, right=held_salt)
+    right = every = dim.select(row, *values, *copies)
     if order_by_version is not None:
         # Keys are text before they are grouped: the join then reuses that shuffle.
         versions = dim.select(row, *values, named(order_by_version).alias(version))
@@ -110,6 +119,7 @@ def lookup_enrich(
         broadcast_limit=broadcast_limit,
         unknown_share=unknown_share,
         measured=every,  # an upper bound that needs no reduction of versions
+        stored_salt=stored_salt,
     )
     out = joined.select(
         *map(named, main_columns),

@@ -23,6 +23,11 @@ def split_by_key(df: DataFrame, key: str, hot_keys: Sequence[str] = ()) -> tuple
     return df.where(has_key(column) & ~hot), df.where(no_key(column) | hot)
 
 
+def row_hash(df: DataFrame):
+    """A hash of all columns that can be hashed, which maps cannot."""
+    return F.xxhash64(*[named(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"])
+
+
 def spreading_salt(df: DataFrame, key: str, hot_keys: Sequence[str] = ()):
     """0 for rows that belong with their key; a hash of all columns for rows without a key or with a hot one.
 
@@ -30,8 +35,7 @@ def spreading_salt(df: DataFrame, key: str, hot_keys: Sequence[str] = ()):
     """
     column = named(key)
     free = no_key(column) | text_key(column).isin(list(hot_keys)) if hot_keys else no_key(column)
-    hashable = [named(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
-    return F.when(free, F.xxhash64(*hashable)).otherwise(F.lit(0).cast("bigint"))
+    return F.when(free, row_hash(df)).otherwise(F.lit(0).cast("bigint"))
 
 
 def repartition_by_key(df: DataFrame, key: str, partitions: int, hot_keys: Sequence[str] = ()) -> DataFrame:

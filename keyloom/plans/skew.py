@@ -11,6 +11,8 @@ from keyloom.functions.keys import named, nullif_empty, text_key
 
 # Default share of the keyed rows from which a key counts as hot.
 HOT_SHARE = 0.002
+# Least share that can be asked for; its inverse bounds the number of hot keys.
+LEAST_SHARE = 1e-4
 
 # Sketches merge in two steps, so no single task has to read one per scan task.
 _MERGE_GROUPS = 256
@@ -18,11 +20,15 @@ _MERGE_GROUPS = 256
 
 @dataclass(frozen=True)
 class KeyShares:
-    """``hot_keys`` hold the asked-for share of the keyed rows each, and together about ``hot`` of all rows; ``keyless`` is the share of rows without a key."""
+    """``hot_keys`` hold the asked-for share of the keyed rows each, and together about ``hot`` of all rows; ``keyless`` is the share of rows without a key.
+
+    ``shares`` has the hot keys with about the share of all rows that each holds.
+    """
 
     hot_keys: list[str] = field(default_factory=list)
     keyless: float = 0.0
     hot: float = 0.0
+    shares: dict[str, float] = field(default_factory=dict)
 
 
 def key_shares(df: DataFrame, key: str, share: float = HOT_SHARE) -> KeyShares:
@@ -33,7 +39,7 @@ def key_shares(df: DataFrame, key: str, share: float = HOT_SHARE) -> KeyShares:
     answer steers the plan alone: a key missed or named needlessly changes no
     result.
     """
-    if not 1e-4 <= share <= 1:
+    if not LEAST_SHARE <= share <= 1:
         raise ValueError(f"share must be in [0.0001, 1], got {share}")
     most = int(1 / share)
     tracked = 8 * most  # keeps the sketch error well below one share
@@ -61,7 +67,7 @@ def key_shares(df: DataFrame, key: str, share: float = HOT_SHARE) -> KeyShares:
         return KeyShares()
     hot = {t["item"]: t["count"] for t in found["top"] if t["count"] >= share * found["n_keyed"]}
     n_rows = found["n_rows"]
-    return KeyShares(sorted(hot), (n_rows - found["n_keyed"]) / n_rows, sum(hot.values()) / n_rows)
+    return KeyShares(sorted(hot), (n_rows - found["n_keyed"]) / n_rows, sum(hot.values()) / n_rows, {k: n / n_rows for k, n in hot.items()})
 
 
 def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[str]:

@@ -164,6 +164,11 @@ ORACLE |= {
          from H join latest on nullif(H.customer_index_rowkey_id, '') = latest.rowkey
          where latest.o_orderpriority is not null and H.o_totalprice > 1000""",
     "ranged_upsert": f"select * from ({_UPSERT_CELLS}) where rowkey not in (select cast(s_suppkey as varchar) from supplier)",
+    "lookup_salted": ORACLE["lookup_hot_key"],
+    "lookup_salted_both": f"select * from ({ORACLE['lookup_hot_key']}) where seg is not null",
+    "cells_compacted": ORACLE["cells_latest"],
+    "cells_compacted_wide": ORACLE["cells_to_wide"],
+    "cells_compacted_delta": _UPSERT_CELLS,
     "sink_append_even": _LEFT,
     "job_run_id": _MK + f"select *, 'first' as run_id from ({_LEFT_BODY} where K.c_mktsegment is not null)",
 }

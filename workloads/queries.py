@@ -327,6 +327,51 @@ def ranged_upsert(spark, sf_dir):
     return kl.ranged_rows(spark, name).drop("ts")
 
 
+def _salted(spark, sf_dir):
+    """The main table with a hot key, stored with its salts: name, buckets."""
+    name, path = new_table(spark, "salted")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kl.save_salted(kl.project_main(fx.main_h(spark, sf_dir), MAIN_COLUMNS, fx.KEY), name, buckets, fx.KEY, path=path)
+    return name, buckets
+
+
+def lookup_salted(spark, sf_dir):
+    """A main table stored by key and salt meets the dimension without being shuffled."""
+    name, _ = _salted(spark, sf_dir)
+    return kl.lookup_salted(spark, name, fx.dim_k(spark, sf_dir), fx.KEY, DIM_FIELDS)
+
+
+def lookup_salted_both(spark, sf_dir):
+    """The dimension stored to match as well: neither side is shuffled."""
+    name, buckets = _salted(spark, sf_dir)
+    dim, path = new_table(spark, "salted_dim")
+    kl.save_salted_dimension(fx.dim_k(spark, sf_dir), dim, name, buckets, path=path)
+    return kl.lookup_salted(spark, name, spark.table(dim), fx.KEY, DIM_FIELDS, require=["seg"])
+
+
+def _compacted(spark, cells):
+    name, path = new_table(spark, "compact")
+    kl.compact_cells(cells, name, int(spark.conf.get("spark.sql.shuffle.partitions")), path=path)
+    return name
+
+
+def cells_compacted(spark, sf_dir):
+    """The latest cells, read from a compacted table by a plain scan."""
+    return kl.compacted_cells(spark, _compacted(spark, fx.cells_e(spark, sf_dir)))
+
+
+def cells_compacted_wide(spark, sf_dir):
+    """Columns made of the rows of a compacted table, where they are."""
+    cells = kl.compacted_cells(spark, _compacted(spark, fx.cells_e(spark, sf_dir)))
+    return kl.cells_to_wide(cells, ["click", "error", "purchase", "signup", "view"])
+
+
+def cells_compacted_delta(spark, sf_dir):
+    """Puts merged with a compacted table as it is read."""
+    name = _compacted(spark, fx.cells_c(spark, sf_dir))
+    return kl.compacted_cells(spark, name, fx.puts_p_cells(spark, sf_dir)).drop("ts")
+
+
 def _empty_sink(spark, kind):
     name, path = new_table(spark, kind)
     spark.sql(f"CREATE TABLE {name} ({SINK_COLUMNS}) USING parquet LOCATION '{path}'")
@@ -452,6 +497,11 @@ QUERIES: dict[str, Query] = {
         lookup_unknown_not_null,
         lookup_view_sql,
         ranged_upsert,
+        lookup_salted,
+        lookup_salted_both,
+        cells_compacted,
+        cells_compacted_wide,
+        cells_compacted_delta,
         sink_append_even,
         job_run_id,
         delete_rows,
