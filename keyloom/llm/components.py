@@ -18,7 +18,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     pairs = edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
     if large:
         pairs = pairs.unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    least = pairs.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("least"))
+    # Written, not reused as an aggregate: adaptive execution splits a node with very many links only between two plain shuffles.
+    least = cut(pairs.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("least")))
     moved = pairs.join(least, "node")
     if large:
         return _toward_smaller(moved.where("other > node").select(F.col("other").alias("a"), F.col("least").alias("b")))
@@ -31,7 +32,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each step is written to the shared folder. Their number grows with the logarithm of
     the nodes; nothing but a count and a checksum comes to the driver. Minima are
-    combined before they are shuffled, so a node with very many links sends few rows.
+    combined before they are shuffled, so a node with very many links sends few rows, and its links are
+    split over tasks when they meet the minimum.
     """
     edges = cut(_toward_smaller(links.select(F.col(a).alias("a"), F.col(b).alias("b"))))
 

@@ -148,7 +148,7 @@ def _first_of_class(rows: DataFrame, most: int) -> DataFrame:
     distinct = cut(rows.groupBy("fp").agg(F.min("key").alias("least")))
     roots = components(linked_fingerprints(distinct, most=most)).select(F.col("node").alias("fp"), "root")
     classes = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    first = classes.groupBy("root").agg(F.min("least").alias("first"))
+    first = cut(classes.groupBy("root").agg(F.min("least").alias("first")))  # so that a class of very many fingerprints is split in the join
     return classes.join(first, "root").select("fp", "first")
 
 
