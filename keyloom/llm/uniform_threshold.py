@@ -14,15 +14,15 @@ the tasks is bounded whatever the number of queries.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import col, cut
+from keyloom.llm.common import col, cut, shared_folder
 
 SCALE = 256
 SLICES = 2
@@ -165,14 +165,16 @@ def top_k(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
     different lengths are compared as if filled up with zeros. Repeated candidates are
     ranked each; of repeated queries one is asked. Extra columns play no part.
 
-    Each block of queries reads the table twice. Tasks pass on at most ``k`` rows per
+    Each block of queries reads the table twice; more blocks than one append their results to a new folder
+    ``top-k-*`` in the shared one, which is read once and stays there. Tasks pass on at most ``k`` rows per
     query and slice, so shuffles grow with tasks and queries, not with pairs.
     """
     spark = df.sparkSession
     rows = integer_vectors(df, key, vector)
     queries = cut(rows.where(F.col("key") % every == 0).groupBy("key").agg(F.min("v").alias("v")))
     n_blocks = max(1, -(-queries.count() // block))
-    results = []
+    folder, schema = f"{shared_folder(spark)}/top-k-{uuid.uuid4().hex}", "query_id bigint, rank int, key bigint, score bigint"
+    results = spark.createDataFrame([], schema)
     for b in range(n_blocks):
         asked = queries.where(F.pmod(F.xxhash64("key"), F.lit(n_blocks)) == b).orderBy("key").collect()  # about `block` rows
         if not asked:
@@ -182,7 +184,10 @@ def top_k(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
         limits = spark.sparkContext.broadcast(_thresholds(gathered, len(asked), slices, k))
         found = rows.mapInArrow(_collect(sent, limits, k), "query_id bigint, key bigint, score bigint")
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "key"))
-        found = found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("key").alias(key), "score")
-        results.append(cut(found) if n_blocks > 1 else found)
-    empty = spark.createDataFrame([], f"query_id bigint, rank int, `{key}` bigint, score bigint")
-    return reduce(DataFrame.unionByName, results, empty) if not results else reduce(DataFrame.unionByName, results)
+        found = found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "key", "score")
+        if n_blocks == 1:
+            results = found
+        else:
+            found.write.mode("append").parquet(folder)
+            results = spark.read.schema(schema).parquet(folder)
+    return results.select("query_id", "rank", F.col("key").alias(key), "score")
