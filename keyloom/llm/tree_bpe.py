@@ -5,7 +5,7 @@ around their boundary. The window grows until the tokens on both of its edges
 provably stay: a token sequence is the encoding of its bytes exactly if each two
 neighbours in it are the encoding of their own bytes. (The merges of the whole, up to the
 first that would cross a token boundary, are on either side those of the pair
-alone, which does not cross it.) Decoding is concatenation.
+alone, which does not cross it.) Decoding concatenates up a tree of halves.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from keyloom.llm.common import col
 from keyloom.llm.pretokens import Memo, Splitter
 
 _LEAF = 8  # bytes that are merged directly
+_RUN = 1024  # ids that are a leaf of the decoding tree
+_RANK_BITS = 32
 _LONG_MATCH = 64  # characters of a match beyond which it is not remembered
 _KEPT_MATCHES = 300_000  # encoded matches, and small parts and pairs of tokens, that a task remembers
 _KEPT = 100_000
@@ -46,7 +48,7 @@ class TreeBpe:
         self.leaf, self.word = leaf, {rank: token for token, rank in ranks.items()}
         self.merged = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
         self.leaves = Memo(self.merged, _KEPT)
-        self.pairs = Memo(lambda pair: self.merged(self.word[pair[0]] + self.word[pair[1]]), _KEPT)
+        self.pairs = Memo(self._pair, _KEPT)
 
     def encode(self, data: bytes) -> list[int]:
         """Tokens of ``data``: small parts directly, larger ones as two joined halves."""
@@ -55,16 +57,22 @@ class TreeBpe:
         middle = len(data) // 2
         return self.join(self.encode(data[:middle]), self.encode(data[middle:]))
 
+    def _pair(self, pair: int) -> list[int] | None:
+        """The encoding of two tokens, packed in one number, or None where it is the two."""
+        left, right = pair >> _RANK_BITS, pair & (1 << _RANK_BITS) - 1
+        found = self.merged(self.word[left] + self.word[right])
+        return None if found == [left, right] else found
+
     def stays(self, left: int, right: int) -> bool:
         """True if no merge crosses the boundary of these two neighbours."""
-        return self.pairs[left, right] == [left, right]
+        return self.pairs[left << _RANK_BITS | right] is None
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbours that are encoded themselves."""
         if not left or not right:
             return left or right
-        window = self.pairs[left[-1], right[0]]
-        if window == [left[-1], right[0]]:
+        window = self.pairs[left[-1] << _RANK_BITS | right[0]]
+        if window is None:
             return left + right
         before = after = 1
         while True:
@@ -119,7 +127,14 @@ def encode(df: DataFrame, text: str = "text", into: str = "ids", path: str = RAN
 
 def _decoder(ranks: dict[bytes, int]):
     word = {rank: token for token, rank in ranks.items()}.__getitem__
-    return lambda ids: b"".join(map(word, ids.tolist()))
+
+    def concatenated(ids: np.ndarray) -> bytes:
+        if len(ids) <= _RUN:
+            return b"".join(map(word, ids.tolist()))
+        middle = len(ids) // 2
+        return concatenated(ids[:middle]) + concatenated(ids[middle:])
+
+    return concatenated
 
 
 def decode(df: DataFrame, ids: str = "ids", into: str = "decoded", path: str = RANKS_PATH) -> DataFrame:
