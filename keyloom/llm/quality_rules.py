@@ -9,10 +9,12 @@ lines held.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,15 +27,31 @@ SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\v\f\r"
 
 _SHORT_LINE = 10  # words; a shorter line must end like a sentence
-_TERMINAL = ".!?…:;。！？"
+# What ends a sentence in any script, and what else may end a line of prose.
+_SENTENCE_END = frozenset(regex.findall(r"\p{Sentence_Terminal}", "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))))
+_TERMINAL = _SENTENCE_END | set("…:;")
 _CLOSING = "\"')]}”’»* "
 _SEPARATORS = re.compile(r"[|»›·•>]")
 _BOILERPLATE_PERCENT = 15  # of a line that is not short
-_BOILERPLATE = re.compile(
-    r"(?i)\b(?:copyright\s*(?:\(c\)|©)|(?:all rights reserved|copyright\s*\d{4}|licen[sc]ed under|privacy policy|cookie policy|we use cookies|accept cookies|"
+_ENGLISH = (
+    r"all rights reserved|copyright\s*\d{4}|licen[sc]ed under|privacy policy|cookie policy|we use cookies|accept cookies|"
     r"terms of (?:use|service)|terms and conditions|enable javascript|javascript is (?:disabled|required)|click here|read more|"
-    r"sign (?:in|up) (?:to|for)|log in to|subscribe to|share (?:on|this)|follow us|powered by|lorem ipsum|skip to content)\b)"
+    r"sign (?:in|up) (?:to|for)|log in to|subscribe to|share (?:on|this)|follow us|powered by|lorem ipsum|skip to content"
 )
+_GERMAN = (
+    r"alle rechte vorbehalten|datenschutz(?:erklärung|bestimmungen|hinweise)?|impressum|wir verwenden cookies|cookies (?:akzeptieren|zulassen)|"
+    r"nutzungsbedingungen|allgemeine geschäftsbedingungen|javascript aktivieren|hier klicken|klicken sie hier|mehr lesen|weiterlesen|"
+    r"newsletter abonnieren|teilen auf|folgen sie uns|zum inhalt springen"
+)
+_FRENCH = (
+    r"tous droits réservés|politique de confidentialité|nous utilisons des cookies|accepter les cookies|conditions (?:générales )?d['’]utilisation|"
+    r"mentions légales|activer javascript|cliquez ici|lire la suite|en savoir plus|abonnez-vous à|partager sur|suivez-nous|propulsé par|aller au contenu"
+)
+_SPANISH = (
+    r"todos los derechos reservados|política de (?:privacidad|cookies)|utilizamos cookies|aceptar (?:las )?cookies|términos (?:de uso|y condiciones)|"
+    r"aviso legal|activar javascript|haga clic aquí|haz clic aquí|leer más|seguir leyendo|suscríb(?:ase|ete) a|compartir en|síg(?:uenos|anos)|ir al contenido"
+)
+_BOILERPLATE = re.compile(rf"(?i)\b(?:copyright\s*(?:\(c\)|©)|(?:{_ENGLISH}|{_GERMAN}|{_FRENCH}|{_SPANISH})\b)")
 
 
 def is_boilerplate(line: str, n: int) -> bool:
@@ -56,8 +74,9 @@ def line_fault(line: str) -> str | None:
         return "symbols"
     if n >= 5 and (3 * line.count("!") > n or 10 * sum(w.isupper() and len(w) > 1 for w in words) > 6 * n):
         return "shouting"
-    ended = line.rstrip(_CLOSING)[-1:] in _TERMINAL
-    if not ended and (n < _SHORT_LINE or not any(c in line for c in ".!?。")):
+    last = line.rstrip(_CLOSING)[-1:]
+    ended = not last or last in _TERMINAL
+    if not ended and (n < _SHORT_LINE or _SENTENCE_END.isdisjoint(line)):
         return "punctuation"
     return None
 
