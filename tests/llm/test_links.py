@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from keyloom.llm import components, quality_rules, queries, quotes, secret_scan, simhash_anchors, toxicity, uniform_threshold
+from tests.helpers import plan_of, settings
 
 DATA = "/root/testdata/sf0.01"
 
@@ -46,6 +47,19 @@ def test_components(spark):
     assert got == roots_of(links, {n for link in links for n in link})
 
 
+def test_a_hot_node_is_split(spark):
+    """All links of one node, dealt by that node, meet its minimum in more tasks than one."""
+    edges = spark.range(1, 300_000, 1, 8).select(F.col("id").alias("a"), F.lit(0).cast("bigint").alias("b"))
+    with settings(
+        spark, autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", adaptive__skewJoin__skewedPartitionThresholdInBytes="64k", adaptive__advisoryPartitionSizeInBytes="64k"
+    ):
+        star = components._star(edges, large=False)
+        assert star.count() == 299_999
+        star = components._star(edges.unionByName(spark.range(1, 300_000).select(F.lit(300_001).cast("bigint").alias("a"), F.col("id").alias("b"))), large=False)
+        star.collect()
+        assert "skew=true" in star._jdf.queryExecution().executedPlan().toString()
+
+
 def test_golay_covers(spark):
     words = np.arange(1 << 14, dtype=np.int64) * 509 % (1 << 23)
     at, codeword, distance = simhash_anchors._near(words, 3)
@@ -104,6 +118,16 @@ def test_top_k_by_brute_force(spark, block):
     assert got == brute_top(rows, 50, 5)
 
 
+def test_many_blocks_are_one_scan(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(2)
+    found = uniform_threshold.top_k(df, every=3, block=1)
+    plan = plan_of(found)
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+    assert sorted(tuple(r) for r in found.collect()) == brute_top(rows, 3, 5)
+
+
 def test_top_k_edge_cases(spark):
     rows = [(0, [1.0, -2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0]), (5, [3.0]), (6, []), (7, [1e12, 1e12])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit(1))

@@ -170,6 +170,16 @@ def test_quality_rules_agree_with_labels(spark):
         ("a*** b*** c*** d*** e*** f.", "symbols"),
         ("THIS IS!! ALL!! VERY!! LOUD!! HERE!!", "shouting"),
         ("Just a heading", "punctuation"),
+        ("))", None),
+        ("यह एक पूरा वाक्य है।", None),
+        ("هل هذه جملة كاملة؟", None),
+        ("これは文です。", None),
+        ("Nur eine Überschrift", "punctuation"),
+        ("Tous droits réservés.", "boilerplate"),
+        ("Datenschutz beachten.", "boilerplate"),
+        ("Todos los derechos reservados.", "boilerplate"),
+        ("Der Datenschutz ist ein Grundrecht, über das in jeder Sitzung des Rates lange gestritten wurde, bis alle müde waren.", None),
+        ("Pour en savoir plus, il faut lire les vingt volumes que l'auteur a laissés à sa mort dans cette maison près du fleuve.", None),
     ],
 )
 def test_line_rules(line, fault):

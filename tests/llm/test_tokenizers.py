@@ -84,6 +84,15 @@ def test_tree_bpe_equals_library_and_round_trips(frame):
     assert all(bytes(r["decoded"]) == (r["text"] or "").encode() for r in two)
 
 
+@pytest.mark.parametrize("n", [0, 1, 1024, 1025, 5000])
+def test_decoding_goes_up_the_tree(n):
+    ranks = read_ranks(RANKS_PATH)
+    rng, words = random.Random(n), list(ranks)
+    ids = np.array([ranks[rng.choice(words)] for _ in range(n)], dtype=np.int32)
+    word = {rank: token for token, rank in ranks.items()}
+    assert tree_bpe._decoder(ranks)(ids) == b"".join(word[i] for i in ids.tolist())
+
+
 @pytest.mark.parametrize("leaf", [1, 3, 8])
 def test_join_is_a_monoid(leaf):
     """Whatever the split, joined parts are the encoding of the whole, by plain merging."""
