@@ -51,7 +51,18 @@ _SPANISH = (
     r"todos los derechos reservados|política de (?:privacidad|cookies)|utilizamos cookies|aceptar (?:las )?cookies|términos (?:de uso|y condiciones)|"
     r"aviso legal|activar javascript|haga clic aquí|haz clic aquí|leer más|seguir leyendo|suscríb(?:ase|ete) a|compartir en|síg(?:uenos|anos)|ir al contenido"
 )
-_BOILERPLATE = re.compile(rf"(?i)\b(?:copyright\s*(?:\(c\)|©)|(?:{_ENGLISH}|{_GERMAN}|{_FRENCH}|{_SPANISH})\b)")
+
+
+def _by_letter(phrases: str) -> str:
+    """The alternatives at the bars outside of brackets, grouped by their first letter, so that most words are passed over at once."""
+    groups: dict[str, list[str]] = {}
+    for phrase in re.findall(r"(?:\([^)]*\)\??|[^|(])+", phrases):
+        groups.setdefault(phrase[0], []).append(phrase[1:])
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in sorted(groups.items()))
+
+
+_PHRASES = _by_letter("|".join((_ENGLISH, _GERMAN, _FRENCH, _SPANISH)))
+_BOILERPLATE = re.compile(rf"(?i)\b(?:copyright\s*(?:\(c\)|©)|(?:{_PHRASES})\b)")
 
 
 def is_boilerplate(line: str, n: int) -> bool:
