@@ -16,7 +16,7 @@ HIDDEN = 12
 CLASS_SIZE = 32  # words of a class
 # Documents that are read side by side, and tokens of a window; gradients stop at its start, the state does not.
 LANES, STEPS = 256, 16
-SCORED_LANES, SCORED_STEPS = 128, 32
+SCORED_LANES, SCORED_STEPS = 256, 32
 _FILLED = 8  # windows that lanes are filled for at a time
 SEGMENT = 4096  # training reads a longer document as several, so that lanes end about together
 _LN10 = np.float32(np.log(10))
@@ -69,8 +69,9 @@ class Gru:
         """States after each token of ``given`` (steps x lanes), and what the way back needs if ``back``."""
         p, k = self.p, h.shape[1]
         steps, lanes = given.shape
-        xs = p["x"][given] + p["b"]
-        xs[:, :, 2 * k :] -= p["b"][2 * k :]
+        by_token = p["x"] + p["b"]
+        by_token[:, 2 * k :] -= p["b"][2 * k :]
+        xs = by_token.take(given, axis=0)
         states = np.empty((steps, lanes, k), dtype=np.float32)
         kept = {name: np.empty((steps, lanes, k), dtype=np.float32) for name in ("before", "z", "r", "n", "a") if back}
         fresh = reset.any(axis=1)
@@ -119,32 +120,39 @@ class Gru:
             slopes["states"] = logits @ p["wc"].T
             slopes["wo"], slopes["bo"] = np.zeros_like(p["wo"]), np.zeros_like(p["bo"])
         order = np.argsort(cls.astype(np.int16), kind="stable")  # by radix
-        ends = np.cumsum(np.bincount(cls, minlength=self.classes)[: self.classes]).tolist()
-        start = 0
-        for c, end in enumerate(ends):
-            if end > start:
-                at = order[start:end]
-                low = c * CLASS_SIZE
-                block = slice(low, low + CLASS_SIZE)
-                h = states[at]
-                logits = h @ p["wo"][block].T
-                logits += p["bo"][block]
-                if not small:
-                    logits -= logits.max(axis=1, keepdims=True)
-                mine = tokens[at] - low
-                rows = np.arange(end - start)
-                own = logits[rows, mine]
-                np.exp(logits, out=logits)
-                total = logits.sum(axis=1)
-                found[at] += own - np.log(total)
-                if slopes is not None:
-                    logits /= total[:, None]
-                    logits[rows, mine] -= 1
-                    if weight is not None:
-                        logits *= weight[at][:, None]
-                    slopes["wo"][block], slopes["bo"][block] = logits.T @ h, logits.sum(axis=0)
-                    slopes["states"][at] += logits @ p["wo"][block]
-                start = end
+        edges = np.cumsum(np.bincount(cls, minlength=self.classes)[: self.classes]).tolist()
+        edges.insert(0, 0)
+        whole = self.words // CLASS_SIZE
+        # Classes of one size go through the softmax together, their rows side by side.
+        for own_classes, size in ((range(whole), CLASS_SIZE), (range(whole, self.classes), self.words % CLASS_SIZE)):
+            first, last = edges[own_classes.start], edges[own_classes.stop]
+            if first == last:
+                continue
+            at = order[first:last]
+            h = states[at]
+            logits = np.empty((last - first, size), dtype=np.float32)
+            parts = [(slice(edges[c] - first, edges[c + 1] - first), slice(c * CLASS_SIZE, c * CLASS_SIZE + size)) for c in own_classes if edges[c + 1] > edges[c]]
+            for part, block in parts:
+                np.matmul(h[part], p["wo"][block].T, out=logits[part])
+                logits[part] += p["bo"][block]
+            if not small:
+                logits -= logits.max(axis=1, keepdims=True)
+            mine = tokens[at] % CLASS_SIZE
+            rows = np.arange(last - first)
+            own = logits[rows, mine]
+            np.exp(logits, out=logits)
+            total = logits.sum(axis=1)
+            found[at] += own - np.log(total)
+            if slopes is not None:
+                logits /= total[:, None]
+                logits[rows, mine] -= 1
+                if weight is not None:
+                    logits *= weight[at][:, None]
+                back = np.empty_like(h)
+                for part, block in parts:
+                    slopes["wo"][block], slopes["bo"][block] = logits[part].T @ h[part], logits[part].sum(axis=0)
+                    np.matmul(logits[part], p["wo"][block], out=back[part])
+                slopes["states"][at] += back
         return found
 
     def slopes(self, given: np.ndarray, wanted: np.ndarray, reset: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray, float]:
@@ -179,7 +187,7 @@ class Gru:
         flat = flat.copy()
         flat[:, 2 * k :] = d_n.reshape(-1, k)
         at = given.ravel()
-        order = np.argsort(at, kind="stable")
+        order = np.argsort(at.astype(np.int16), kind="stable")
         at = at[order]
         starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         out["x"] = (at[starts], np.add.reduceat(flat[order], starts, axis=0))

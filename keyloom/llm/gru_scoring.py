@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +32,26 @@ SHARD_TOKENS = 2_000_000  # that a replica reads in a round, about
 RATE = 0.1
 _FAN_IN = 32  # replicas that are averaged in one group: 13 MB
 _DISTINCT = 400_000  # different words that a task counts before it hands them on
+_PIECE = 4 << 20  # bytes of text that are split into words at once; a longer text is a piece of its own
 END = b""  # a token like others; no word is empty
-_TABLE = bytes(32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between blanks, A-Z in lower case, then the end."""
-    return [*(text or "").encode("utf-8", "replace").translate(_TABLE).split(), END]
+def _pieces(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in pieces of about ``_PIECE`` bytes of the column ``text``."""
+    ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(), dtype=np.int64)
+    edges = [0, *(np.flatnonzero(np.diff(ends // _PIECE)) + 1).tolist(), len(ends)]
+    for start, end in zip(edges, edges[1:], strict=False):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words between blanks of all ``texts``, A-Z in lower case, each text's followed by the end; where each text begins, and the last ends."""
+    texts.validate(full=True)  # raises if a text is not UTF-8
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("")))
+    ended = pc.if_else(pc.equal(trimmed, ""), trimmed, pc.binary_join_element_wise(trimmed, "", " "))
+    words = pc.ascii_split_whitespace(ended)
+    return words.flatten().cast(pa.binary()), words.offsets.to_numpy()
 
 
 def tail_of(word: bytes) -> int:
@@ -47,6 +59,13 @@ def tail_of(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % TAILS
 
 
+def tails_of(words: pa.Array) -> np.ndarray:
+    """:func:`tail_of` of each word."""
+    endings = pc.binary_slice(words, -3).dictionary_encode()
+    classes = np.array([*map(tail_of, endings.dictionary.to_pylist())], dtype=np.int16)
+    return classes[endings.indices.to_numpy()]
+
+
 def tail_column(word):
     """:func:`tail_of` as a column."""
     return (F.crc32(F.substring(word, F.greatest(F.octet_length(word) - 2, F.lit(1)), F.lit(3))) % TAILS).cast("int")
@@ -77,20 +96,23 @@ def count_words(docs: DataFrame) -> DataFrame:
     """``word, n`` of all tokens of ``docs(text)``, the end among them."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        found: list[pa.Table] = []
 
-        def handed_on():
-            words = list(found)
-            columns = [pa.array(words, pa.binary()), pa.array(found.values(), pa.int64())]
-            found.clear()
-            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+        def summed() -> pa.Table:
+            return pa.concat_tables(found).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                found.update(words_of(text.as_py()))
-                if len(found) >= _DISTINCT:
-                    yield handed_on()
-        yield handed_on()
+            for piece in _pieces(batch, 0):
+                counts = pc.value_counts(words_of(piece.column(0))[0])
+                found.append(pa.table(counts.flatten(), ["word", "n"]))
+                if sum(map(len, found)) >= _DISTINCT:
+                    found = [summed()]
+                    if len(found[0]) >= _DISTINCT:
+                        yield from found.pop().to_batches()
+        if found:
+            yield from summed().to_batches()
+            found.clear()
+        pa.default_memory_pool().release_unused()  # the worker lives on for later tasks
 
     rows = docs.select("text").mapInArrow(counted, "word binary, n bigint")
     return cut(rows.groupBy("word").agg(F.sum("n").alias("n")))
@@ -123,36 +145,35 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = sent.value
-        find = {w: i for i, w in enumerate(v.words)}.get
-        tails = np.array([tail_of(w) for w in v.words])
-        number = np.where(np.arange(len(tails)) < v.head, np.arange(len(tails)), v.head + tails).astype(np.int16)
-        base = np.log10(v.counts + 1.0)
-        tail = np.log10(np.maximum(v.counts, 1) / v.tail_mass[tails])
+        vocabulary = pa.array(v.words, pa.binary())
+        tails = tails_of(vocabulary)
+        # The last entry of each is a far word's: index -1.
+        number = np.append(np.where(np.arange(len(tails)) < v.head, np.arange(len(tails)), v.head + tails), 0).astype(np.int16)
+        known = np.append(v.counts > 0, False).astype(np.int64)
+        base = np.append(np.log10(v.counts + 1.0), 0)
+        tail = np.append(np.log10(np.maximum(v.counts, 1) / v.tail_mass[tails]), 0)
         tail[: v.head] = 0
+
+        def numbered(piece: pa.RecordBatch) -> pa.RecordBatch:
+            words, edges = words_of(piece.column(3))
+            at = pc.index_in(words, value_set=vocabulary).fill_null(-1).to_numpy()
+            ids = number[at]
+            places = np.flatnonzero(at < 0)
+            far = words.take(pa.array(places)).dictionary_encode()
+            code, size = far.indices.to_numpy().astype(np.int64), max(1, len(far.dictionary))
+            ids[places] = tails_of(far.dictionary)[code] + np.int16(v.head)
+            each, tfs = np.unique((np.searchsorted(edges, places, "right") - 1) * size + code, return_counts=True)
+            far_words = pa.StructArray.from_arrays([far.dictionary.take(pa.array(each % size)), pa.array(tfs, pa.int32())], ["word", "n"])
+            ends = np.searchsorted(each, np.arange(len(edges)) * size)
+            told = [pa.array(np.diff(edges), pa.int64()), *(pa.array(np.add.reduceat(x[at], edges[:-1])) for x in (known, base, tail))]
+            numbers = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int16()))
+            columns = [*piece.columns[:3], *told, numbers, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), far_words)]
+            return pa.RecordBatch.from_arrays(columns, ["row", "key", "held_out", "n_tokens", "known", "base", "tail", "ids", "far"])
+
         for batch in batches:
-            rows, ids, far, tfs, ends = [], [], [], [], [0]
-            for text in batch.column(3):
-                words = words_of(text.as_py())
-                at = np.fromiter(map(find, words, repeat(-1)), np.int32, len(words))
-                near = at[at >= 0]
-                out = number[at]
-                if len(near) < len(words):
-                    places = np.flatnonzero(at < 0).tolist()
-                    unknown = [words[i] for i in places]
-                    found = Counter(unknown)
-                    classes = {w: tail_of(w) for w in found}
-                    out[places] = np.fromiter(map(classes.__getitem__, unknown), np.int16, len(unknown)) + np.int16(v.head)
-                    far.extend(found)
-                    tfs.extend(found.values())
-                ends.append(len(far))
-                ids.append(out)
-                rows.append((len(words), int((v.counts[near] > 0).sum()), float(base[near].sum()), float(tail[near].sum())))
-            far_words = pa.StructArray.from_arrays([pa.array(far, pa.binary()), pa.array(tfs, pa.int32())], ["word", "n"])
-            sizes = np.cumsum([0, *map(len, ids)])
-            numbers = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int16), pa.int16()))
-            told = [pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * 4, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)]
-            columns = [*batch.columns[:3], *told, numbers, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), far_words)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "key", "held_out", "n_tokens", "known", "base", "tail", "ids", "far"])
+            for piece in _pieces(batch, 3):
+                yield numbered(piece)
+                pa.default_memory_pool().release_unused()  # the worker lives on for later tasks
 
     path = f"{shared_folder(docs.sparkSession)}/gru-{uuid.uuid4().hex}"
     schema = _ENCODED.format(docs.schema["key"].dataType.simpleString())

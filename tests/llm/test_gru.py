@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import cProfile
 import re
 import zlib
 from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +78,16 @@ def test_gradients_against_differences():
             assert dense[at] == pytest.approx((up - down) / (2 * step), rel=0.02, abs=0.02), name
 
 
+def test_classes_share_one_softmax():
+    rng = np.random.default_rng(4)
+    model = gru_model.Gru.fresh(np.arange(1.0, 1025.0), np.ones(32))
+    states = rng.uniform(-1, 1, (4096, gru_model.HIDDEN)).astype(np.float32)
+    profile = cProfile.Profile()
+    profile.runcall(model.log_probability, states, rng.integers(0, 1056, 4096))
+    sums = [s.callcount for s in profile.getstats() if "'sum' of 'numpy.ndarray'" in str(s.code)]
+    assert sum(sums) <= 4  # not one for each of the 32 classes
+
+
 def test_state_is_carried_through_a_document_and_not_into_the_next():
     model = small_model()
     rng = np.random.default_rng(2)
@@ -87,6 +99,21 @@ def test_state_is_carried_through_a_document_and_not_into_the_next():
         assert got[i] == pytest.approx(whole, rel=1e-4)
 
 
+def test_words_of_a_batch_are_split_at_once(monkeypatch):
+    texts = ["", None, " ", "a", " a\x0bB  \x1cc\n", "Ä É x\xa0y", "\x85   z\u2003", "\t\r\n", "x" * 50, "İ SS ẞ"]
+    wanted = [[(t or "").encode() for t in tokens(text)] for text in texts]
+    words, edges = gru_scoring.words_of(pa.array(["left out", *texts])[1:])
+    assert [words[a:b].to_pylist() for a, b in zip(edges, edges[1:], strict=False)] == wanted
+    assert gru_scoring.tails_of(words).tolist() == [gru_scoring.tail_of(w) for ws in wanted for w in ws]
+    with pytest.raises(pa.ArrowInvalid, match="UTF8"):
+        gru_scoring.words_of(pa.StringArray.from_buffers(1, pa.array([0, 3], pa.int32()).buffers()[1], pa.py_buffer(b"a \xff")))
+    monkeypatch.setattr(gru_scoring, "_PIECE", 8)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["row", "text"])
+    pieces = list(gru_scoring._pieces(batch, 1))
+    assert len(pieces) > 2 and pa.Table.from_batches(pieces).to_pydict() == batch.to_pydict()
+    assert list(gru_scoring._pieces(batch[:0], 1)) == []
+
+
 def test_query_against_plain_python(spark):
     docs = [tuple(r) for r in table(spark, DATA, "documents").select("doc_id", "text").collect()]
     got = QUERIES["op12_gru_scoring"](spark, DATA).collect()
